@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("products",)
+MODULES = ("products", "cleaning", "relational", "assurance")
 
 
 def _load() -> None:

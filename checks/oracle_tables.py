@@ -69,7 +69,7 @@ def A(x: str, places: int = 4, where: str = "") -> str:
 
 def R(x: str, places: int = 6) -> str:
     """Round half away from zero on the printed value, as a double."""
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12)), {places}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {places}) AS DOUBLE)"
 
 
 def N(x: str, where: str = "") -> str:
@@ -258,7 +258,7 @@ SELECT currency, CAST(rate AS DOUBLE) AS rate, CAST(rate AS DECIMAL(18,8)) AS ra
   DATE '2026-05-16' AS as_of_date
 FROM (VALUES ('ARS', '0.000717'), ('BRL', '0.2'), ('CLP', '0.001127'), ('COP', '0.000264'), ('EUR', '1.16'),
   ('MXN', '0.058'), ('PEN', '0.27'), ('USD', '1'), ('UYU', '0.02485')) f(currency, rate)"""
-T["dim_date"] = """
+CALENDAR = """
 SELECT d AS date_day, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
   CAST(month(d) AS INTEGER) AS month, CAST(week(d) AS INTEGER) AS week_of_year, CAST(day(d) AS INTEGER) AS day_of_month,
   CAST(dayofweek(d) AS INTEGER) AS day_of_week_num, CAST(dayofyear(d) AS INTEGER) AS day_of_year,
@@ -269,7 +269,10 @@ SELECT d AS date_day, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEG
   strftime(d, '%Y-%m') AS year_month_label, 'Q' || quarter(d) || ' ' || year(d) AS year_quarter_label,
   CAST(date_trunc('week', d) AS DATE) AS week_start, CAST(date_trunc('month', d) AS DATE) AS month_start,
   CAST(date_trunc('quarter', d) AS DATE) AS quarter_start, CAST(date_trunc('year', d) AS DATE) AS year_start
-FROM (SELECT CAST(unnest(generate_series(DATE '2015-01-01', DATE '2030-12-31', INTERVAL 1 DAY)) AS DATE) AS d)"""
+FROM (SELECT CAST(unnest(generate_series({first}, {last}, INTERVAL 1 DAY)) AS DATE) AS d)"""
+T["dim_date"] = CALENDAR.format(first="DATE '2015-01-01'", last="DATE '2030-12-31'")
+T["calendar_days"] = CALENDAR.format(first="(SELECT min(transaction_date) FROM fct_transactions)",
+                                     last="(SELECT max(transaction_date) FROM fct_transactions)")
 T["fct_transactions"] = """
 SELECT *, status = 'failed' AS is_failed, CAST(dayofweek(transaction_date) AS INTEGER) AS day_of_week
 FROM stg_transactions"""
@@ -489,14 +492,16 @@ FROM (SELECT age_bucket, preferred_channel, count(*) AS customer_count FROM dim_
 def with_tables(select: str) -> str:
     """``select`` preceded by the definitions of the tables it uses, directly or not."""
     words = re.compile(r"\b[a-z_0-9]+\b")
-    needed: set[str] = set()
+    seen: set[str] = set()
+    ordered: dict[str, str] = {}
 
     def visit(sql: str) -> None:
         for word in words.findall(sql):
-            if word in T and word not in needed:
-                needed.add(word)
+            if word in T and word not in seen:
+                seen.add(word)
                 visit(T[word])
+                ordered[word] = T[word]
 
     visit(select)
-    definitions = ",\n".join(f"{name} AS ({sql})" for name, sql in T.items() if name in needed)
+    definitions = ",\n".join(f"{name} AS ({sql})" for name, sql in ordered.items())
     return f"WITH {definitions}\n{select}" if definitions else select

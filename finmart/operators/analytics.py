@@ -74,3 +74,38 @@ def to_usd(df: DataFrame, fx_rates: DataFrame, currency: str, rate: str = "rate_
         fx_rates.select(F.col("currency").alias("_ccy"), F.col("rate_to_usd").cast("double").alias(rate))
     )
     return df.join(quotes, F.col(currency) == F.col("_ccy"), "left").drop("_ccy")
+
+
+def exact_median(df: DataFrame, column: str, single_task_values: int = 1_000_000) -> DataFrame:
+    """The median of a numeric column as a one-row table ``median``.
+
+    Quantile sketches narrow the column to a bracket around the middle rank until few
+    enough distinct values remain; only those are ranked. Counts below the bracket keep the
+    rank exact, so the sketch error costs a wider bracket and never a wrong value.
+    """
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    v, accuracy = F.col("v"), 10_000
+    size = values.agg(F.count("*").alias("n"), F.approx_count_distinct("v").alias("d")).first()
+    below, inside, n, distinct = 0, values, size["n"], size["d"]
+    ranks = ((n - 1) // 2, n // 2)
+    while distinct > single_task_values:
+        middle = (ranks[0] - below) / max(n, 1)
+        around = [max(0.0, middle - 2 / accuracy), min(1.0, middle + 2 / accuracy)]
+        low, high = inside.agg(F.percentile_approx("v", around, accuracy).alias("q")).first()["q"]
+        inside = values.where(v.between(low, high))
+        position = values.agg(
+            F.count_if(v < low).alias("below"), F.count_if(v.between(low, high)).alias("n"),
+            F.approx_count_distinct(F.when(v.between(low, high), v)).alias("d"),
+        ).first()
+        stuck = position["d"] >= distinct
+        below, n, distinct = position["below"], position["n"], position["d"]
+        if stuck:
+            break
+    per_value = inside.groupBy("v").agg(F.count("*").alias("c"))
+    upto = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = per_value.withColumn("last", upto + F.lit(below - 1)).withColumn("first", F.col("last") - F.col("c") + 1)
+
+    def at(rank: int) -> Column:
+        return F.max(F.when(F.lit(rank).between(F.col("first"), F.col("last")), v))
+
+    return placed.agg(((at(ranks[0]) + at(ranks[1])) / 2).alias("median"))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from finmart import schemas
 from finmart.functions.numbers import parse_money
 from finmart.functions.text import blank_to_null
+from finmart.operators.dedup import keep_latest
 
 
 @dataclass(frozen=True)
@@ -84,6 +86,22 @@ def flatten_array(parsed: DataFrame, spec: ArraySpec) -> DataFrame:
     )
 
 
+def stage_array(
+    parsed: DataFrame, spec: ArraySpec, save: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, dict[str, int]]:
+    """Flatten, deduplicate and save an array; the counters ride along on that one write."""
+    read, flattened, kept = (Observation(n) for n in (f"{spec.array}_read", f"{spec.array}_flat", f"{spec.array}_kept"))
+    count = F.count(F.lit(1)).alias("n")
+    source = parsed.select("customer_id", "bronze_id", "load_timestamp", spec.array)
+    flat = flatten_array(source.observe(read, count), spec).observe(flattened, count)
+    saved = save(keep_latest(flat, spec.key).observe(kept, count))
+    counters = {
+        "documents_read": read.get["n"], "after_explode": flattened.get["n"], "after_dedup": kept.get["n"],
+    }
+    counters["dropped"] = counters["after_explode"] - counters["after_dedup"]
+    return saved, counters
+
+
 def array_cardinality(parsed: DataFrame, arrays: tuple[str, ...] = ("accounts", "transactions", "loans")) -> DataFrame:
     """Smallest, mean and largest number of elements per document, one row per array."""
     sizes = F.array(*[

@@ -8,15 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from finmart.functions import dates
 from finmart.functions.numbers import USD_PLACES, exact_avg, exact_sum, ratio
-from finmart.operators.analytics import count_where, to_usd
+from finmart.operators.analytics import count_where, exact_median, to_usd
 
 col = F.col
-MEDIAN_ACCURACY = 100_000
-
-
-def median(name: str, exact: bool) -> F.Column:
-    """The exact median keeps every distinct value in memory; the sketch is for large tables."""
-    return F.median(name) if exact else F.percentile_approx(name, 0.5, MEDIAN_ACCURACY).cast("double")
 
 
 def customers_and_assets(dim_customer: DataFrame, dim_account: DataFrame, fx_rates: DataFrame) -> DataFrame:
@@ -29,22 +23,23 @@ def customers_and_assets(dim_customer: DataFrame, dim_account: DataFrame, fx_rat
     )
 
 
-def median_revenue(customer_360: DataFrame, exact: bool = False) -> DataFrame:
+def median_revenue(customer_360: DataFrame) -> DataFrame:
+    middle = exact_median(customer_360, "total_revenue_monthly")
     return customer_360.agg(
-        median("total_revenue_monthly", exact).alias("median_revenue"),
-        exact_avg(col("total_revenue_monthly")).alias("avg_revenue"),
-    )
+        exact_avg(col("total_revenue_monthly")).alias("avg_revenue")
+    ).withColumn("median_revenue", middle.scalar())
 
 
 def transaction_headlines(
-    fct_transactions: DataFrame, monthly_revenue: DataFrame, currency: str = "USD", exact: bool = False
+    fct_transactions: DataFrame, monthly_revenue: DataFrame, currency: str = "USD"
 ) -> DataFrame:
+    """Median ticket and failure rate in one currency, next to total dollar revenue."""
     valued = fct_transactions.where((col("currency") == currency) & col("amount").isNotNull())
     revenue = monthly_revenue.agg(exact_sum(col("total_revenue_usd")).alias("total_revenue_usd"))
-    return valued.agg(
-        median("amount", exact).alias("median_ticket"),
-        ratio(count_where(col("is_failed")), F.count("*")).alias("failure_rate"),
-    ).withColumn("total_revenue_usd", revenue.scalar())
+    return valued.agg(ratio(count_where(col("is_failed")), F.count("*")).alias("failure_rate")).withColumns({
+        "median_ticket": exact_median(valued, "amount").scalar(),
+        "total_revenue_usd": revenue.scalar(),
+    })
 
 
 def risk_headlines(risk_profile: DataFrame) -> DataFrame:

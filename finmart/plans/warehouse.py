@@ -25,6 +25,7 @@ class Warehouse:
         self.store = TableStore(spark, root)
         self.as_of = as_of
         self._tables: dict[str, DataFrame] = {"bronze": bronze}
+        self._saved: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -44,13 +45,26 @@ class Warehouse:
         built = model.build(*arguments)
         return self.store.save(built, model.layer, name) if model.stored else built
 
+    def saved(self, name: str) -> DataFrame:
+        """The table as stored files, written now if it has only been a plan so far."""
+        model = MODELS.get(name)
+        if model is None or model.stored:
+            return self.table(name)
+        if name not in self._saved:
+            self._saved[name] = self.store.save(self.table(name), model.layer, name)
+        return self._saved[name]
+
+    def scratch(self, name: str) -> str:
+        """A fresh path under the warehouse for a query that writes."""
+        return f"{self.store.root}/scratch/{name}-{uuid.uuid4().hex[:8]}"
+
     def build_all(self, store_marts: bool = True) -> dict[str, DataFrame]:
         """Every model; marts are written to the gold layer unless told otherwise."""
         for name in (*SEEDS, *MODELS):
             self.table(name)
         if store_marts:
             for name in MARTS:
-                self._tables[name] = self.store.save(self.table(name), "gold", name)
+                self._tables[name] = self.saved(name)
         return dict(self._tables)
 
 
