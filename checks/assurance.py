@@ -61,8 +61,13 @@ def check_sql(wanted: tuple[str, ...]) -> str:
     return " UNION ALL ".join(parts)
 
 
+def run(w: Warehouse, *kinds: str) -> DataFrame:
+    w.prepare(CHECKED)
+    return run_checks(w.saved, CHECKED, kinds or ("rows", "unique", "relationships"), AS_OF)
+
+
 def checked(kind: str):
-    return lambda w: run_checks(w.saved, CHECKED, (kind,), AS_OF)
+    return lambda w: run(w, kind)
 
 
 register("dq1_unique", checked("unique"), check_sql(("unique",)))
@@ -74,11 +79,11 @@ register("dq5_expression_is_true", lambda w: checked("rows")(w).where("test = 'e
          check_sql(("expression_is_true",)))
 EVERY = ("unique", "not_null", "accepted_values", "relationships", "expression_is_true")
 register("dq6_failures_by_severity",
-         lambda w: run_checks(w.saved, CHECKED, as_of=AS_OF).groupBy("severity").agg(
+         lambda w: run(w).groupBy("severity").agg(
              F.count("*").alias("checks"), F.count_if(col("failures") > 0).alias("failing")),
          f"""SELECT severity, count(*) AS checks, count(*) FILTER (WHERE failures > 0) AS failing
              FROM ({check_sql(EVERY)}) GROUP BY 1""")
-register("dq7_suite_report", lambda w: run_checks(w.saved, CHECKED, as_of=AS_OF), check_sql(EVERY))
+register("dq7_suite_report", lambda w: run(w), check_sql(EVERY))
 
 
 def _counters(w: Warehouse) -> DataFrame:

@@ -87,18 +87,21 @@ def exact_median(df: DataFrame, column: str, single_task_values: int = 1_000_000
     v, accuracy = F.col("v"), 10_000
     size = values.agg(F.count("*").alias("n"), F.approx_count_distinct("v").alias("d")).first()
     below, inside, n, distinct = 0, values, size["n"], size["d"]
-    ranks = ((n - 1) // 2, n // 2)
+    ranks, slack = ((n - 1) // 2, n // 2), 2.0
     while distinct > single_task_values:
-        middle = (ranks[0] - below) / max(n, 1)
-        around = [max(0.0, middle - 2 / accuracy), min(1.0, middle + 2 / accuracy)]
+        middle, margin = (ranks[0] - below) / n, slack * (1 / accuracy + 1 / n)
+        around = [max(0.0, middle - margin), min(1.0, middle + margin)]
         low, high = inside.agg(F.percentile_approx("v", around, accuracy).alias("q")).first()["q"]
-        inside = values.where(v.between(low, high))
-        position = values.agg(
-            F.count_if(v < low).alias("below"), F.count_if(v.between(low, high)).alias("n"),
-            F.approx_count_distinct(F.when(v.between(low, high), v)).alias("d"),
+        bracket = v.between(low, high)
+        found = values.agg(
+            F.count_if(v < low).alias("below"), F.count_if(bracket).alias("n"),
+            F.approx_count_distinct(F.when(bracket, v)).alias("d"),
         ).first()
-        stuck = position["d"] >= distinct
-        below, n, distinct = position["below"], position["n"], position["d"]
+        if not found["below"] <= ranks[0] <= ranks[1] < found["below"] + found["n"]:
+            slack *= 4
+            continue
+        stuck = found["d"] >= distinct
+        below, inside, n, distinct = found["below"], values.where(bracket), found["n"], found["d"]
         if stuck:
             break
     per_value = inside.groupBy("v").agg(F.count("*").alias("c"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +29,13 @@ class Warehouse:
         self.as_of = as_of
         self._tables: dict[str, DataFrame] = {"bronze": bronze}
         self._saved: dict[str, DataFrame] = {}
+        self._locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            self._tables[name] = self._build(name)
-        return self._tables[name]
+        with self._locks[name]:
+            if name not in self._tables:
+                self._tables[name] = self._build(name)
+            return self._tables[name]
 
     def tables(self, *names: str) -> list[DataFrame]:
         return [self.table(name) for name in names]
@@ -50,22 +55,26 @@ class Warehouse:
         model = MODELS.get(name)
         if model is None or model.stored:
             return self.table(name)
-        if name not in self._saved:
-            self._saved[name] = self.store.save(self.table(name), model.layer, name)
-        return self._saved[name]
+        with self._locks[name]:
+            if name not in self._saved:
+                self._saved[name] = self.store.save(self.table(name), model.layer, name)
+            return self._saved[name]
+
+    def prepare(self, names: list[str], threads: int = 4) -> None:
+        """Store the named tables, independent ones at the same time."""
+        with ThreadPoolExecutor(threads) as pool:
+            list(pool.map(self.saved, names))
 
     def scratch(self, name: str) -> str:
         """A fresh path under the warehouse for a query that writes."""
         return f"{self.store.root}/scratch/{name}-{uuid.uuid4().hex[:8]}"
 
-    def build_all(self, store_marts: bool = True) -> dict[str, DataFrame]:
-        """Every model; marts are written to the gold layer unless told otherwise."""
-        for name in (*SEEDS, *MODELS):
-            self.table(name)
-        if store_marts:
-            for name in MARTS:
-                self._tables[name] = self.saved(name)
-        return dict(self._tables)
+    def build_all(self, threads: int = 4) -> dict[str, DataFrame]:
+        """Build the whole graph; stored models and marts are written to their layers."""
+        self.prepare([name for name, model in MODELS.items() if model.stored or name in MARTS], threads)
+        for name in MARTS:
+            self._tables[name] = self.saved(name)
+        return {name: self.table(name) for name in ("bronze", *SEEDS, *MODELS)}
 
 
 _OPEN: dict[tuple[str, str], Warehouse] = {}
