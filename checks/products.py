@@ -91,7 +91,7 @@ QUESTION_SQL = {
 
 def _question(name: str) -> None:
     mart, query = QUESTIONS[name]
-    register(f"{name}_{query.__name__}", lambda w: query(w.table(mart)), QUESTION_SQL[name])
+    register(f"{name}_{query.__name__}", lambda w: query(w.saved(mart)), QUESTION_SQL[name])
 
 
 for _name in QUESTIONS:

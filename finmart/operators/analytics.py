@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from finmart.functions.numbers import ratio
+from finmart.session import cut_lineage
 
 SINGLE_TASK_ROWS = 1_000_000
 
@@ -48,10 +49,9 @@ def ordinal(df: DataFrame, within: str, order: list[Column], name: str,
     if sizes <= single_task_rows:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(within).orderBy(*order)))
     slices = max(2, -(-sizes // single_task_rows) * 4)
-    sliced = (
+    sliced = cut_lineage(
         df.repartitionByRange(slices, F.col(within).asc_nulls_first(), *order)
         .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
     )
     before = Window.partitionBy(within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

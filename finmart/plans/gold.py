@@ -28,6 +28,7 @@ from finmart.plans.intermediate import (
     interest_by_customer_usd,
     is_completed_fee,
 )
+from finmart.session import cut_lineage
 
 col = F.col
 
@@ -440,7 +441,8 @@ def mart_top_merchants(fct_transactions: DataFrame) -> DataFrame:
 
     One pass groups by category as well; merchant totals and the most frequent category
     both follow from that. Ties in the mode go to the first name, NULL last; ties in a rank
-    go to the first merchant name.
+    go to the first merchant name. The totals are computed at once, because the ranking looks at
+    their number first.
     """
     per_category = (
         fct_transactions.where((col("status") == "completed") & col("merchant").isNotNull())
@@ -451,7 +453,7 @@ def mart_top_merchants(fct_transactions: DataFrame) -> DataFrame:
     )
     mode_order = F.struct(-col("n"), col("category").isNull(), col("category"))
     value = exact_sum(col("value"))
-    merchants = per_category.groupBy("merchant", "currency").agg(
+    merchants = cut_lineage(per_category.groupBy("merchant", "currency").agg(
         F.min_by("category", mode_order).alias("mode"),
         F.sum("n").alias("tx_count"),
         F.round(value, 2).alias("total_value"),
@@ -462,7 +464,7 @@ def mart_top_merchants(fct_transactions: DataFrame) -> DataFrame:
         "merchant", "currency",
         F.when(col("currency").isNotNull(), col("mode")).alias("top_category"),
         "tx_count", "total_value", "avg_ticket", "min_ticket", "max_ticket",
-    ).checkpoint()
+    ))
     name = col("merchant").asc()
     by_value = ordinal(
         merchants, "currency", [col("total_value").desc_nulls_first(), name], "rank_by_value_within_currency"

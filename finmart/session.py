@@ -4,13 +4,29 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app_name: str = "finmart", master: str | None = None, **conf: str) -> SparkSession:
+BYTES_PER_SHUFFLE_PARTITION = 512 << 20
+MOST_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_partitions(input_bytes: int, cores: int = 8) -> int:
+    """Initial shuffle partitions for an input size; AQE merges the small ones afterwards.
+
+    AQE never splits an ordinary shuffle, so the start has to be large enough: 100 TB at
+    the default of 200 would put half a terabyte into every task.
+    """
+    wanted = -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION)
+    return max(cores, min(wanted, MOST_SHUFFLE_PARTITIONS))
+
+
+def build_session(
+    app_name: str = "finmart", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """Session with the settings the plans assume: UTC, ANSI casts and AQE.
 
-    Shuffle partition counts are left to AQE coalescing unless ``conf`` says otherwise.
+    ``input_bytes`` sizes the shuffles for the expected input; ``conf`` overrides anything.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -21,9 +37,10 @@ def build_session(app_name: str = "finmart", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        **conf,
     }
-    for key, value in settings.items():
+    if input_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -31,11 +48,18 @@ def build_session(app_name: str = "finmart", master: str | None = None, **conf:
 def work_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    A private folder is chosen only where the setting is absent, as in a local test run.
+    A private folder is chosen only where none is configured, as in a local test run.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="finmart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        spark.sparkContext.setCheckpointDir(folder)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept as files in the work folder, which outlive executors."""
+    work_dir(df.sparkSession)
+    return df.checkpoint()

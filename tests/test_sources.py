@@ -103,3 +103,16 @@ def test_large_customers_are_spread_over_documents(spark):
     assert split.count() > whole.count() == whole.select("id").distinct().count()
     assert split.count() == split.select("id").distinct().count()
     assert ids(split).exceptAll(ids(whole)).isEmpty() and ids(whole).exceptAll(ids(split)).isEmpty()
+
+
+def test_copies_of_one_item_do_not_pile_up(spark, tmp_path):
+    small = "/root/testdata/sf0.001"
+    for name in ("customer", "orders", "part"):
+        spark.read.parquet(f"{small}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    copies = lines.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("n")
+    lines.union(copies).write.parquet(str(tmp_path / "lineitem.parquet"))
+    sizes = demo_bank.documents(spark, str(tmp_path), items_per_document=200).select(
+        F.size(F.from_json(F.get_json_object("data", "$.transactions"), "array<string>")).alias("n"))
+    assert sizes.agg(F.sum("n")).first()[0] > lines.count() + 3000
+    assert sizes.agg(F.max("n")).first()[0] < 300
