@@ -43,12 +43,27 @@ def rows_of(columns: list[str], rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=columns, dtype=object)
 
 
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+             "date": "DATE"}
+
+
+def type_differences(connection, df, sql: str) -> dict[str, tuple]:
+    """Columns whose types do not correspond: name -> (Spark type, SQL type)."""
+    described = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    return {
+        name: (kind, described.get(name)) for name, kind in df.dtypes if SQL_TYPES.get(kind) != described.get(name)
+    }
+
+
 def differences(spark, connection, sf_dir: str, name: str, query, sql: str | None) -> str:
     """'' if both agree, else a short account."""
     df = query(spark, sf_dir)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if sql is None:
         return "" if len(got) else "no rows"
+    mistyped = type_differences(connection, df, sql)
+    if mistyped:
+        return f"types {mistyped}"
     cursor = connection.execute(sql)
     want = rows_of([d[0] for d in cursor.description], cursor.fetchall())
     if sorted(got.columns) != sorted(want.columns):

@@ -47,7 +47,8 @@ def ordinal(df: DataFrame, within: str, order: list[Column], name: str,
     """
     sizes = df.groupBy(within).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if sizes <= single_task_rows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(within).orderBy(*order)))
+        window = Window.partitionBy(within).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(window).cast("long"))
     slices = max(2, -(-sizes // single_task_rows) * 4)
     sliced = cut_lineage(
         df.repartitionByRange(slices, F.col(within).asc_nulls_first(), *order)
@@ -63,7 +64,7 @@ def ordinal(df: DataFrame, within: str, order: list[Column], name: str,
     return (
         sliced.withColumn("_local", local)
         .join(offsets, F.col(within).eqNullSafe(F.col("_within")) & (F.col("_slice") == F.col("_at")))
-        .withColumn(name, (F.col("_local") + F.col("_offset")).cast("int"))
+        .withColumn(name, F.col("_local") + F.col("_offset"))
         .drop("_slice", "_local", "_within", "_at", "_offset")
     )
 

@@ -3,7 +3,8 @@
 Every value is a pure function of the source keys. The derivation plants the defects the
 cleaning layer exists for: mixed casing and languages, blanks, null tokens, four date
 spellings, quoted numbers, sentinel scores, mixed booleans, repeated customers and
-repeated transaction ids.
+repeated transaction ids. Some transactions name the account of another order, so the payer
+is not always the owner and some accounts do not exist.
 """
 
 from __future__ import annotations
