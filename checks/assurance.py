@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from checks.oracle_tables import A, AS_OF, N, Q, R
 from checks.registry import register
 from checks.relational import SEGMENT_PAIRS, _by_segments
+from checks.shapes import SHAPES
 from finmart.functions import text
 from finmart.operators import flatten
 from finmart.plans import profiling, reconcile
@@ -40,8 +41,9 @@ def check_sql(wanted: tuple[str, ...]) -> str:
 
     for table in CHECKED:
         checks = CHECKS[table]
-        for severity, names in (("error", checks.not_null), ("warn", checks.not_null_warn)):
-            for name in names.split():
+        columns = [c.rstrip("~") for c in SHAPES[table].split()]
+        for severity, names in (("error", checks.required(columns)), ("warn", checks.not_null_warn.split())):
+            for name in names:
                 add(table, "not_null", name, severity, f"SELECT count(*) - count({name}) FROM {table}")
         for name, accepted in checks.values.items():
             add(table, "accepted_values", name, "error",

@@ -113,6 +113,15 @@ register(
        JOIN dim_geography ON country = country_code GROUP BY ALL""",
 )
 
+register(
+    "src6_literal_table",
+    lambda w: w.table("dim_account").groupBy("currency").agg(F.count("*").alias("accounts")).join(
+        F.broadcast(w.table("dim_geography").withColumnRenamed("default_currency", "currency")), "currency", "left"),
+    """SELECT currency, accounts, country_code, country_name, region
+       FROM (SELECT currency, count(*) AS accounts FROM dim_account GROUP BY 1)
+       LEFT JOIN dim_geography ON default_currency = currency""",
+)
+
 
 def _calendar_of_transactions(w: Warehouse) -> DataFrame:
     """The calendar over the span of the facts, with the transactions of each day."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from finmart import schemas
@@ -80,8 +81,8 @@ def append_bronze(
         try:
             stored = read_bronze(spark, path).agg(F.max("id")).first()[0]
             first_id = (stored or 0) + 1
-        except Exception as error:  # the first batch finds no table yet
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:  # the first batch finds no table yet
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     moment = load_timestamp or spark.range(1).select(F.current_timestamp()).first()[0]
     batch = stamp_batch(documents, load_id, source_file, moment, first_id)
