@@ -71,8 +71,7 @@ def differences(spark, connection, sf_dir: str, name: str, query, sql: str | Non
     a, b = canonical(got), canonical(want)
     if a == b:
         return ""
-    extra = [r for r in a if r not in set(b)][:2]
-    missing = [r for r in b if r not in set(a)][:2]
+    extra, missing = sorted(set(a) - set(b))[:2], sorted(set(b) - set(a))[:2]
     return f"{len(a)} / {len(b)} rows; only spark {extra}; only sql {missing}"
 
 
