@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from finmart.llm.byte_bpe import digests, encode_documents
 from finmart.llm.jaccard_join import jaccard_components
+from finmart.llm.mixing import mix_sources
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,7 +19,18 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_read(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encode_documents(_read(spark, sf_dir, "documents"), with_decoded=True))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op5_mixing": op5_mixing,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
