@@ -26,7 +26,7 @@ PERCENT = 75
 #: Shingles a prefix pair must share: 1 + size // PREFIX_SHARE, at least two.
 PREFIX_SHARE = 8
 #: One set in SAMPLE measures shingle frequencies. They steer order and cost, never the result.
-SAMPLE = 16
+SAMPLE = 32
 #: Frequent shingles: this often in the sample, or more where they overfill the bitmap.
 FREQUENT = 3
 #: Bits of the bitmap of frequent shingles that every task gets (512 KB), and its fullest state.
@@ -52,6 +52,7 @@ def required_shared(n):
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sampled: set[int] = set()  # a copy in another task is counted again, which only steers
     for batch in batches:
         ids, names, sizes, samples = batch.column(0), [], [], []
         for text in batch.column(1):
@@ -59,7 +60,12 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             name = set_fingerprint(hashes)
             names.append(name)
             sizes.append(len(hashes))
-            samples.append(hashes.view(np.int64) if len(hashes) and name % SAMPLE == 0 else None)
+            taken = len(hashes) > 0 and name % SAMPLE == 0 and name not in sampled
+            samples.append(hashes.view(np.int64) if taken else None)
+            if taken:
+                sampled.add(name)
+        if len(sampled) > 200_000:
+            sampled.clear()
         yield pa.RecordBatch.from_arrays(
             [ids, pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(samples, pa.list_(pa.int64()))],
             names=["doc_id", "set_id", "n", "sample"],
@@ -144,21 +150,17 @@ def _postings(frequent_bytes: bytes, boundary: int):
     return run
 
 
-def _frequent_shingles(profile: DataFrame) -> tuple[bytes, float]:
-    """Bitmap of frequent shingles and the expected length of a scanned list.
+def _frequent_shingles(profile: DataFrame, scratch: Scratch) -> tuple[bytes, float]:
+    """Bitmap of frequent shingles and the expected length of a scanned list of the others.
 
     At most BITMAP_MEMBERS slots come to the driver: the count they need rises until they fit.
     """
-    counts = (
-        profile.where(F.col("sample").isNotNull()).dropDuplicates(["set_id"])
-        .select(F.explode("sample").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
-    )
+    counts = scratch.keep(
+        profile.select(F.explode("sample").alias("h")).groupBy("h").agg(F.count("*").cast("int").alias("c")), "counts")
     # one row per distinct count
     sizes = counts.groupBy("c").agg(F.count("*").alias("m")).orderBy(F.col("c").desc()).collect()
-    total, square, members, least = 0, 0, 0, None
+    members, least = 0, None
     for row in sizes:
-        total += row["c"] * row["m"]
-        square += row["c"] ** 2 * row["m"]
         members += row["m"]
         if row["c"] >= FREQUENT and members <= BITMAP_MEMBERS:
             least = row["c"]
@@ -167,8 +169,11 @@ def _frequent_shingles(profile: DataFrame) -> tuple[bytes, float]:
         slots = counts.where(F.col("c") >= least).select(
             F.col("h").bitwiseAND(BITMAP_BITS - 1).alias("slot")).distinct().toArrow()["slot"].to_numpy()
         np.bitwise_or.at(bits, slots >> 3, np.left_shift(1, slots & 7).astype(np.uint8))
-    scan = 1.0 + SAMPLE * (square / total - 1.0) if total else 1.0
-    return bits.tobytes(), scan
+    rest = [row for row in sizes if least is None or row["c"] < least]
+    total = sum(row["c"] * row["m"] for row in rest)
+    square = sum(row["c"] ** 2 * row["m"] for row in rest)
+    scratch.drop("counts")
+    return bits.tobytes(), 1.0 + SAMPLE * (square / total - 1.0) if total else 1.0
 
 
 def choose_boundary(sizes: DataFrame, scan: float) -> int:
@@ -221,16 +226,19 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     named = profile.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = named.groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.min("n").alias("n"))
 
-    frequent, scan = _frequent_shingles(named)
+    frequent, scan = _frequent_shingles(named, scratch)
     boundary = choose_boundary(classes.groupBy("n").agg(F.count("*").alias("sets")), scan)
     postings = texts.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(
         _postings(frequent, boundary), POSTINGS)
 
     # keys that two sets share; the lists of frequent shingles are split and kept unseen
-    lists = Window.partitionBy("key", "salt")
+    ordered = Window.partitionBy("key", "salt").orderBy("set_id")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    repeats = F.coalesce(F.lag("set_id").over(ordered) == F.col("set_id"), F.lit(False))
     shared = scratch.keep(
-        postings.withColumn("low", F.min("set_id").over(lists)).withColumn("high", F.max("set_id").over(lists))
-        .where((F.col("low") < F.col("high")) | (F.col("salt") > 0)).drop("low", "high", "salt").distinct(),
+        postings.withColumn("apart", F.first("set_id").over(whole) < F.last("set_id").over(whole))
+        .withColumn("repeats", repeats)
+        .where((F.col("apart") | (F.col("salt") > 0)) & ~F.col("repeats")).drop("apart", "repeats", "salt"),
         "shared",
     )
     enough = (

@@ -64,7 +64,12 @@ def shingle_hashes(text: str | None, width: int = SHINGLE_WORDS) -> np.ndarray:
     else:
         starts, ends = starts[:1], ends[-1:]
     value = (sums[ends] - sums[starts]) * _power_range(n, _INVERSE, _INVERSE_STEP)[starts]
-    return np.unique(mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    found = mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    found.sort()
+    fresh = np.empty(len(found), dtype=bool)
+    fresh[0] = True
+    np.not_equal(found[1:], found[:-1], out=fresh[1:])
+    return found[fresh]
 
 
 def set_fingerprint(hashes: np.ndarray) -> int:
