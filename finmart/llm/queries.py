@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from finmart.llm.byte_bpe import digests, encode_documents
 from finmart.llm.jaccard_join import jaccard_components
 from finmart.llm.mixing import mix_sources
+from finmart.llm.quality_rules import quality_verdicts
+from finmart.llm.toxicity import toxicity_scores
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,18 +21,28 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_read(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_documents(_read(spark, sf_dir, "documents"), with_decoded=True))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op3_quality_rules": op3_quality_rules,
     "op5_mixing": op5_mixing,
+    "op6_toxicity": op6_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES: dict[str, str] = {}

@@ -51,6 +51,23 @@ def shingle_hashes(text: str | None, width: int = SHINGLE_WORDS) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.empty(0, dtype=np.uint64)
+    found = window_hashes(words, width)
+    found.sort()
+    fresh = np.empty(len(found), dtype=bool)
+    fresh[0] = True
+    np.not_equal(found[1:], found[:-1], out=fresh[1:])
+    return found[fresh]
+
+
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """Signed 64-bit name of a set of shingles; equal sets have equal names."""
+    total = int(np.add.reduce(mix(hashes ^ np.uint64(0xA0761D6478BD642F)))) + len(hashes) * 0x2545F4914F6CDD1D
+    value = int(mix(np.array([total % (1 << 64)], dtype=np.uint64))[0])
+    return value - (1 << 64) if value >= 1 << 63 else value
+
+
+def window_hashes(words: list[bytes], width: int) -> np.ndarray:
+    """Fingerprints of all windows of ``width`` words, in order and with repeats."""
     joined = np.frombuffer(b" ".join(words), dtype=np.uint8)
     n = len(joined)
     sums = np.empty(n + 1, dtype=np.uint64)
@@ -64,16 +81,4 @@ def shingle_hashes(text: str | None, width: int = SHINGLE_WORDS) -> np.ndarray:
     else:
         starts, ends = starts[:1], ends[-1:]
     value = (sums[ends] - sums[starts]) * _power_range(n, _INVERSE, _INVERSE_STEP)[starts]
-    found = mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    found.sort()
-    fresh = np.empty(len(found), dtype=bool)
-    fresh[0] = True
-    np.not_equal(found[1:], found[:-1], out=fresh[1:])
-    return found[fresh]
-
-
-def set_fingerprint(hashes: np.ndarray) -> int:
-    """Signed 64-bit name of a set of shingles; equal sets have equal names."""
-    total = int(np.add.reduce(mix(hashes ^ np.uint64(0xA0761D6478BD642F)))) + len(hashes) * 0x2545F4914F6CDD1D
-    value = int(mix(np.array([total % (1 << 64)], dtype=np.uint64))[0])
-    return value - (1 << 64) if value >= 1 << 63 else value
+    return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
