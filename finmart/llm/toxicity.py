@@ -30,8 +30,6 @@ RATE, L1, L2 = 0.5, 0.5, 1e-3
 BANDS, BAND_ROWS = 6, 8
 SEED = 7
 CUTOFF = 0.3
-#: Bytes of a longer word that make a term of their own, so that inflected forms share one.
-HEADS = (4, 6)
 #: Terms remembered per worker process; only saves time.
 REMEMBERED = 1_000_000
 
@@ -52,9 +50,7 @@ class Terms:
 
     def slots(self, raw: bytes | None) -> np.ndarray:
         known, found = self.known, [0]
-        words = set(raw.translate(_FOLD).split()) if raw else set()
-        heads = {b"^" + word[:cut] for cut in HEADS for word in words if len(word) > cut}
-        for term in words | heads:
+        for term in set(raw.translate(_FOLD).split()) if raw else ():
             slot = known.get(term)
             if slot is None:
                 if len(known) >= REMEMBERED:
