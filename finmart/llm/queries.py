@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from finmart.llm.byte_bpe import digests, encode_documents
 from finmart.llm.jaccard_join import jaccard_components
+from finmart.llm.language_id import language_predictions
 from finmart.llm.mixing import mix_sources
 from finmart.llm.quality_rules import quality_verdicts
 from finmart.llm.toxicity import toxicity_scores
@@ -34,6 +35,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_predictions(_read(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_documents(_read(spark, sf_dir, "documents"), with_decoded=True))
 
@@ -43,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
+    "op7_language_id": op7_language_id,
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
