@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from finmart.llm.byte_bpe import digests, encode_documents
+from finmart.llm.embedding_dedup import embedding_components
 from finmart.llm.jaccard_join import jaccard_components
 from finmart.llm.language_id import language_predictions
 from finmart.llm.mixing import mix_sources
@@ -22,6 +23,10 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_read(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(_read(spark, sf_dir, "embeddings"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -45,6 +50,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
