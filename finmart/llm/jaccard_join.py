@@ -5,9 +5,11 @@ share ``need`` shingles. Light sets (up to the boundary) enumerate the two-eleme
 their prefix; larger sets enter inverted lists that are scanned. The boundary minimises the
 estimated cost of both. Whatever a list proposes is checked on the whole sets.
 
-Only components are asked for, so a list is first compared with two of its members (linear in
-its length); what then still lies in different components is compared pair by pair. No link
-between different sets is lost, and no group is expanded into all its pairs.
+Only components are asked for. Sets that reach a list count how many of their shingles any
+other such set holds: no intersection can be larger, which rules out most edited copies at once.
+A list is then compared with the one of its members that shares most (linear in its length);
+what still lies in different components is compared pair by pair. No link between different
+sets is lost, and no group is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -192,8 +194,14 @@ def choose_boundary(sizes: DataFrame, scan: float) -> int:
     return max(2, int(best["n"])) if best else 2
 
 
-def _same_size(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _enough_held(held: Column, sizes: Column) -> Column:
+    """Whether an intersection of ``held`` can reach the threshold for sets of ``sizes`` in sum."""
+    return (100 + PERCENT) * held >= PERCENT * sizes
+
+
+def _comparable() -> Column:
+    sizes = F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * PERCENT
+    return sizes & _enough_held(F.least("hx", "hy"), F.col("nx") + F.col("ny"))
 
 
 def _shared(n: Column) -> Column:
@@ -248,47 +256,59 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     members = scratch.keep(shared.join(enough, "set_id"), "members")
     scratch.drop("shared")
 
-    # round one: every member against the first and the last set of its lists
-    ends = (
-        members.groupBy("key").agg(F.min(F.struct("set_id", "n")).alias("low"), F.max(F.struct("set_id", "n")).alias("high"))
-        .where(F.col("low.set_id") < F.col("high.set_id"))
-        .select("key", F.explode(F.array("low", "high")).alias("end"))
-    )
-    meet = members.join(ends, "key").where(F.col("set_id") != F.col("end.set_id"))
-    first = scratch.keep(_pairs(meet.select(
-        F.col("set_id").alias("x"), F.col("n").alias("nx"), F.col("end.set_id").alias("y"),
-        F.col("end.n").alias("ny"), "weight")), "first")
     wanted = members.select("set_id").distinct().join(classes, "set_id").select(F.col("first_id").alias("doc_id")).distinct()
     sets = scratch.keep(
         texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets, SETS).dropDuplicates(["set_id"]),
         "sets",
     )
+    # shingles of a set that another one holds as well bound every intersection from above
+    shingles = sets.select("set_id", F.explode("hashes").alias("h"))
+    common = shingles.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("h")
+    held = shingles.join(common, "h").groupBy("set_id").agg(F.count("*").cast("int").alias("held"))
+    lists = scratch.keep(
+        members.join(held, "set_id").where(F.col("held") >= F.ceil(F.col("n") * PERCENT / 100)), "lists")
+    scratch.drop("members")
+
+    # round one: every member against the one of its list that shares the largest part
+    hubs = (
+        lists.groupBy("key").agg(
+            F.max(F.struct((F.col("held") / F.col("n")).alias("part"), "set_id", "n", "held")).alias("hub"),
+            F.min("set_id").alias("low"), F.max("set_id").alias("high"))
+        .where(F.col("low") < F.col("high")).select("key", "hub")
+    )
+    meet = lists.join(hubs, "key").where(F.col("set_id") != F.col("hub.set_id"))
+    first = scratch.keep(_pairs(meet.select(
+        F.col("set_id").alias("x"), F.col("n").alias("nx"), F.col("held").alias("hx"), F.col("hub.set_id").alias("y"),
+        F.col("hub.n").alias("ny"), F.col("hub.held").alias("hy"), "weight")), "first")
     found = scratch.keep(_linked(first, sets), "links-1")
     grouped = components(found, scratch, "groups-1")
 
     # round two: members of one list that are still apart, all of them but the largest group
     # of a list among itself
     placed = scratch.keep(
-        members.join(grouped, F.col("set_id") == F.col("node"), "left")
-        .select("key", "set_id", "n", "weight", F.coalesce("component", "set_id").alias("part")), "placed")
+        lists.join(grouped, F.col("set_id") == F.col("node"), "left")
+        .select("key", "set_id", "n", "held", "weight", F.coalesce("component", "set_id").alias("part")), "placed")
     main = (
-        placed.groupBy("key", "part").agg(F.count("*").alias("c"))
-        .groupBy("key").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("c", "part")).alias("main"))
-        .where(F.col("parts") > 1).select("key", "main")
+        placed.groupBy("key", "part").agg(F.count("*").alias("c"), F.min("n").alias("n"))
+        .groupBy("key").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("c", "part")).alias("main"),
+                            F.min("n").alias("least"))
+        .where(F.col("parts") > 1).select("key", "main", "least")
     )
-    apart = placed.join(main, "key")
+    # a row stays while the smallest set of its list would not be too large for its bound
+    apart = placed.join(main, "key").where(_enough_held(F.col("held"), F.col("n") + F.col("least")))
     x = apart.where(F.col("part") != F.col("main")).select(
-        "key", F.col("set_id").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"), "weight")
-    y = apart.select("key", F.col("set_id").alias("y"), F.col("n").alias("ny"), F.col("part").alias("py"), "main")
+        "key", F.col("set_id").alias("x"), F.col("n").alias("nx"), F.col("held").alias("hx"), F.col("part").alias("px"), "weight")
+    y = apart.select("key", F.col("set_id").alias("y"), F.col("n").alias("ny"), F.col("held").alias("hy"),
+                     F.col("part").alias("py"), "main")
     open_pairs = (
         x.join(y, "key")
-        .where((F.col("px") != F.col("py")) & _same_size(F.col("nx"), F.col("ny"))
+        .where((F.col("px") != F.col("py")) & _comparable()
                & ((F.col("py") == F.col("main")) | (F.col("x") < F.col("y"))))
     )
     second = scratch.keep(_pairs(open_pairs).join(first, ["a", "b"], "left_anti"), "second")
     links = scratch.keep(found.union(_linked(second, sets)), "links-2")
     groups = components(links, scratch, "groups-2")
-    for name in ("members", "first", "second", "placed", "links-1", "sets"):
+    for name in ("lists", "first", "second", "placed", "links-1", "sets"):
         scratch.drop(name)
 
     labelled = profile.join(groups, F.col("set_id") == F.col("node"), "left").select(
@@ -307,7 +327,7 @@ def _pairs(meetings: DataFrame) -> DataFrame:
     """Distinct pairs that share enough of their prefixes and have comparable sizes."""
     low, high = F.least("x", "y"), F.greatest("x", "y")
     return (
-        meetings.where(_same_size(F.col("nx"), F.col("ny")))
+        meetings.where(_comparable())
         .groupBy(low.alias("a"), high.alias("b"))
         .agg(F.sum("weight").alias("w"), F.min(F.least("nx", "ny")).alias("n"))
         .where(F.col("w") >= _shared(F.col("n"))).select("a", "b")
