@@ -10,8 +10,10 @@ from finmart.llm.byte_bpe import digests, encode_documents
 from finmart.llm.embedding_dedup import embedding_components
 from finmart.llm.jaccard_join import jaccard_components
 from finmart.llm.language_id import language_predictions
+from finmart.llm.license_scan import licence_matches, licence_report
 from finmart.llm.mixing import mix_sources
 from finmart.llm.quality_rules import quality_verdicts
+from finmart.llm.token_counts import token_counts
 from finmart.llm.toxicity import toxicity_scores
 
 
@@ -31,6 +33,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_report(licence_matches(_read(spark, sf_dir, "documents")))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
@@ -48,13 +54,19 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_documents(_read(spark, sf_dir, "documents"), with_decoded=True))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op4_license_scan": op4_license_scan,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {}
