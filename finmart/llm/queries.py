@@ -11,6 +11,7 @@ from finmart.llm.embedding_dedup import embedding_components
 from finmart.llm.jaccard_join import jaccard_components
 from finmart.llm.language_id import language_predictions
 from finmart.llm.license_scan import licence_matches, licence_report
+from finmart.llm.masked_lm import pseudo_likelihoods
 from finmart.llm.mixing import mix_sources
 from finmart.llm.quality_rules import quality_verdicts
 from finmart.llm.token_counts import token_counts
@@ -50,6 +51,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_predictions(_read(spark, sf_dir, "documents"))
 
 
+def op8_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihoods(_read(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_documents(_read(spark, sf_dir, "documents"), with_decoded=True))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
+    "op8_masked_lm": op8_masked_lm,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_token_counts": op10_token_counts,
 }
