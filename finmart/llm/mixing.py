@@ -47,14 +47,14 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, sha
 
     What a source cannot take is shared again by weight. In the order of size per weight, the
     sources that stop at their limit are the first ones; the level at which the others settle
-    is the largest that the rest can pay. One row per source is looked at. Strings compare by
-    their UTF-8 bytes, which is the order of code points; NULL comes last.
+    is the largest that the rest can pay. One row per source is looked at. Sources are keys of
+    ``_key``: they compare by UTF-8 bytes, which is the order of code points.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
+    by_name = Window.orderBy("source")
     turn = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
     ranked = sources.withColumn("weight", turn).withColumn("limit", F.col("source_size") * float(most))
     everything = Window.partitionBy()
-    order = Window.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last())
+    order = Window.orderBy(F.col("limit") / F.col("weight"), "source")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     pot = F.sum("source_size").over(everything) * float(share)
@@ -83,11 +83,9 @@ def solve_rates(sizes: DataFrame, targets: DataFrame, scratch: Scratch) -> DataF
     Each iteration is one aggregation of ``sizes``; only the number of open sources reaches
     the driver. A source at its limit has the multiplier infinity, one of no words zero.
     """
-    scaled = targets.join(
-        sizes.groupBy(F.col("source").alias("_s")).agg(
-            (F.sum(F.col("docs") * F.pow(F.col("size"), F.lit(2.0))) / F.sum(F.col("docs") * F.col("size"))).alias("scale"),
-            F.max("size").alias("largest"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("smallest")),
-        F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    scaled = targets.join(sizes.groupBy("source").agg(
+        (F.sum(F.col("docs") * F.pow(F.col("size"), F.lit(2.0))) / F.sum(F.col("docs") * F.col("size"))).alias("scale"),
+        F.min(F.when(F.col("size") > 0, F.col("size"))).alias("smallest")), "source")
     full = F.col("target") >= F.col("source_size") * float(MOST_COPIES) * (1 - TOLERANCE)
     # beyond these every document with a word has the most copies, or next to none
     high = F.col("scale") / F.col("smallest") * math.log(MOST_COPIES)
@@ -98,12 +96,12 @@ def solve_rates(sizes: DataFrame, targets: DataFrame, scratch: Scratch) -> DataF
         low.alias("low"), high.alias("high"),
         ((F.col("source_size") == 0) | full).alias("done")), "state-0")
     for step in range(1, STEPS + 1):
-        open_ = state.where(~F.col("done")).select(F.col("source").alias("_s"), "t", "scale")
+        open_ = state.where(~F.col("done")).select("source", "t", "scale")
         rate = _tilt(F.col("t"), F.col("size"), F.col("scale"))
         moving = F.when(rate < MOST_COPIES, rate * F.col("size") * F.col("size") / F.col("scale")).otherwise(0.0)
         sums = (
-            sizes.join(open_, F.col("source").eqNullSafe(F.col("_s")))
-            .groupBy("_s").agg(F.sum(F.col("docs") * rate * F.col("size")).alias("words"),
+            sizes.join(open_, "source")
+            .groupBy("source").agg(F.sum(F.col("docs") * rate * F.col("size")).alias("words"),
                                F.sum(F.col("docs") * moving).alias("slope"))
         )
         over = F.col("words") - F.col("target")
@@ -113,7 +111,7 @@ def solve_rates(sizes: DataFrame, targets: DataFrame, scratch: Scratch) -> DataF
         inside = F.coalesce((newton > low) & (newton < high), F.lit(False))
         following = F.when(inside, newton).otherwise((low + high) / 2)
         state = scratch.keep(
-            state.join(sums, F.col("source").eqNullSafe(F.col("_s")), "left").select(
+            state.join(sums, "source", "left").select(
                 "source", "source_size", "target", "scale",
                 F.when(F.col("done") | met, F.col("t")).otherwise(following).alias("t"),
                 low.alias("low"), high.alias("high"), (F.col("done") | met).alias("done")), f"state-{step}")
@@ -122,6 +120,11 @@ def solve_rates(sizes: DataFrame, targets: DataFrame, scratch: Scratch) -> DataF
     return state.select("source", "source_size", "target", "scale", "t")
 
 
+def _key(source: Column) -> Column:
+    """Source as a text that is never NULL and sorts like the source, NULL last."""
+    return F.when(source.isNull(), "1").otherwise(F.concat(F.lit("0"), source))
+
+
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``(doc_id, source, size, source_size, target, rate, copies, taken)`` for every row of ``docs``.
 
@@ -130,105 +133,95 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     and repeated rows are mixed like others: equal rows share the copies of their place. The
     result depends on the rows alone, not on their order. Other columns are not read.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "mixing")
+    scratch = Scratch(docs.sparkSession, "mixing")
     sized = scratch.keep(docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text).cast("string")).alias("size")), "sized")
-    return mix_sized(sized, scratch)
+        F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
+        word_count(F.col(text).cast("string")).alias("size")), "sized")
+    return _mixed(sized, scratch).drop("_row")
+
+
+def mix_and_repeat(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """Every row of ``docs`` as often as the mix takes it, with all its columns."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    sized = docs.select(
+        whole, F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
+        word_count(F.col(text).cast("string")).alias("size"))
+    times = F.array_repeat(F.lit(1), F.col("copies"))
+    return _mixed(sized, Scratch(docs.sparkSession, "mixing")).select("_row", F.explode(times)).select("_row.*")
 
 
-def mix_sized(sized: DataFrame, scratch: Scratch) -> DataFrame:
-    """``mix_sources`` for rows ``(doc_id, source, size, ...)``; further columns stay."""
+def _mixed(sized: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rates and copies for rows ``(doc_id, source, size, ...)``; further columns stay."""
+    named = sized.withColumnRenamed("source", "_name").withColumn("source", _key(F.col("_name")))
     buckets = max(BUCKETS, sized.count() // DOCUMENTS_A_BUCKET)
-    counted = scratch.keep(
-        sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
-        .groupBy("source", "size", "bucket").agg(F.count("*").alias("docs")), "counted")
+    dealt = named.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    counted = scratch.keep(dealt.groupBy("source", "size", "bucket").agg(F.count("*").alias("docs")), "counted")
     sizes = scratch.keep(counted.groupBy("source", "size").agg(F.sum("docs").alias("docs")), "sizes")
     targets = source_targets(sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size")))
     solved = solve_rates(sizes, targets, scratch)
 
     rate = F.when(F.col("size") == 0, 1.0).when(F.col("t") == float("inf"), float(MOST_COPIES)).otherwise(
         _tilt(F.col("t"), F.col("size"), F.col("scale")))
-    rated = sizes.join(solved.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    rated = rated.withColumn("rate", rate)
+    rated = sizes.join(solved, "source").withColumn("rate", rate).withColumn("fraction", F.col("rate") - F.floor("rate"))
     # running sums of the fractions: one row per size of a source, then per bucket of a size
     ladder = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    fraction = F.col("rate") - F.floor("rate")
     placed = scratch.keep(
-        rated.withColumn("fraction", fraction)
-        .withColumn("begin", F.coalesce(F.sum(F.col("docs") * F.col("fraction")).over(ladder), F.lit(0.0))), "placed")
+        rated.withColumn("begin", F.coalesce(F.sum(F.col("docs") * F.col("fraction")).over(ladder), F.lit(0.0))), "placed")
 
     def passed(begin: Column, amount: Column, offset: Column) -> Column:
         return (F.floor(begin + amount + offset) - F.floor(begin + offset)).cast("long")
 
     offsets = [k / OFFSETS for k in range(OFFSETS)]
-    whole = F.sum(F.floor("rate") * F.col("docs") * F.col("size"))
     missed = placed.groupBy("source").agg(
-        F.first("target").alias("goal"), whole.alias("whole"),
+        F.first("target").alias("goal"), F.sum(F.floor("rate") * F.col("docs") * F.col("size")).alias("whole"),
         *[F.sum(passed(F.col("begin"), F.col("docs") * F.col("fraction"), F.lit(u)) * F.col("size")).alias(f"extra{k}")
           for k, u in enumerate(offsets)])
     tries = F.array(*[
         F.struct(F.abs(F.col("whole") + F.col(f"extra{k}") - F.col("goal")).alias("miss"), F.lit(u).alias("offset"))
         for k, u in enumerate(offsets)])
-    best = missed.select(F.col("source").alias("_s"), F.array_min(tries)["offset"].alias("offset"))
+    best = missed.select("source", F.array_min(tries)["offset"].alias("offset"))
 
     within = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
-        counted.withColumn("ahead", F.coalesce(F.sum("docs").over(within), F.lit(0)))
-        .withColumnRenamed("docs", "here")
-    )
-    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    ranked_parts = (
-        parts.join(placed.withColumnsRenamed({"source": "_p", "size": "_z"}), same("source", "_p") & (F.col("size") == F.col("_z")))
-        .join(best, same("source", "_s"))
-        .select(F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("bucket").alias("_bucket"),
-                "source_size", "target", "rate", F.col("here").alias("_here"),
+        counted.withColumn("ahead", F.coalesce(F.sum("docs").over(within), F.lit(0))).withColumnRenamed("docs", "here")
+        .join(placed, ["source", "size"]).join(best, "source")
+        .select("source", "size", "bucket", "source_size", "target", "rate", "here",
                 passed(F.col("begin") + F.col("ahead") * F.col("fraction"), F.col("here") * F.col("fraction"), F.col("offset")).alias("extra"))
     )
-    ranked_parts = _repaired(scratch.keep(ranked_parts, "parts-0"), scratch)
+    parts = _repaired(scratch.keep(parts, "parts-0"), scratch)
     place = Window.partitionBy("source", "size", "bucket").orderBy(F.xxhash64("doc_id", F.lit("place")), "doc_id")
-    numbered = (
-        sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
-        .withColumn("place", F.row_number().over(place))
-    )
     copies = F.floor("rate") + F.when(F.col("place") <= F.col("extra"), 1).otherwise(0)
-    keep = [c for c in sized.columns if c not in ("doc_id", "source", "size")]
+    others = [c for c in sized.columns if c not in ("doc_id", "source", "size")]
     return (
-        numbered.join(ranked_parts, same("source", "_source") & (F.col("size") == F.col("_size")) & (F.col("bucket") == F.col("_bucket")))
+        dealt.withColumn("place", F.row_number().over(place))
+        .join(parts, ["source", "size", "bucket"])
         .withColumn("copies", copies.cast("int"))
-        .select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
-                (F.col("copies") * F.col("size")).alias("taken"), *keep)
+        .select("doc_id", F.col("_name").alias("source"), "size", "source_size", "target", "rate", "copies",
+                (F.col("copies") * F.col("size")).alias("taken"), *others)
     )
 
 
 def _repaired(parts: DataFrame, scratch: Scratch) -> DataFrame:
     """Moves the extra copies of single documents until a source cannot come nearer to its target."""
     for step in range(1, REPAIRS + 1):
-        left = parts.groupBy(F.col("_source").alias("_s")).agg(
-            (F.first("target") - F.sum((F.floor("rate") * F.col("_here") + F.col("extra")) * F.col("_size"))).alias("_left"))
+        left = parts.groupBy("source").agg(
+            (F.first("target") - F.sum((F.floor("rate") * F.col("here") + F.col("extra")) * F.col("size"))).alias("_left"))
         choices = F.filter(F.array(
-            F.when((F.col("rate") < MOST_COPIES) & (F.col("extra") < F.col("_here")),
-                   F.struct(F.abs(F.col("_left") - F.col("_size")).alias("miss"), F.lit(1).alias("move"),
-                            F.col("_size").alias("z"), F.col("_bucket").alias("b"))),
+            F.when((F.col("rate") < MOST_COPIES) & (F.col("extra") < F.col("here")),
+                   F.struct(F.abs(F.col("_left") - F.col("size")).alias("miss"), F.lit(1).alias("move"),
+                            F.col("size").alias("z"), F.col("bucket").alias("b"))),
             F.when(F.col("extra") > 0,
-                   F.struct(F.abs(F.col("_left") + F.col("_size")).alias("miss"), F.lit(-1).alias("move"),
-                            F.col("_size").alias("z"), F.col("_bucket").alias("b")))), lambda x: x.isNotNull())
+                   F.struct(F.abs(F.col("_left") + F.col("size")).alias("miss"), F.lit(-1).alias("move"),
+                            F.col("size").alias("z"), F.col("bucket").alias("b")))), lambda x: x.isNotNull())
         best = (
-            parts.where(F.col("_size") > 0).join(left, F.col("_source").eqNullSafe(F.col("_s")))
-            .select("_s", "_left", F.array_min(choices).alias("choice"))
-            .groupBy("_s").agg(F.first("_left").alias("_left"), F.min("choice").alias("choice"))
+            parts.where(F.col("size") > 0).join(left, "source")
+            .select("source", "_left", F.array_min(choices).alias("choice"))
+            .groupBy("source").agg(F.first("_left").alias("_left"), F.min("choice").alias("choice"))
             .where(F.col("choice.miss") < F.abs("_left"))
+            .select("source", F.col("choice.z").alias("size"), F.col("choice.b").alias("bucket"), F.col("choice.move").alias("move"))
         )
-        hit = (F.col("_size") == F.col("choice.z")) & (F.col("_bucket") == F.col("choice.b"))
-        moved = parts.join(best, F.col("_source").eqNullSafe(F.col("_s")) & hit, "left")
         parts = scratch.keep(
-            moved.withColumn("extra", F.col("extra") + F.coalesce("choice.move", F.lit(0))).drop("_s", "_left", "choice"),
-            f"parts-{step}")
+            parts.join(best, ["source", "size", "bucket"], "left")
+            .withColumn("extra", F.col("extra") + F.coalesce("move", F.lit(0))).drop("move"), f"parts-{step}")
         scratch.drop(f"parts-{step - 1}")
     return parts
-
-
-def repeated(mixed: DataFrame, copies: str = "copies") -> DataFrame:
-    """Every row as often as ``copies`` says."""
-    times = F.when(F.col(copies) > 0, F.sequence(F.lit(1), F.col(copies))).otherwise(F.array().cast("array<int>"))
-    return mixed.withColumn("_copy", F.explode(times)).drop("_copy")

@@ -14,14 +14,13 @@ without a certified level rejects nothing beyond the base rules.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from finmart.llm.byte_bpe import read_text
 from finmart.llm.shingles import window_hashes
 from finmart.llm.tables import Scratch, long_id
 
@@ -70,14 +69,9 @@ def text_counts(text: str) -> tuple[int, ...]:
             int(seen[0x41:0x5B].sum()), int(seen[0x21] + seen[0x3F]))
 
 
-def _count_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [text_counts(read_text(text)) for text in batch.column(2)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), *[pa.array(column, pa.int64()) for column in zip(*found)]]
-            if found else [batch.column(0), batch.column(1), *[pa.array([], pa.int64())] * len(_COUNTS)],
-            names=["doc_id", "stratum", *_COUNTS],
-        )
+@F.pandas_udf(StructType([StructField(name, LongType()) for name in _COUNTS]))
+def _counts(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([text_counts(t.decode("utf-8", "replace") if t else "") for t in texts], columns=_COUNTS, dtype="int64")
 
 
 def upper_bound(rejected: int, total: int, error: float) -> float:
@@ -105,7 +99,11 @@ def certified_levels(levels: list[tuple[int, int]], risk: float, error: float) -
     return len(levels)
 
 
-def _statistics(counts: DataFrame) -> DataFrame:
+def _measured(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with the counts of each text, shares of them and ``base_failed``."""
+    counts = docs.withColumn("_counts", _counts(F.col(text).cast("string").cast("binary"))).withColumns(
+        {name: F.col("_counts")[name] for name in _COUNTS}).drop("_counts")
+
     def share(part: str, whole: str) -> Column:
         return F.coalesce(F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double")), F.lit(0.0))
 
@@ -170,17 +168,27 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     stratum. NULL ids never match a label; repeated rows are judged alike. Without labels no
     level is certified, and only the base rules reject. Other columns are not read.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "quality")
-    shape = "doc_id long, stratum string, " + ", ".join(f"{name} long" for name in _COUNTS)
-    counts = docs.select(
-        long_id(F.col(doc_id)).alias("doc_id"), F.col(stratum).cast("string").alias("stratum"),
-        F.col(text).cast("string").cast("binary").alias("text")).mapInArrow(_count_texts, shape)
-    measured = scratch.keep(_statistics(counts), "measured")
-    chosen = choose_cutoffs(measured, labels)
-    table = spark.createDataFrame(chosen, "_s string, level int, cutoffs array<double>")
-    judged = measured.join(table, F.col("stratum").eqNullSafe(F.col("_s")), "left")
+    rows = docs.select(long_id(F.col(doc_id)).alias("doc_id"), F.col(stratum).cast("string").alias("stratum"), F.col(text).alias("text"))
+    measured = Scratch(docs.sparkSession, "quality").keep(_measured(rows, "text").drop("text"), "measured")
+    return _judged(measured, choose_cutoffs(measured, labels)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "level", *STATISTICS)
+
+
+def _judged(measured: DataFrame, chosen: list[tuple]) -> DataFrame:
+    table = measured.sparkSession.createDataFrame(chosen, "_s string, level int, cutoffs array<double>")
     rejected = F.coalesce(_rejects(F.col("cutoffs")), F.lit(False))
-    return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~rejected).alias("kept"), "level", *STATISTICS)
+    return measured.join(table, F.col("stratum").eqNullSafe(F.col("_s")), "left").withColumn(
+        "kept", ~F.col("base_failed") & ~rejected)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
+    """Rows of ``docs`` that the base rules and the certified cutoffs keep, with all their columns.
+
+    The counts are taken twice, once for the cutoffs and once here: that reads texts again but
+    moves none of them.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(whole, long_id(F.col(doc_id)).alias("doc_id"), F.col(stratum).cast("string").alias("stratum"), F.col(text).alias("text"))
+    measured = Scratch(docs.sparkSession, "quality").keep(_measured(rows.drop("_row"), "text").drop("text"), "measured")
+    judged = _judged(_measured(rows, "text"), choose_cutoffs(measured, labels))
+    return judged.where("kept").select("_row.*")

@@ -13,6 +13,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -177,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         .groupBy(key.alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
     )
-    texts = docs.select(long_id(F.col(doc_id)).alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
+    texts = docs.select(long_id(F.col(doc_id)).alias("doc_id"), _raw(text).alias("text"))
     rows = (
         texts.join(F.broadcast(marks), "doc_id").select("doc_id", "toxic", "text")
         .mapInArrow(_features, "doc_id long, toxic int, slots array<int>").toArrow().sort_by("doc_id")
@@ -190,13 +191,18 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return machine
 
 
-def _score(machine: FactorizationMachine):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = [machine.probability(_TERMS.slots(t.as_py())) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+def scorer(machine: FactorizationMachine):
+    """Column function: score of a binary text; NULL and empty texts get the constant's."""
 
-    return run
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series([machine.probability(_TERMS.slots(text)) for text in texts], dtype="float64")
+
+    return score
+
+
+def _raw(text: str) -> Column:
+    return F.col(text).cast("string").cast("binary")
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -205,9 +211,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     A NULL or empty text scores the constant of the machine. NULL ids are scored and not held
     out, repeated rows score alike, without labels every score is 0.5. Other columns are not read.
     """
-    machine = train(docs, labels, doc_id, text)
-    scored = docs.select(
-        long_id(F.col(doc_id)).alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text")
-    ).mapInArrow(_score(machine), "doc_id long, score double")
+    score = scorer(train(docs, labels, doc_id, text))
+    scored = docs.select(long_id(F.col(doc_id)).alias("doc_id"), score(_raw(text)).alias("score"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= CUTOFF).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs`` scored below CUTOFF, with all their columns."""
+    return docs.where(scorer(train(docs, labels, doc_id, text))(_raw(text)) < CUTOFF)
