@@ -36,6 +36,8 @@ BITMAP_BITS = 1 << 22
 BITMAP_MEMBERS = 1 << 19
 #: Lists of frequent shingles are split into this many for the first pass.
 SALTS = 32
+#: Times that members too poor in held shingles for the smallest set of their list leave it.
+PRUNINGS = 2
 #: Weight of a shared two-subset: it proves what many single shingles would have to.
 SUBSET_WEIGHT = 1 << 20
 
@@ -194,14 +196,18 @@ def choose_boundary(sizes: DataFrame, scan: float) -> int:
     return max(2, int(best["n"])) if best else 2
 
 
-def _enough_held(held: Column, sizes: Column) -> Column:
-    """Whether an intersection of ``held`` can reach the threshold for sets of ``sizes`` in sum."""
-    return (100 + PERCENT) * held >= PERCENT * sizes
+def _still_apart(rows: DataFrame) -> DataFrame:
+    """Lists with members of several groups, and the size of their smallest set."""
+    return (
+        rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min("n").alias("least"))
+        .where(F.col("low") < F.col("high")).select("key", "least")
+    )
 
 
 def _comparable() -> Column:
+    """Sizes, and shingles held by others too, under which a link is possible."""
     sizes = F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * PERCENT
-    return sizes & _enough_held(F.least("hx", "hy"), F.col("nx") + F.col("ny"))
+    return sizes & ((100 + PERCENT) * F.least("hx", "hy") >= PERCENT * (F.col("nx") + F.col("ny")))
 
 
 def _shared(n: Column) -> Column:
@@ -263,7 +269,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     )
     # shingles of a set that another one holds as well bound every intersection from above
     shingles = sets.select("set_id", F.explode("hashes").alias("h"))
-    common = shingles.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("h")
+    common = scratch.keep(shingles.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > 1), "common")
     held = shingles.join(common, "h").groupBy("set_id").agg(F.count("*").cast("int").alias("held"))
     lists = scratch.keep(
         members.join(held, "set_id").where(F.col("held") >= F.ceil(F.col("n") * PERCENT / 100)), "lists")
@@ -283,32 +289,50 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     found = scratch.keep(_linked(first, sets), "links-1")
     grouped = components(found, scratch, "groups-1")
 
-    # round two: members of one list that are still apart, all of them but the largest group
-    # of a list among itself
+    # round two: sets of one list that are still apart, compared by the rarest shingles they hold
     placed = scratch.keep(
         lists.join(grouped, F.col("set_id") == F.col("node"), "left")
-        .select("key", "set_id", "n", "held", "weight", F.coalesce("component", "set_id").alias("part")), "placed")
+        .select("key", "set_id", "n", "held", F.coalesce("component", "set_id").alias("part")), "placed")
+    near = placed
+    for step in range(PRUNINGS):
+        near = scratch.keep(
+            near.join(_still_apart(near), "key").where((100 + PERCENT) * F.col("held") >= PERCENT * (F.col("n") + F.col("least")))
+            .drop("least"), f"near-{step}")
+    # a set stays while the smallest one it meets would not be too large for its bound; what
+    # that one would need is also what the prefix of its held shingles has to allow for
+    least = F.greatest(F.min("least"), F.ceil(F.first("n") * PERCENT / 100))
+    apart = (
+        near.join(_still_apart(near), "key").groupBy("set_id")
+        .agg(F.first("n").alias("n"), F.first("held").alias("held"), F.first("part").alias("part"), least.alias("least"))
+        .withColumn("length", F.col("held") - F.ceil((F.col("n") + F.col("least")) * PERCENT / (100 + PERCENT)) + 1)
+        .where(F.col("length") > 0)
+    )
+    rare_first = Window.partitionBy("set_id").orderBy("c", "h")
+    heads = scratch.keep(
+        sets.select("set_id", F.explode("hashes").alias("h")).join(apart, "set_id").join(common, "h")
+        .withColumn("place", F.row_number().over(rare_first)).where(F.col("place") <= F.col("length"))
+        .select("h", "set_id", "n", "held", "part"), "heads")
+    # all members of a list but its largest group among themselves, and these against the group
     main = (
-        placed.groupBy("key", "part").agg(F.count("*").alias("c"), F.min("n").alias("n"))
-        .groupBy("key").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("c", "part")).alias("main"),
-                            F.min("n").alias("least"))
-        .where(F.col("parts") > 1).select("key", "main", "least")
+        heads.groupBy("h", "part").agg(F.count("*").alias("c"))
+        .groupBy("h").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("c", "part")).alias("main"))
+        .where(F.col("parts") > 1).select("h", "main")
     )
-    # a row stays while the smallest set of its list would not be too large for its bound
-    apart = placed.join(main, "key").where(_enough_held(F.col("held"), F.col("n") + F.col("least")))
-    x = apart.where(F.col("part") != F.col("main")).select(
-        "key", F.col("set_id").alias("x"), F.col("n").alias("nx"), F.col("held").alias("hx"), F.col("part").alias("px"), "weight")
-    y = apart.select("key", F.col("set_id").alias("y"), F.col("n").alias("ny"), F.col("held").alias("hy"),
-                     F.col("part").alias("py"), "main")
+    met = heads.join(main, "h")
+    x = met.where(F.col("part") != F.col("main")).select(
+        "h", F.col("set_id").alias("x"), F.col("n").alias("nx"), F.col("held").alias("hx"), F.col("part").alias("px"))
+    y = met.select("h", F.col("set_id").alias("y"), F.col("n").alias("ny"), F.col("held").alias("hy"),
+                   F.col("part").alias("py"), "main")
     open_pairs = (
-        x.join(y, "key")
+        x.join(y, "h")
         .where((F.col("px") != F.col("py")) & _comparable()
                & ((F.col("py") == F.col("main")) | (F.col("x") < F.col("y"))))
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     )
-    second = scratch.keep(_pairs(open_pairs).join(first, ["a", "b"], "left_anti"), "second")
+    second = scratch.keep(open_pairs.join(first, ["a", "b"], "left_anti"), "second")
     links = scratch.keep(found.union(_linked(second, sets)), "links-2")
     groups = components(links, scratch, "groups-2")
-    for name in ("lists", "first", "second", "placed", "links-1", "sets"):
+    for name in ("lists", "heads", "common", "first", "second", "placed", "links-1", "sets"):
         scratch.drop(name)
 
     labelled = profile.join(groups, F.col("set_id") == F.col("node"), "left").select(
