@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from checks.oracle_tables import (
-    AS_OF, CURRENCIES, N, Q, R, S, months, parsed_date, pick, risk_band, score_band, utilization_band,
+    AS_OF, CURRENCIES, N, Q, R, S, months, parsed_date, pick, risk_band, score_band, utilization_band, mapped,
 )
 from checks.registry import register
 from finmart import schemas
 from finmart.functions import buckets, dates, numbers, text
 from finmart.operators import flatten
 from finmart.operators.analytics import to_usd
+from finmart.plans.models import MARTS
 from finmart.plans.warehouse import Warehouse
 from finmart.sources import bronze, seeds, store
 
@@ -75,9 +76,9 @@ register("src2_append_bronze", _appended, """
       CAST(1 AS BIGINT) AS moments FROM docs GROUP BY ALL""")
 register(
     "src3_read_bronze",
-    lambda w: tally(w.store.load("bronze", "raw_documents").where("load_id = 'load-0002'"),
-                    F.get_json_object("data", "$.status").alias("status")),
-    tally_sql("docs WHERE load_id = 'load-0002'", "status"),
+    lambda w: tally(bronze.read_bronze(w.spark, w.store.path("bronze", "raw_documents")),
+                    "load_id", F.get_json_object("data", "$.status").alias("status")),
+    tally_sql("docs", "load_id", "status"),
 )
 
 
@@ -96,7 +97,7 @@ def _seed_from_csv(w: Warehouse) -> DataFrame:
     w.table("fx_rates").write.option("header", "true").csv(path)
     rates = seeds.fx_rates(w.spark, path)
     used = tally(w.table("fct_transactions"), col("currency"))
-    return used.join(F.broadcast(rates), "currency", "left").select(
+    return used.join(rates, "currency", "left").select(
         "currency", "n", col("rate_to_usd").cast("double").alias("rate"), "as_of_date"
     )
 
@@ -107,7 +108,7 @@ register("src5_seed_csv", _seed_from_csv, """
 register(
     "slv9_dim_geography",
     lambda w: tally(w.table("dim_customer").join(
-        F.broadcast(w.table("dim_geography").withColumnRenamed("country_code", "country")), "country"
+        w.table("dim_geography").withColumnRenamed("country_code", "country"), "country"
     ), *[col(c) for c in ("country", "country_name", "region", "default_currency")]),
     """SELECT country, country_name, region, default_currency, count(*) AS n FROM dim_customer
        JOIN dim_geography ON country = country_code GROUP BY ALL""",
@@ -116,7 +117,7 @@ register(
 register(
     "src6_literal_table",
     lambda w: w.table("dim_account").groupBy("currency").agg(F.count("*").alias("accounts")).join(
-        F.broadcast(w.table("dim_geography").withColumnRenamed("default_currency", "currency")), "currency", "left"),
+        w.table("dim_geography").withColumnRenamed("default_currency", "currency"), "currency", "left"),
     """SELECT currency, accounts, country_code, country_name, region
        FROM (SELECT currency, count(*) AS accounts FROM dim_account GROUP BY 1)
        LEFT JOIN dim_geography ON default_currency = currency""",
@@ -162,11 +163,10 @@ register(
         "loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss")),
     "SELECT load_id, count(*) AS records, max(loaded) AS loaded_at FROM docs GROUP BY 1",
 )
-INVENTORY = ("raw_accounts", "raw_transactions", "raw_loans", "dim_customer", "fct_loans", "mart_account_mix")
 register(
     "src12_table_inventory",
-    lambda w: store.table_inventory({name: w.table(name) for name in INVENTORY}),
-    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in INVENTORY),
+    lambda w: store.table_inventory({name: w.saved(name) for name in MARTS}),
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in MARTS),
 )
 
 # --- documents -------------------------------------------------------------------------
@@ -254,24 +254,16 @@ scalar("cln1_blank_to_null", "documents.transactions", "channel", text.blank_to_
        "CASE channel WHEN 'branch' THEN ' branch' ELSE channel END", "trim(raw)")
 scalar("cln2_normalize_casing", "documents.accounts", "account_type", text.normalize_casing, "all_accounts",
        "CASE account_type WHEN 'credit_card' THEN ' credit_card' ELSE account_type END", "lower(trim(raw))")
-CASES = {"active": "activo", "inactive": "inactivo", "suspended": "suspendido", "closed": "cerrado"}
-
-
-def swap(pairs: dict[str, str]) -> str:
-    """SQL that maps the folded text, stated from the result back to its spelling."""
-    arms = " ".join(f"WHEN lower(trim(raw)) = '{spelling}' THEN '{result}'" for result, spelling in pairs.items())
-    return f"CASE {arms} ELSE lower(trim(raw)) END"
-
-
-scalar("cln3_customer_status", "documents", "status", text.normalize_customer_status, "docs", "status", swap(CASES))
+scalar("cln3_customer_status", "documents", "status", text.normalize_customer_status, "docs", "status",
+       mapped("raw", activo="active", inactivo="inactive", suspendido="suspended", cerrado="closed"))
 scalar("cln4_account_status", "raw_accounts", "status", text.normalize_account_status, "raw_accounts", "status",
-       swap({"active": "activo", "frozen": "congelado", "closed": "cerrado"}))
+       mapped("raw", activo="active", congelado="frozen", cerrado="closed"))
 scalar("cln5_customer_segment", "documents", "customer_segment", text.normalize_customer_segment, "docs",
-       "customer_segment", swap({"retail": "minorista", "private_banking": "banca_privada", "sme": "pyme"}))
+       "customer_segment", mapped("raw", minorista="retail", banca_privada="private_banking", pyme="sme"))
 scalar("cln6_transaction_type", "raw_transactions", "transaction_type", text.normalize_transaction_type,
        "raw_transactions", "transaction_type",
-       swap({"deposit": "deposito", "withdrawal": "retiro", "transfer": "transferencia", "payment": "pago",
-             "refund": "reembolso", "fee": "comision"}))
+       mapped("raw", deposito="deposit", retiro="withdrawal", transferencia="transfer", pago="payment",
+              reembolso="refund", comision="fee"))
 scalar("cln7_transaction_category", "documents.transactions", "category", text.normalize_transaction_category,
        "all_transactions", "coalesce(category, '')", "CASE WHEN length(raw) > 4 THEN lower(raw) END")
 scalar("cln8_collateral_type", "raw_loans", "collateral_type", text.normalize_collateral_type, "raw_loans",
@@ -424,8 +416,8 @@ register("mth6_principal_repaid",
              {R('(principal - outstanding_balance) / principal * 100')} AS principal_repaid_pct FROM stg_loans""")
 register("mth7_to_usd",
          lambda w: to_usd(w.table("fct_loans"), w.table("fx_rates"), "currency").groupBy("currency").agg(
-             numbers.exact_sum(col("principal") * col("rate_to_usd"), 6).alias("principal_usd")),
-         f"SELECT currency, {R(S('principal * rate', 6))} AS principal_usd FROM fct_loans JOIN fx_rates USING (currency) GROUP BY 1")
+             numbers.exact_sum(col("principal") * col("rate_to_usd")).alias("principal_usd")),
+         f"SELECT currency, {R(S('principal * rate'))} AS principal_usd FROM fct_loans JOIN fx_rates USING (currency) GROUP BY 1")
 register("mth8_differs",
          lambda w: tally(w.table("int_customer_monthly_revenue"), numbers.differs(
              col("monthly_fee_revenue_native"), col("monthly_fee_revenue_usd"), 0.0001).alias("apart")),

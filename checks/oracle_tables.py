@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from finmart.sources import seeds
+
 AS_OF = "DATE '2001-12-31'"
 MONTH0 = "DATE '2001-12-01'"
 
@@ -57,18 +59,20 @@ def no_marker(text: str) -> str:
     return f"CASE WHEN lower(trim({text})) NOT IN ('', 'na', 'null', 'n/a') THEN lower(trim({text})) END"
 
 
-def S(x: str, places: int = 4, where: str = "") -> str:
+def S(x: str, where: str = "") -> str:
     tail = f" FILTER (WHERE {where})" if where else ""
-    return f"(sum(round_even(({x}) * 1e{places}, 0)){tail} / 1e{places})"
+    return f"CAST(printf('%.14e', fsum({x}){tail}) AS DOUBLE)"
 
 
-def A(x: str, places: int = 4, where: str = "") -> str:
+def A(x: str, where: str = "") -> str:
     tail = f" FILTER (WHERE {where})" if where else ""
-    return f"({S(x, places, where)} / nullif(count({x}){tail}, 0))"
+    return f"({S(x, where)} / nullif(count({x}){tail}, 0))"
 
 
-def R(x: str, places: int = 6) -> str:
-    """Round half away from zero on the printed value, as a double."""
+def R(x: str, places: int | None = None) -> str:
+    """Round half away from zero on the printed value, as a double; six places, three from 1e8 on."""
+    if places is None:
+        return f"CASE WHEN abs({x}) >= 1e8 THEN {R(x, 3)} ELSE {R(x, 6)} END"
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {places}) AS DOUBLE)"
 
 
@@ -95,7 +99,7 @@ T["docs"] = f"""
 SELECT c.*, slot, k * 4 + slot AS bronze_id,
   CASE WHEN slot = 2 THEN 'load-0002' ELSE 'load-0001' END AS load_id,
   CASE WHEN slot = 2 THEN '2001-12-15 06:00:00' ELSE '2001-11-30 06:00:00' END AS loaded,
-  'CUST-' || lpad(CAST(k AS VARCHAR), 7, '0') AS customer_id,
+  'CUST-' || lpad(CAST(k AS VARCHAR), CAST(greatest(7, length(CAST(k AS VARCHAR))) AS INTEGER), '0') AS customer_id,
   {pick(COUNTRIES, 'c_nationkey')} AS country,
   {spelled("DATE '1930-01-01' + CAST(k * 7919 % 20200 AS INTEGER)", 'k')} AS date_of_birth,
   {spelled("DATE '1996-01-01' + CAST(k * 733 % 2170 AS INTEGER)", 'k // 4')} AS registration_date,
@@ -199,8 +203,8 @@ FROM raw_loans"""
 
 T["dim_customer"] = f"""
 SELECT *, CAST(trunc(age_months / 1e0 / 12) AS INTEGER) AS age,
-  CASE WHEN age_months IS NULL THEN 'unknown' WHEN age_months < 216 THEN 'under_18' WHEN age_months < 312 THEN '18-25'
-    WHEN age_months < 432 THEN '26-35' WHEN age_months < 612 THEN '36-50' WHEN age_months < 792 THEN '51-65'
+  CASE WHEN age_months IS NULL THEN 'unknown' WHEN age_months < 18 * 12 THEN 'under_18' WHEN age_months < 26 * 12 THEN '18-25'
+    WHEN age_months < 36 * 12 THEN '26-35' WHEN age_months < 51 * 12 THEN '36-50' WHEN age_months < 66 * 12 THEN '51-65'
     ELSE '65+' END AS age_bucket,
   CASE WHEN tenure_months IS NULL THEN 'unknown' WHEN tenure_months < 6 THEN 'new'
     WHEN tenure_months <= 24 THEN 'established' ELSE 'loyal' END AS tenure_bucket
@@ -248,16 +252,13 @@ SELECT * EXCLUDE (bronze_id, loaded), CAST({months(AS_OF, 'start_date')} AS INTE
   principal - outstanding_balance AS principal_repaid,
   (principal - outstanding_balance) / nullif(principal, 0) * 100 AS principal_repaid_pct
 FROM stg_loans"""
-T["dim_geography"] = """
-SELECT * FROM (VALUES ('AR', 'Argentina', 'ARS'), ('BR', 'Brazil', 'BRL'), ('CL', 'Chile', 'CLP'),
-  ('CO', 'Colombia', 'COP'), ('MX', 'Mexico', 'MXN'), ('PE', 'Peru', 'PEN'), ('UY', 'Uruguay', 'UYU'))
-  AS g(country_code, country_name, default_currency), (VALUES ('LATAM')) AS r(region)"""
+T["dim_geography"] = f"""
+SELECT * FROM (VALUES {', '.join(map(str, seeds.COUNTRIES))}) AS g(country_code, country_name, region, default_currency)"""
 T["country_currency"] = "SELECT country_code, default_currency AS currency_code FROM dim_geography"
-T["fx_rates"] = """
+T["fx_rates"] = f"""
 SELECT currency, CAST(rate AS DOUBLE) AS rate, CAST(rate AS DECIMAL(18,8)) AS rate_to_usd,
-  DATE '2026-05-16' AS as_of_date
-FROM (VALUES ('ARS', '0.000717'), ('BRL', '0.2'), ('CLP', '0.001127'), ('COP', '0.000264'), ('EUR', '1.16'),
-  ('MXN', '0.058'), ('PEN', '0.27'), ('USD', '1'), ('UYU', '0.02485')) f(currency, rate)"""
+  DATE '{seeds.FX_QUOTED_ON}' AS as_of_date
+FROM (VALUES {', '.join(map(str, seeds.FX_RATES))}) f(currency, rate)"""
 CALENDAR = """
 SELECT d AS date_day, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
   CAST(month(d) AS INTEGER) AS month, CAST(week(d) AS INTEGER) AS week_of_year, CAST(day(d) AS INTEGER) AS day_of_month,
@@ -323,12 +324,12 @@ LEFT JOIN (SELECT customer_id, count(*) AS n, count(*) FILTER (WHERE is_delinque
              count(*) FILTER (WHERE is_default) AS f FROM int_loan_portfolio_metrics GROUP BY 1) USING (customer_id)
 WHERE risk_score IS NOT NULL"""
 T["fees_usd"] = f"""
-SELECT customer_id, {S('amount')} AS fees_native, {S('amount * rate', 6)} AS fees_usd
+SELECT customer_id, {S('amount')} AS fees_native, {S('amount * rate')} AS fees_usd
 FROM fct_transactions LEFT JOIN fx_rates USING (currency)
 WHERE transaction_type = 'fee' AND status = 'completed' GROUP BY customer_id"""
 T["interest_usd"] = f"""
-SELECT customer_id, {S('outstanding_balance * interest_rate_decimal / 12', 6)} AS interest_native,
-  {S('outstanding_balance * interest_rate_decimal / 12 * rate', 6)} AS interest_usd
+SELECT customer_id, {S('outstanding_balance * interest_rate_decimal / 12')} AS interest_native,
+  {S('outstanding_balance * interest_rate_decimal / 12 * rate')} AS interest_usd
 FROM fct_loans LEFT JOIN fx_rates USING (currency)
 WHERE status IN ('current', 'delinquent') GROUP BY customer_id"""
 T["int_customer_monthly_revenue"] = f"""
@@ -368,11 +369,11 @@ FROM (SELECT *, lag(new_customers) OVER (ORDER BY month) AS prior FROM (
   SELECT CAST(date_trunc('month', registration_date) AS DATE) AS month, count(DISTINCT customer_id) AS new_customers
   FROM dim_customer WHERE registration_date IS NOT NULL GROUP BY 1))"""
 T["mart_revenue_by_segment_usd"] = f"""
-SELECT customer_segment, count(*) AS customer_count, {S('fee + interest', 6)} AS total_revenue_usd,
-  {A('fee + interest', 6)} AS avg_revenue_per_customer_usd, {S('fee', 6)} AS total_fee_revenue_usd,
-  {S('interest', 6)} AS total_interest_revenue_usd, {A('fee', 6)} AS avg_fee_revenue_per_customer_usd,
-  {A('interest', 6)} AS avg_interest_revenue_per_customer_usd,
-  {S('fee', 6)} / nullif({S('fee + interest', 6)}, 0) AS fee_revenue_share
+SELECT customer_segment, count(*) AS customer_count, {S('fee + interest')} AS total_revenue_usd,
+  {A('fee + interest')} AS avg_revenue_per_customer_usd, {S('fee')} AS total_fee_revenue_usd,
+  {S('interest')} AS total_interest_revenue_usd, {A('fee')} AS avg_fee_revenue_per_customer_usd,
+  {A('interest')} AS avg_interest_revenue_per_customer_usd,
+  {S('fee')} / nullif({S('fee + interest')}, 0) AS fee_revenue_share
 FROM (SELECT customer_segment, coalesce(fees_usd / greatest(tenure_months, 3), 0) AS fee,
         coalesce(interest_usd, 0) AS interest
       FROM dim_customer LEFT JOIN fees_usd USING (customer_id) LEFT JOIN interest_usd USING (customer_id))
@@ -383,13 +384,13 @@ SELECT revenue_month, customer_segment, {R('coalesce(fee, 0)', 2)} AS fee_revenu
   {R('(coalesce(fee, 0) + coalesce(interest, 0))', 2)} AS total_revenue_usd
 FROM (
   SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS revenue_month, customer_segment,
-    {S('amount * rate', 6)} AS fee
+    {S('amount * rate')} AS fee
   FROM fct_transactions JOIN (SELECT customer_id, customer_segment FROM dim_customer) USING (customer_id)
   LEFT JOIN fx_rates USING (currency)
   WHERE transaction_type = 'fee' AND status = 'completed' AND transaction_date < {MONTH0} GROUP BY 1, 2)
 FULL JOIN (
   SELECT m AS revenue_month, customer_segment,
-    {S('outstanding_balance * interest_rate_decimal / 12 * rate', 6)} AS interest
+    {S('outstanding_balance * interest_rate_decimal / 12 * rate')} AS interest
   FROM fct_loans JOIN (SELECT customer_id, customer_segment FROM dim_customer) USING (customer_id)
   LEFT JOIN fx_rates USING (currency)
   JOIN (SELECT DISTINCT CAST(date_trunc('month', transaction_date) AS DATE) AS m FROM fct_transactions
@@ -437,14 +438,14 @@ SELECT *, {Q('total_outstanding_balance', 'sum(total_outstanding_balance) OVER (
     AS outstanding_share_within_type_currency
 FROM (SELECT loan_type, status, currency, count(*) AS loan_count, {S('principal')} AS total_principal,
         {S('outstanding_balance')} AS total_outstanding_balance, {A('outstanding_balance')} AS avg_outstanding_balance,
-        {A('interest_rate_decimal', 6)} AS avg_interest_rate,
-        {S('monthly_interest_accrued', 6)} AS total_monthly_interest_accrued,
+        {A('interest_rate_decimal')} AS avg_interest_rate,
+        {S('monthly_interest_accrued')} AS total_monthly_interest_accrued,
         {N('', 'is_delinquent')} AS delinquent_count, {N('', 'is_default')} AS default_count
       FROM int_loan_portfolio_metrics GROUP BY 1, 2, 3)"""
 
 DONE = "status = 'completed'"
-TX = f"""count(*) AS tx_count, {N('', DONE)} AS completed_tx_count, {S('amount', 4, DONE)} AS total_value,
-  {A('amount', 4, DONE)} AS avg_ticket"""
+TX = f"""count(*) AS tx_count, {N('', DONE)} AS completed_tx_count, {S('amount', DONE)} AS total_value,
+  {A('amount', DONE)} AS avg_ticket"""
 T["mart_tx_by_channel"] = f"""
 SELECT channel, currency, {TX}, {N('', 'is_failed')} AS failed_tx_count, {Q(N('', 'is_failed'), 'count(*)')} AS failed_rate
 FROM fct_transactions WHERE amount IS NOT NULL GROUP BY 1, 2"""
@@ -458,8 +459,8 @@ T["mart_international_transfers"] = f"""
 SELECT country AS origin_country, tx_currency, count(*) AS tx_count, {N('', 'abroad')} AS international_tx_count,
   {N('', 'NOT abroad')} AS domestic_tx_count, {N('', DONE)} AS completed_tx_count,
   {N('', ABROAD_DONE)} AS completed_international_tx_count, {Q(N('', 'abroad'), 'count(*)')} AS international_share,
-  {S('amount', 4, DONE)} AS total_value, {S('amount', 4, ABROAD_DONE)} AS total_international_value,
-  {A('amount', 4, DONE)} AS avg_ticket, {A('amount', 4, ABROAD_DONE)} AS avg_international_ticket
+  {S('amount', DONE)} AS total_value, {S('amount', ABROAD_DONE)} AS total_international_value,
+  {A('amount', DONE)} AS avg_ticket, {A('amount', ABROAD_DONE)} AS avg_international_ticket
 FROM (SELECT country, t.currency AS tx_currency, amount, t.status,
         coalesce(t.currency NOT IN (a.currency, currency_code), false) AS abroad
       FROM fct_transactions t JOIN dim_account a USING (account_id)

@@ -31,10 +31,10 @@ QUESTION_SQL = {
         {R(S('total_balance'), 2)} AS total_balance_native_ccy, {R(A('avg_balance'), 2)} AS avg_balance_native_ccy
         FROM mart_account_mix WHERE total_balance IS NOT NULL GROUP BY ALL""",
     "bq3": f"""SELECT channel, currency, {N('sum(completed_tx_count)')} AS completed_tx_count,
-        {R(S('total_value'), 2)} AS total_value_native_ccy, {R(A('avg_ticket', 6), 2)} AS avg_ticket_native_ccy
+        {R(S('total_value'), 2)} AS total_value_native_ccy, {R(A('avg_ticket'), 2)} AS avg_ticket_native_ccy
         FROM mart_tx_by_channel WHERE total_value IS NOT NULL GROUP BY ALL""",
     "bq4": f"""SELECT loan_type, currency, {N('sum(loan_count)')} AS active_loan_count,
-        {R(S('total_monthly_interest_accrued', 6), 2)} AS monthly_interest_native_ccy
+        {R(S('total_monthly_interest_accrued'), 2)} AS monthly_interest_native_ccy
         FROM mart_loan_composition WHERE status IN ('current', 'delinquent') GROUP BY ALL""",
     "bq5": f"""SELECT customer_segment, customer_count, {R('delinquency_rate', 4)} AS delinquency_rate,
         {R('default_rate', 4)} AS default_rate FROM mart_delinquency_by_segment""",
@@ -100,18 +100,18 @@ for _name in QUESTIONS:
 register(
     "kpi1_customers_and_assets",
     lambda w: measures.customers_and_assets(*w.tables("dim_customer", "dim_account", "fx_rates")),
-    f"""SELECT (SELECT count(*) FROM dim_customer) AS total_customers, {R(S('balance * rate', 6))} AS total_assets_usd
+    f"""SELECT (SELECT count(*) FROM dim_customer) AS total_customers, {R(S('balance * rate'))} AS total_assets_usd
         FROM dim_account LEFT JOIN fx_rates USING (currency) WHERE status = 'active'""",
 )
 register(
     "kpi2_median_revenue",
-    lambda w: measures.median_revenue(w.table("mart_customer_360")),
+    lambda w: measures.median_revenue(w.saved("mart_customer_360")),
     f"""SELECT {R('median(total_revenue_monthly)')} AS median_revenue,
         {R(A('total_revenue_monthly'))} AS avg_revenue FROM mart_customer_360""",
 )
 register(
     "kpi3_transaction_headlines",
-    lambda w: measures.transaction_headlines(*w.tables("fct_transactions", "mart_revenue_monthly_by_segment_usd")),
+    lambda w: measures.transaction_headlines(w.table("fct_transactions"), w.saved("mart_revenue_monthly_by_segment_usd")),
     f"""SELECT {R('median(amount)')} AS median_ticket, {R(Q(N('', 'is_failed'), 'count(*)'))} AS failure_rate,
         (SELECT {R(S('total_revenue_usd'))} FROM mart_revenue_monthly_by_segment_usd) AS total_revenue_usd
         FROM fct_transactions WHERE currency = 'USD' AND amount IS NOT NULL""",

@@ -40,7 +40,7 @@ register("flt4_filtered_aggregates",
              exact_sum(F.when(col("status") == "completed", col("amount"))).alias("value"),
              exact_avg(F.when(col("is_failed"), col("amount"))).alias("failed_ticket")),
          f"""SELECT channel, {N('', "status = 'completed'")} AS completed,
-             {R(S('amount', 4, "status = 'completed'"))} AS value, {R(A('amount', 4, 'is_failed'))} AS failed_ticket
+             {R(S('amount', "status = 'completed'"))} AS value, {R(A('amount', 'is_failed'))} AS failed_ticket
              FROM fct_transactions GROUP BY 1""")
 register("flt5_null_unsafe_inequality",
          lambda w: tally(w.table("fct_transactions"),
@@ -115,7 +115,7 @@ register("jn6_months_since_start", _running_loans, """
     GROUP BY 1""")
 register("jn7_lookup_join",
          lambda w: tally(w.table("dim_customer").join(
-             F.broadcast(w.table("country_currency").withColumnRenamed("country_code", "country")), "country", "left"),
+             w.table("country_currency").withColumnRenamed("country_code", "country"), "country", "left"),
              "country", "currency_code"),
          tally_sql("dim_customer JOIN country_currency ON country_code = country", "country", "currency_code"))
 register("jn8_using",
@@ -197,8 +197,8 @@ register("agg7_share_of_total",
              FROM (SELECT country, customer_segment, count(*) AS n FROM dim_customer GROUP BY ALL)""")
 register("agg8_rollup_of_mart",
          lambda w: w.table("mart_tx_by_channel").groupBy("currency").agg(
-             F.sum("tx_count").alias("tx_count"), exact_avg(col("avg_ticket"), 6).alias("mean_of_means")),
-         f"""SELECT currency, {N('sum(tx_count)')} AS tx_count, {R(A('avg_ticket', 6))} AS mean_of_means
+             F.sum("tx_count").alias("tx_count"), exact_avg(col("avg_ticket")).alias("mean_of_means")),
+         f"""SELECT currency, {N('sum(tx_count)')} AS tx_count, {R(A('avg_ticket'))} AS mean_of_means
              FROM mart_tx_by_channel GROUP BY 1""")
 register("agg9_median",
          lambda w: exact_median(w.table("fct_loans"), "outstanding_balance"),
@@ -286,9 +286,10 @@ register("srt1_multi_key",
              "category", "currency", "completed_tx_count"),
          "SELECT category, currency, completed_tx_count FROM mart_tx_by_category")
 register("srt2_desc_nulls_last",
-         lambda w: w.table("dim_customer").orderBy(col("lat").desc_nulls_last(), "customer_id").limit(100).select("customer_id", "lat"),
-         f"""SELECT customer_id, {R('y')} AS lat FROM (SELECT customer_id, lat AS y FROM dim_customer
-             ORDER BY lat DESC NULLS LAST, customer_id LIMIT 100)""")
+         lambda w: ordinal(w.table("dim_customer").select("customer_id", "lat", F.lit(1).alias("all")), "all", "lat",
+                           "customer_id", "position", nulls_last=True).drop("all"),
+         f"""SELECT customer_id, {R('lat')} AS lat, row_number() OVER (ORDER BY lat DESC NULLS LAST, customer_id) AS position
+             FROM dim_customer""")
 register("srt3_top_k",
          lambda w: customers_by_city(w.table("mart_customer_360"), 10),
          """SELECT country, city, count(*) AS customer_count FROM mart_customer_360 GROUP BY ALL

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from finmart.functions.numbers import ratio
-from finmart.session import cut_lineage
 
-SINGLE_TASK_ROWS = 1_000_000
+#: Letters of a name that split rows of equal value.
+PREFIX = 12
 
 
 def count_where(condition: Column) -> Column:
@@ -37,79 +40,85 @@ def growth_percent(value: Column, order: str) -> Column:
     return F.round(ratio(value - previous, previous) * 100, 2)
 
 
-def ordinal(df: DataFrame, within: str, order: list[Column], name: str,
-            single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    """Row number of each row inside ``within`` under a total ``order``.
+def _coarse(value: Column) -> Column:
+    """A whole number that never decreases with ``value``; finitely many for all doubles."""
+    return F.signum(value) * F.floor(64 * F.log2(1 + F.abs(value.cast("double"))))
 
-    Groups that fit one task use a plain window. Larger ones are range-partitioned on the
-    order: rows are numbered inside their slice and shifted by the size of the slices
-    before it, so no task holds a whole group.
-    """
-    sizes = df.groupBy(within).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if sizes <= single_task_rows:
-        window = Window.partitionBy(within).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("long"))
-    slices = max(2, -(-sizes // single_task_rows) * 4)
-    sliced = cut_lineage(
-        df.repartitionByRange(slices, F.col(within).asc_nulls_first(), *order)
-        .withColumn("_slice", F.spark_partition_id())
-    )
-    before = Window.partitionBy(within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(within, "_slice").agg(F.count("*").alias("_n"))
-        .select(F.col(within).alias("_within"), F.col("_slice").alias("_at"),
-                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    local = F.row_number().over(Window.partitionBy(within, "_slice").orderBy(*order))
-    return (
-        sliced.withColumn("_local", local)
-        .join(offsets, F.col(within).eqNullSafe(F.col("_within")) & (F.col("_slice") == F.col("_at")))
-        .withColumn(name, F.col("_local") + F.col("_offset"))
-        .drop("_slice", "_local", "_within", "_at", "_offset")
-    )
 
+def _fine(value: Column) -> Column:
+    """The same with 65,536 steps inside one coarse step."""
+    return F.signum(value) * F.floor((64 << 16) * F.log2(1 + F.abs(value.cast("double"))))
 
-def to_usd(df: DataFrame, fx_rates: DataFrame, currency: str, rate: str = "rate_to_usd") -> DataFrame:
-    """``df`` with the dollar rate of its currency; NULL for a currency without a rate."""
-    quotes = F.broadcast(
-        fx_rates.select(F.col("currency").alias("_ccy"), F.col("rate_to_usd").cast("double").alias(rate))
-    )
+
+def ordinal(df: DataFrame, within: str, value: str, name: str, rank: str,
+            nulls_last: bool = False) -> DataFrame:
+    """Row number inside ``within`` by ``value`` from high to low, then by ``name``; NULL values first or last.
+
+    Rows are counted by coarse steps of the value, by values of one step and by first letters
+    among equal values. A rank is the number of rows in the slices before, plus the place inside
+    the last slice, so no window ever holds a whole group.
+    """
+    high_first = F.desc_nulls_last if nulls_last else F.desc_nulls_first
+    directions = {"_step": high_first, "_value": high_first, "_head": F.asc_nulls_first}
+    rows = df.withColumns({
+        "_within": F.col(within), "_step": _coarse(F.col(value)), "_value": F.col(value),
+        "_head": F.substring(name, 1, PREFIX), "_before": F.lit(0).cast("long")})
+    path = ["_within"]
+    for level in directions:
+        before = Window.partitionBy(*path).orderBy(directions[level](level)).rowsBetween(Window.unboundedPreceding, -1)
+        sizes = rows.groupBy(*path, level).agg(F.count("*").alias("_n")).select(
+            *[F.col(c).alias(f"{c}_") for c in (*path, level)], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+        path.append(level)
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in path])
+        rows = rows.join(sizes, same).withColumn("_before", F.col("_before") + F.col("_ahead")).drop(
+            "_ahead", *[f"{c}_" for c in path])
+    place = F.row_number().over(Window.partitionBy(*path).orderBy(F.col(name).asc()))
+    return rows.withColumn(rank, F.col("_before") + place).drop("_before", *path)
+
+
+def to_usd(df: DataFrame, fx_rates: DataFrame, currency: str, rate: str = "rate_to_usd",
+           as_of: date | None = None) -> DataFrame:
+    """``df`` with the dollar rate of its currency; NULL for a currency without a rate.
+
+    Of several quotations of a currency the newest one counts, up to ``as_of`` if that is given.
+    """
+    known = fx_rates if as_of is None else fx_rates.where(F.col("as_of_date") <= F.lit(as_of))
+    newest = F.struct("as_of_date", "rate_to_usd") if "as_of_date" in fx_rates.columns else F.col("rate_to_usd")
+    quotes = known.groupBy(F.col("currency").alias("_ccy")).agg(
+        F.max_by("rate_to_usd", newest).cast("double").alias(rate))
     return df.join(quotes, F.col(currency) == F.col("_ccy"), "left").drop("_ccy")
 
 
-def exact_median(df: DataFrame, column: str, single_task_values: int = 1_000_000) -> DataFrame:
+def exact_median(df: DataFrame, column: str) -> DataFrame:
     """The median of a numeric column as a one-row table ``median``.
 
-    Quantile sketches narrow the column to a bracket around the middle rank until few
-    enough distinct values remain; only those are ranked. Counts below the bracket keep the
-    rank exact, so the sketch error costs a wider bracket and never a wrong value.
+    Distinct values are counted, then the two middle ranks are looked for in coarse steps of
+    the values, in the fine steps of the coarse step found, and among the values of the fine
+    step found. Every running sum covers a bounded number of steps, or the values of one
+    narrow step. Nothing runs before the table is used.
     """
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    v, accuracy = F.col("v"), 10_000
-    size = values.agg(F.count("*").alias("n"), F.approx_count_distinct("v").alias("d")).first()
-    below, inside, n, distinct = 0, values, size["n"], size["d"]
-    ranks, slack = ((n - 1) // 2, n // 2), 2.0
-    while distinct > single_task_values:
-        middle, margin = (ranks[0] - below) / n, slack * (1 / accuracy + 1 / n)
-        around = [max(0.0, middle - margin), min(1.0, middle + margin)]
-        low, high = inside.agg(F.percentile_approx("v", around, accuracy).alias("q")).first()["q"]
-        bracket = v.between(low, high)
-        found = values.agg(
-            F.count_if(v < low).alias("below"), F.count_if(bracket).alias("n"),
-            F.approx_count_distinct(F.when(bracket, v)).alias("d"),
-        ).first()
-        if not found["below"] <= ranks[0] <= ranks[1] < found["below"] + found["n"]:
-            slack *= 4
-            continue
-        stuck = found["d"] >= distinct
-        below, inside, n, distinct = found["below"], values.where(bracket), found["n"], found["d"]
-        if stuck:
-            break
-    per_value = inside.groupBy("v").agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = per_value.withColumn("last", upto + F.lit(below - 1)).withColumn("first", F.col("last") - F.col("c") + 1)
-
-    def at(rank: int) -> Column:
-        return F.max(F.when(F.lit(rank).between(F.col("first"), F.col("last")), v))
-
-    return placed.agg(((at(ranks[0]) + at(ranks[1])) / 2).alias("median"))
+    v = F.col("v")
+    counted = (
+        df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n"))
+        .withColumns({"coarse": _coarse(v), "fine": _fine(v)})
+    )
+
+    def at(level: str, slices: DataFrame, *above: str) -> DataFrame:
+        """Slices of ``level`` that hold a middle rank, with the rows ahead of them."""
+        upto = Window.partitionBy(*above).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        placed = slices.withColumn("ahead", F.col("ahead") + F.coalesce(F.sum("n").over(upto), F.lit(0)))
+        holds = [(F.col("ahead") <= F.col(r)) & (F.col(r) < F.col("ahead") + F.col("n")) for r in ("low", "high")]
+        return placed.where(holds[0] | holds[1])
+
+    total = F.sum("n").over(Window.partitionBy())
+    steps = counted.groupBy("coarse").agg(F.sum("n").alias("n")).withColumns({
+        "ahead": F.lit(0).cast("long"), "low": F.floor((total - 1) / 2), "high": F.floor(total / 2)})
+    step = at("coarse", steps).select("coarse", "ahead", "low", "high")
+    narrow = counted.groupBy("coarse", "fine").agg(F.sum("n").alias("n")).join(step, "coarse")
+    slot = at("fine", narrow, "coarse").select("fine", "ahead", "low", "high")
+    values = at("v", counted.select("fine", "v", "n").join(slot, "fine"), "fine")
+
+    def value_at(rank: str) -> Column:
+        return F.max(F.when((F.col("ahead") <= F.col(rank)) & (F.col(rank) < F.col("ahead") + F.col("n")), v))
+
+    return values.agg(((value_at("low") + value_at("high")) / 2).alias("median"))

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from finmart.functions import buckets, dates
-from finmart.functions.numbers import USD_PLACES, billing_months, exact_avg, exact_sum, ratio
+from finmart.functions.numbers import billing_months, exact_avg, exact_sum, ratio
 from finmart.operators.analytics import (
     count_where,
     growth_percent,
@@ -28,7 +28,6 @@ from finmart.plans.intermediate import (
     interest_by_customer_usd,
     is_completed_fee,
 )
-from finmart.session import cut_lineage
 
 col = F.col
 
@@ -69,7 +68,7 @@ def mart_customer_360(
     interest = (
         fct_loans.where(accrues_interest())
         .groupBy("customer_id")
-        .agg(F.round(exact_sum(accrued_interest(), USD_PLACES), 2).alias("monthly_interest_income"))
+        .agg(F.round(exact_sum(accrued_interest()), 2).alias("monthly_interest_income"))
     )
     profile = dim_customer.where(col("risk_score").isNotNull()).select(
         "customer_id", "country", "city", "gender", "age", "age_bucket", "customer_segment",
@@ -136,10 +135,10 @@ def mart_revenue_by_segment_usd(
     )
 
     def total(name: str) -> Column:
-        return exact_sum(col(name), USD_PLACES)
+        return exact_sum(col(name))
 
     def average(name: str) -> Column:
-        return exact_avg(col(name), USD_PLACES)
+        return exact_avg(col(name))
 
     return per_customer.groupBy("customer_segment").agg(
         rows().alias("customer_count"),
@@ -162,8 +161,8 @@ def mart_revenue_monthly_by_segment_usd(
 ) -> DataFrame:
     """Fees by the month they were paid, and interest in every month since the loan began.
 
-    Interest is summed by segment and start month first. Only that small table meets the
-    list of months, which arrives as one array bounded by the calendar.
+    Interest is summed by segment and start month first; what a month earns is the running sum
+    of that small table. The list of months arrives as one array bounded by the calendar.
     """
     segment = dim_customer.select("customer_id", "customer_segment")
     dated = fct_transactions.where(
@@ -172,12 +171,12 @@ def mart_revenue_monthly_by_segment_usd(
     fees_by_customer = (
         to_usd(dated.where(is_completed_fee()), fx_rates, "currency")
         .groupBy("customer_id", "revenue_month")
-        .agg(exact_sum(col("amount") * col("rate_to_usd"), USD_PLACES).alias("usd"))
+        .agg(exact_sum(col("amount") * col("rate_to_usd")).alias("usd"))
     )
     fees = (
         fees_by_customer.join(segment, "customer_id")
         .groupBy("revenue_month", "customer_segment")
-        .agg(exact_sum(col("usd"), USD_PLACES).alias("fees"))
+        .agg(exact_sum(col("usd")).alias("fees"))
     )
     earning = fct_loans.where(
         accrues_interest() & col("outstanding_balance").isNotNull()
@@ -186,20 +185,23 @@ def mart_revenue_monthly_by_segment_usd(
     by_customer = (
         to_usd(earning, fx_rates, "currency")
         .groupBy("customer_id", "start_month")
-        .agg(exact_sum(accrued_interest() * col("rate_to_usd"), USD_PLACES).alias("usd"))
+        .agg(exact_sum(accrued_interest() * col("rate_to_usd")).alias("usd"))
     )
     started = (
         by_customer.join(segment, "customer_id")
         .groupBy("customer_segment", "start_month")
-        .agg(exact_sum(col("usd"), USD_PLACES).alias("usd"))
+        .agg(exact_sum(col("usd")).alias("usd"))
     )
+    # one row per segment and month with a start or facts; loans earn in every later month of facts
     months = dated.select("revenue_month").distinct().agg(F.collect_list("revenue_month").alias("months"))
-    interest = (
-        started.withColumn("revenue_month", F.explode(months.scalar()))
-        .where(col("revenue_month") >= col("start_month"))
-        .groupBy("revenue_month", "customer_segment")
-        .agg(exact_sum(col("usd"), USD_PLACES).alias("interest"))
-    )
+    listed = started.select("customer_segment").distinct().select(
+        F.explode(months.scalar()).alias("revenue_month"), "customer_segment", F.lit(True).alias("listed"))
+    timeline = listed.join(
+        started.withColumnRenamed("start_month", "revenue_month"), ["revenue_month", "customer_segment"], "full")
+    up_to_month = Window.partitionBy("customer_segment").orderBy("revenue_month").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    interest = timeline.withColumn("interest", exact_sum(col("usd"), up_to_month)).where(
+        col("listed") & col("interest").isNotNull()).select("revenue_month", "customer_segment", "interest")
     both = fees.join(interest, ["revenue_month", "customer_segment"], "full")
     fee, income = _or_zero("fees"), _or_zero("interest")
     return both.select(
@@ -222,7 +224,7 @@ def mart_account_mix(dim_account: DataFrame, dim_customer: DataFrame) -> DataFra
         dim_account.where(col("status") == "active")
         .groupBy("customer_id", "account_type", "currency")
         .agg(F.count("account_id").alias("n"),
-             F.count(F.when(balance.isNotNull(), col("account_id"))).alias("n_balances"),
+             F.count(balance).alias("n_balances"),
              exact_sum(balance).alias("total"), F.min("balance").alias("low"), F.max("balance").alias("high"))
     )
     placed = per_customer.join(dim_customer.select("customer_id", "country"), "customer_id")
@@ -325,8 +327,8 @@ def mart_loan_composition(loan_metrics: DataFrame) -> DataFrame:
         exact_sum(col("principal")).alias("total_principal"),
         exact_sum(col("outstanding_balance")).alias("total_outstanding_balance"),
         exact_avg(col("outstanding_balance")).alias("avg_outstanding_balance"),
-        exact_avg(col("interest_rate_decimal"), USD_PLACES).alias("avg_interest_rate"),
-        exact_sum(col("monthly_interest_accrued"), USD_PLACES).alias("total_monthly_interest_accrued"),
+        exact_avg(col("interest_rate_decimal")).alias("avg_interest_rate"),
+        exact_sum(col("monthly_interest_accrued")).alias("total_monthly_interest_accrued"),
         count_where(col("is_delinquent")).alias("delinquent_count"),
         count_where(col("is_default")).alias("default_count"),
     )
@@ -400,9 +402,8 @@ def mart_international_transfers(
             exact_sum(F.when(done, col("amount"))).alias("value_done"),
         )
     )
-    homes = F.broadcast(country_currency.select(
-        col("country_code").alias("country"), col("currency_code").alias("home_currency")
-    ))
+    homes = country_currency.select(
+        col("country_code").alias("country"), col("currency_code").alias("home_currency"))
     origin = dim_customer.select("customer_id", "country").join(homes, "country", "left")
     placed = reduced.join(
         dim_account.select("account_id", col("currency").alias("account_currency")), "account_id"
@@ -441,8 +442,7 @@ def mart_top_merchants(fct_transactions: DataFrame) -> DataFrame:
 
     One pass groups by category as well; merchant totals and the most frequent category
     both follow from that. Ties in the mode go to the first name, NULL last; ties in a rank
-    go to the first merchant name. The totals are computed at once, because the ranking looks at
-    their number first.
+    go to the first merchant name.
     """
     per_category = (
         fct_transactions.where((col("status") == "completed") & col("merchant").isNotNull())
@@ -453,7 +453,7 @@ def mart_top_merchants(fct_transactions: DataFrame) -> DataFrame:
     )
     mode_order = F.struct(-col("n"), col("category").isNull(), col("category"))
     value = exact_sum(col("value"))
-    merchants = cut_lineage(per_category.groupBy("merchant", "currency").agg(
+    merchants = per_category.groupBy("merchant", "currency").agg(
         F.min_by("category", mode_order).alias("mode"),
         F.sum("n").alias("tx_count"),
         F.round(value, 2).alias("total_value"),
@@ -464,12 +464,9 @@ def mart_top_merchants(fct_transactions: DataFrame) -> DataFrame:
         "merchant", "currency",
         F.when(col("currency").isNotNull(), col("mode")).alias("top_category"),
         "tx_count", "total_value", "avg_ticket", "min_ticket", "max_ticket",
-    ))
-    name = col("merchant").asc()
-    by_value = ordinal(
-        merchants, "currency", [col("total_value").desc_nulls_first(), name], "rank_by_value_within_currency"
     )
-    return ordinal(by_value, "currency", [col("tx_count").desc(), name], "rank_by_count_within_currency")
+    by_value = ordinal(merchants, "currency", "total_value", "merchant", "rank_by_value_within_currency")
+    return ordinal(by_value, "currency", "tx_count", "merchant", "rank_by_count_within_currency")
 
 
 def mart_digital_adoption_by_segment(dim_customer: DataFrame, dim_digital_engagement: DataFrame) -> DataFrame:

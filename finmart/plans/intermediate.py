@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from finmart.functions import buckets
-from finmart.functions.numbers import USD_PLACES, exact_sum, monthly_interest, ratio
+from finmart.functions.numbers import exact_sum, monthly_interest, ratio
 from finmart.operators.analytics import count_where, to_usd
 
 col = F.col
@@ -29,7 +29,7 @@ def fees_by_customer_usd(transactions: DataFrame, fx_rates: DataFrame) -> DataFr
     fees = transactions.where(is_completed_fee()).select("customer_id", "amount", "currency")
     return to_usd(fees, fx_rates, "currency").groupBy("customer_id").agg(
         exact_sum(col("amount")).alias("fees_native"),
-        exact_sum(col("amount") * col("rate_to_usd"), USD_PLACES).alias("fees_usd"),
+        exact_sum(col("amount") * col("rate_to_usd")).alias("fees_usd"),
     )
 
 
@@ -38,8 +38,8 @@ def interest_by_customer_usd(loans: DataFrame, fx_rates: DataFrame) -> DataFrame
         "customer_id", "currency", accrued_interest().alias("interest")
     )
     return to_usd(earning, fx_rates, "currency").groupBy("customer_id").agg(
-        exact_sum(col("interest"), USD_PLACES).alias("interest_native"),
-        exact_sum(col("interest") * col("rate_to_usd"), USD_PLACES).alias("interest_usd"),
+        exact_sum(col("interest")).alias("interest_native"),
+        exact_sum(col("interest") * col("rate_to_usd")).alias("interest_usd"),
     )
 
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from finmart.functions import dates
-from finmart.functions.numbers import USD_PLACES, exact_avg, exact_sum, ratio
+from finmart.functions.numbers import exact_avg, exact_sum, ratio
 from finmart.operators.analytics import count_where, exact_median, to_usd
 
 col = F.col
@@ -16,7 +16,7 @@ col = F.col
 def customers_and_assets(dim_customer: DataFrame, dim_account: DataFrame, fx_rates: DataFrame) -> DataFrame:
     active = to_usd(dim_account.where(col("status") == "active"), fx_rates, "currency")
     assets = active.agg(
-        exact_sum(col("balance") * col("rate_to_usd"), USD_PLACES).alias("total_assets_usd")
+        exact_sum(col("balance") * col("rate_to_usd")).alias("total_assets_usd")
     )
     return dim_customer.agg(F.count("*").alias("total_customers")).withColumn(
         "total_assets_usd", assets.scalar()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from finmart.functions import dates, text
-from finmart.functions.numbers import exact_avg
+from finmart.functions.numbers import exact_avg, nullable_number
 from finmart.operators.analytics import count_where
 
 col = F.col
@@ -64,7 +64,7 @@ def day_month_order(df: DataFrame, columns: list[str]) -> DataFrame:
 def coercion_loss(df: DataFrame, columns: list[str]) -> DataFrame:
     """Values present as text that are no number, per column."""
     stacked = _stacked(df, {c: col(c).cast("string") for c in columns})
-    lost = col("value").isNotNull() & col("value").try_cast("double").isNull()
+    lost = col("value").isNotNull() & nullable_number(col("value")).isNull()
     return stacked.groupBy("column_name").agg(
         F.count("value").alias("present"), count_where(lost).alias("lost")
     )

@@ -44,7 +44,7 @@ def throughput_by_channel(mart: DataFrame) -> DataFrame:
         .groupBy("channel", "currency")
         .agg(F.sum("completed_tx_count").alias("completed_tx_count"),
              F.round(exact_sum(col("total_value")), 2).alias("total_value_native_ccy"),
-             F.round(exact_avg(col("avg_ticket"), 6), 2).alias("avg_ticket_native_ccy"))
+             F.round(exact_avg(col("avg_ticket")), 2).alias("avg_ticket_native_ccy"))
         .orderBy("channel", "currency")
     )
 
@@ -54,7 +54,7 @@ def interest_by_loan_type(mart: DataFrame) -> DataFrame:
         mart.where(col("status").isin("current", "delinquent"))
         .groupBy("loan_type", "currency")
         .agg(F.sum("loan_count").alias("active_loan_count"),
-             F.round(exact_sum(col("total_monthly_interest_accrued"), 6), 2).alias("monthly_interest_native_ccy"))
+             F.round(exact_sum(col("total_monthly_interest_accrued")), 2).alias("monthly_interest_native_ccy"))
         .orderBy("loan_type", "currency")
     )
 

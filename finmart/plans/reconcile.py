@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from finmart.functions.numbers import USD_PLACES, differs, exact_avg, ratio
+from finmart.functions.numbers import differs, exact_avg, ratio
 from finmart.operators.analytics import count_where
 from finmart.plans.intermediate import fees_by_customer_usd, interest_by_customer_usd, is_completed_fee
 
@@ -83,7 +83,7 @@ def mart_against_intermediate(
         monthly_revenue.join(dim_customer.select("customer_id", "customer_segment"), "customer_id")
         .groupBy("customer_segment")
         .agg(F.count("*").alias("customer_count"),
-             F.round(exact_avg(col("total_monthly_revenue_usd"), USD_PLACES), 4).alias("avg_revenue_usd"))
+             F.round(exact_avg(col("total_monthly_revenue_usd")), 4).alias("avg_revenue_usd"))
         .select(F.lit("from_intermediate").alias("source"), "*")
     )
     return from_mart.unionByName(from_intermediate).orderBy("customer_segment", "source")

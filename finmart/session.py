@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 BYTES_PER_SHUFFLE_PARTITION = 512 << 20
-MOST_SHUFFLE_PARTITIONS = 100_000
 
 
 def shuffle_partitions(input_bytes: int, cores: int = 8) -> int:
@@ -17,8 +19,7 @@ def shuffle_partitions(input_bytes: int, cores: int = 8) -> int:
     AQE never splits an ordinary shuffle, so the start has to be large enough: 100 TB at
     the default of 200 would put half a terabyte into every task.
     """
-    wanted = -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION)
-    return max(cores, min(wanted, MOST_SHUFFLE_PARTITIONS))
+    return max(cores, -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION))
 
 
 def build_session(
@@ -45,15 +46,24 @@ def build_session(
     return builder.getOrCreate()
 
 
+def private_folder(master: str) -> str:
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="finmart-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def work_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    A private folder is chosen only where none is configured, as in a local test run.
+    A private folder is made only for a local master, where one machine does all the work, and
+    removed when the process ends. On a cluster it would leave every executor its own part.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="finmart-")
+        folder = private_folder(context.master)
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")

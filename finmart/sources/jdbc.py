@@ -10,12 +10,13 @@ def read_partitioned(
     url: str,
     table: str,
     column: str = "id",
-    partitions: int = 4,
+    ids_per_partition: int = 1_000_000,
     **properties: str,
 ) -> DataFrame:
-    """Scan ``table`` in ``partitions`` ranges of ``column``.
+    """Scan ``table`` in ranges of ``ids_per_partition`` values of ``column``.
 
-    The bounds come from the data, so late ids do not pile up in the last range.
+    The bounds come from the data, so late ids do not pile up in the last range, and the number
+    of readers follows the table.
     """
     bounds = spark.read.jdbc(
         url,
@@ -30,7 +31,7 @@ def read_partitioned(
         column=column,
         lowerBound=bounds["low"],
         upperBound=bounds["high"] + 1,
-        numPartitions=partitions,
+        numPartitions=-(-(bounds["high"] + 1 - bounds["low"]) // ids_per_partition),
         properties=properties,
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 LAYERS = ("bronze", "silver_raw", "silver", "gold")
@@ -20,8 +22,19 @@ class TableStore:
         return f"{self.root}/{layer}/{name}"
 
     def save(self, df: DataFrame, layer: str, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        """Write ``df`` as a full refresh and return the stored table."""
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(layer, name))
+        """Write ``df`` as a full refresh and return the stored table.
+
+        The new files are written aside and take the place of the old ones when complete, so a
+        failed build leaves the stored table as it was.
+        """
+        target = self.path(layer, name)
+        aside = f"{target}.{uuid.uuid4().hex}"
+        df.write.partitionBy(*partition_by).parquet(aside)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(target).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.delete(path(target), True)
+        if not files.rename(path(aside), path(target)):
+            raise OSError(f"{aside} could not be moved to {target}")
         return self.spark.read.schema(df.schema).parquet(self.path(layer, name)).select(*df.columns)
 
     def load(self, layer: str, name: str) -> DataFrame:
@@ -34,10 +47,16 @@ def create_namespaces(spark: SparkSession) -> None:
 
 
 def save_table(df: DataFrame, layer: str, name: str) -> None:
-    """Create or fully refresh a catalog table, keeping the table object on a refresh."""
+    """Create or fully refresh a catalog table, keeping the table object on a refresh.
+
+    A refresh fills the columns of the table by name; a missing or an unknown one is an error.
+    """
     target = f"{layer}.{name}"
     if df.sparkSession.catalog.tableExists(target):
-        df.write.insertInto(target, overwrite=True)
+        columns = df.sparkSession.table(target).columns
+        if sorted(columns) != sorted(df.columns):
+            raise ValueError(f"{target} has columns {columns}, the refresh {df.columns}")
+        df.select(*columns).write.insertInto(target, overwrite=True)
     else:
         df.write.saveAsTable(target, format="parquet")
 

@@ -1,3 +1,4 @@
+import math
 from datetime import date
 
 import pytest
@@ -104,10 +105,29 @@ def test_ratio_billing_months_and_rounding(spark):
     assert tuple(row) == (None, 3, 3, 9, 3.0, -3.0)
 
 
-@pytest.mark.parametrize("partitions", [1, 7])
+@pytest.mark.parametrize("partitions", [1, 3, 16])
 def test_exact_sum_ignores_partitioning(spark, partitions):
     df = spark.range(1, 10_001).select((F.col("id") / 100).alias("v")).repartition(partitions)
     assert df.agg(numbers.exact_sum(F.col("v"))).first()[0] == 500050.0
+    large = spark.range(40_000).select((F.col("id") * 0.37 + 3e7 - F.col("id") % 7 * 6e7).alias("v")).repartition(partitions)
+    want = float(f"{math.fsum(r.v for r in large.collect()):.14e}")
+    assert large.agg(numbers.exact_sum(F.col("v"))).first()[0] == want
+    past = spark.range(1000).select((9.1e11 + F.col("id") / 3).alias("v")).repartition(partitions)
+    assert past.agg(numbers.exact_sum(F.col("v"))).first()[0] == float(f"{math.fsum(r.v for r in past.collect()):.14e}")
+
+
+def test_exact_sum_rounds_no_row(spark):
+    df = spark.range(10).select(F.lit(0.00004).alias("v"))
+    assert df.agg(numbers.exact_sum(F.col("v"))).first()[0] == pytest.approx(0.0004, rel=1e-9)
+    odd = spark.createDataFrame([(1e300,), (-1e300,), (2.5,)], "v double")
+    assert odd.agg(numbers.exact_sum(F.col("v"))).first()[0] == 2.5
+
+
+def test_java_literals_are_no_numbers(evaluate):
+    assert evaluate(lambda c: numbers.nullable_number(F.col(c)), ["12d", "1.5f", "NaN", "Infinity", " 12 ", "-1e2", ".5", ""]) == [
+        None, None, None, None, 12.0, -100.0, 0.5, None]
+    assert evaluate(lambda c: numbers.parse_money(F.col(c)), ["$78.26", "89.5 USD", "191286,14", "1.234.567,89", "-5", "12d", "1,234.5", "NaN", "7 XYZ"]) == [
+        78.26, 89.5, 191286.14, 1234567.89, -5.0, None, None, None, None]
 
 
 def test_exact_sum_of_nothing_is_null(spark):

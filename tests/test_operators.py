@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from finmart.operators import dedup, flatten
-from finmart.operators.analytics import exact_median, ordinal, percent_of, share_of
+from finmart.operators.analytics import exact_median, ordinal, percent_of, share_of, to_usd
 from finmart.sources import bronze
 
 MOMENT = datetime(2024, 1, 1)
@@ -73,27 +73,37 @@ def test_key_cut_happens_before_the_shuffle(spark, bank):
     assert "WindowGroupLimit" in plan and plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 7])
-def test_ordinal_matches_brute_force(spark, limit):
-    rows = [("usd" if i % 3 else None, i * 7919 % 101, f"m{i:03d}") for i in range(300)]
-    df = spark.createDataFrame(rows, "ccy string, v int, name string").repartition(6)
-    order = [F.col("v").desc(), F.col("name").asc()]
-    got = {r["name"]: r["rank"] for r in ordinal(df, "ccy", order, "rank", limit).collect()}
+@pytest.mark.parametrize("nulls_last", [False, True])
+def test_ordinal_matches_brute_force(spark, nulls_last):
+    rows = [("usd" if i % 3 else None, None if i % 17 == 0 else (i * 7919 % 101) / 8 - 4, f"merchant{i:03d}" if i % 5 else f"{i:03d}")
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "ccy string, v double, name string").repartition(6)
+    got = {r["name"]: r["rank"] for r in ordinal(df, "ccy", "v", "name", "rank", nulls_last).collect()}
     want = {}
     for ccy in ("usd", None):
-        group = sorted((r for r in rows if r[0] == ccy), key=lambda r: (-r[1], r[2]))
+        group = sorted((r for r in rows if r[0] == ccy), key=lambda r: (
+            (r[1] is None) == nulls_last, 0 if r[1] is None else -r[1], r[2]))
         want.update({r[2]: i + 1 for i, r in enumerate(group)})
     assert got == want
 
 
 @pytest.mark.parametrize("values", [
-    [float(i * i % 9973) for i in range(5000)], [1.0] * 3000 + [2.0] * 10 + [float(i) for i in range(2000)], [4.0], [1.0, 2.0]])
-@pytest.mark.parametrize("limit", [1_000_000, 5])
-def test_exact_median_matches_brute_force(spark, values, limit):
+    [float(i * i % 9973) - 4000 for i in range(5000)], [1.0] * 3000 + [2.0] * 10 + [float(i) for i in range(2000)],
+    [1 + i * 1e-12 for i in range(101)], [4.0], [1.0, 2.0], [-3.0, 0.0, -0.0, 7.5]])
+def test_exact_median_matches_brute_force(spark, values):
     import statistics
 
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(4)
-    assert exact_median(df, "v", limit).first()[0] == statistics.median(values)
+    assert exact_median(df, "v").first()[0] == statistics.median(values)
+
+
+def test_newest_rate_counts_once(spark):
+    rates = spark.createDataFrame([("EUR", 1.0, "2024-01-01"), ("EUR", 2.0, "2025-01-01"), ("EUR", 9.0, "2026-01-01")],
+                                  "currency string, rate_to_usd double, d string").selectExpr(
+        "currency", "rate_to_usd", "cast(d as date) as_of_date")
+    df = spark.createDataFrame([("EUR",), ("XXX",), (None,)], "c string")
+    assert {tuple(r) for r in to_usd(df, rates, "c").collect()} == {("EUR", 9.0), ("XXX", None), (None, None)}
+    assert to_usd(df, rates, "c", as_of=date(2025, 6, 1)).where("c = 'EUR'").first()[1] == 2.0
 
 
 def test_median_of_nothing_is_null(spark):

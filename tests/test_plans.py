@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from finmart.plans import gold, quality
 from finmart.plans.models import MARTS, MODELS
+from finmart.operators.analytics import exact_median
 from finmart.plans.quality import CHECKS, QualityError, TableChecks, Rule, require_passed, row_checks
 
 
@@ -72,7 +73,7 @@ def test_transfer_with_unknown_currency_is_domestic(spark, bank):
 
 def test_suite_has_every_check(bank):
     counted = [
-        sum(len(c.required(bank.table(t).columns)) + len(c.not_null_warn.split()) for t, c in CHECKS.items()),
+        sum(len(c.not_null.split()) + len(c.not_null_warn.split()) for t, c in CHECKS.items()),
         sum(len(list(c.all_rules())) for c in CHECKS.values()),
         sum(len(c.values) for c in CHECKS.values()),
         sum(len(c.unique.split()) for c in CHECKS.values()),
@@ -95,7 +96,7 @@ def test_planted_violations_are_found(spark):
         ("not_null", "k", "error"): 1, ("not_null", "v", "warn"): 1, ("accepted_values", "s", "error"): 1,
         ("expression_is_true", "v > 0", "error"): 1, ("expression_is_true", "v < 3", "warn"): 1}
     assert quality.unique_check(df, "t", "k").first().failures == 1
-    orphans = quality.reference_check(df, "t", "p", parent, "id")
+    orphans = quality.reference_check(df, "t", "p", parent.withColumnRenamed("id", "_key"))
     assert orphans.first().failures == 2
     with pytest.raises(QualityError):
         require_passed(orphans)
@@ -117,3 +118,19 @@ def test_build_all_stores_every_layer(spark, tmp_path):
     assert set(MODELS) <= set(built)
     for name in MARTS:
         assert spark.read.parquet(str(tmp_path / "gold" / name)).count() == built[name].count()
+
+
+def test_average_balance_counts_balances(spark):
+    accounts = spark.createDataFrame([(None, "C1", 90.0), ("A2", "C1", 10.0)], "account_id string, customer_id string, balance double").selectExpr(
+        "*", "'active' status", "'savings' account_type", "'USD' currency")
+    customers = spark.createDataFrame([("C1", "CO")], "customer_id string, country string")
+    assert gold.mart_account_mix(accounts, customers).first().avg_balance == 50.0
+
+
+def test_building_a_plan_runs_no_job(spark, bank):
+    facts, loans = bank.table("fct_transactions"), bank.table("fct_loans")
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    gold.mart_top_merchants(facts)
+    exact_median(loans, "outstanding_balance")
+    assert set(tracker.getJobIdsForGroup(None)) == before

@@ -2,6 +2,8 @@ import json
 from datetime import date
 
 import pytest
+
+from finmart.session import private_folder
 from pyspark.sql import functions as F
 
 from finmart import schemas
@@ -86,9 +88,9 @@ def test_jdbc_bounds_come_from_the_data(spark, monkeypatch):
         return spark.sql("select 5 as low, 250000 as high")
 
     monkeypatch.setattr(type(spark.read), "jdbc", fake)
-    jdbc.read_partitioned(spark, "jdbc:x", "bronze.raw", partitions=8, user="u")
+    jdbc.read_partitioned(spark, "jdbc:x", "bronze.raw", ids_per_partition=40_000, user="u")
     assert calls[1][0] == "bronze.raw"
-    assert (calls[1][1]["lowerBound"], calls[1][1]["upperBound"], calls[1][1]["numPartitions"]) == (5, 250001, 8)
+    assert (calls[1][1]["lowerBound"], calls[1][1]["upperBound"], calls[1][1]["numPartitions"]) == (5, 250001, 7)
     assert calls[1][1]["properties"] == {"user": "u"}
 
 
@@ -130,3 +132,27 @@ def test_splitting_documents_does_not_change_the_flattened_tables(spark):
 
     whole, split = flat(50_000), flat(20)
     assert whole.count() == split.count() and whole.exceptAll(split).isEmpty()
+
+
+def test_refresh_fills_columns_by_name(spark):
+    store.create_namespaces(spark)
+    store.save_table(spark.createDataFrame([(1, 2)], "a int, b int"), "gold", "by_name")
+    store.save_table(spark.createDataFrame([(20, 10)], "b int, a int"), "gold", "by_name")
+    assert [tuple(r) for r in spark.table("gold.by_name").collect()] == [(10, 20)]
+    with pytest.raises(ValueError):
+        store.save_table(spark.createDataFrame([(1,)], "a int"), "gold", "by_name")
+
+
+def test_failed_save_keeps_the_stored_table(spark, tmp_path):
+    tables = store.TableStore(spark, str(tmp_path))
+    tables.save(spark.range(3).toDF("v"), "gold", "kept")
+    with pytest.raises(Exception):
+        tables.save(spark.range(3).selectExpr("raise_error('no') as v"), "gold", "kept")
+    assert tables.load("gold", "kept").count() == 3
+
+
+def test_private_folder_only_for_a_local_master():
+    assert private_folder("local[4]") and private_folder("local")
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            private_folder(master)
