@@ -75,4 +75,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_token_counts": op10_token_counts,
 }
-ORACLES: dict[str, str] = {}
+#: Words are split and lower-cased at ASCII characters only, hence no lower().
+_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+')"""
+#: Trained or certified decisions, tokenizers and Newton steps are tested by brute force instead.
+ORACLES: dict[str, str] = {
+    "op1_jaccard_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS g FROM (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY 1),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.c + y.c - k)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a AS doc_id, min(b) AS low FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(c, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op2_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+u AS (SELECT *, sqrt(list_dot_product(e, e)) AS size FROM v WHERE isfinite(list_sum(e)) AND list_dot_product(e, e) > 0),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_dot_product(x.e, y.e) / x.size / y.size >= 0.98),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a AS vec_id, min(b) AS low FROM r GROUP BY 1),
+k AS (SELECT a AS vec_id, count(*) AS c FROM l GROUP BY 1)
+SELECT vec_id, coalesce(c, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id <= coalesce(low, vec_id) AS kept
+FROM embeddings LEFT JOIN m USING (vec_id) LEFT JOIN k USING (vec_id)""",
+}
