@@ -215,7 +215,8 @@ register("agg11_describe",
          lambda w: profiling.describe(w.table("dim_account"), list(NUMERIC)),
          " UNION ALL ".join(
              f"SELECT '{c}' AS column_name, count({c}) AS n, {R(f'min({c})')} AS min_value, {R(A(c))} AS mean_value, "
-             f"{R(f'max({c})')} AS max_value FROM dim_account" for c in NUMERIC))
+             f"{R(f'stddev_samp({c})')} AS std_value, {R(f'max({c})')} AS max_value, {R(f'quantile_cont({c}, 0.25)')} AS q1_value, "
+             f"{R(f'median({c})')} AS median_value, {R(f'quantile_cont({c}, 0.75)')} AS q3_value FROM dim_account" for c in NUMERIC))
 register("agg11_histogram",
          lambda w: profiling.histogram(w.table("dim_customer"), "risk_score", 0, 100, 50),
          """SELECT CAST(least(floor(risk_score * 50 / 1e2), 50) AS BIGINT) + 1 AS bin, count(*) AS row_count

@@ -89,36 +89,45 @@ def to_usd(df: DataFrame, fx_rates: DataFrame, currency: str, rate: str = "rate_
     return df.join(quotes, F.col(currency) == F.col("_ccy"), "left").drop("_ccy")
 
 
-def exact_median(df: DataFrame, column: str) -> DataFrame:
-    """The median of a numeric column as a one-row table ``median``.
+def exact_quantiles(df: DataFrame, group: str, column: str, fractions: tuple[float, ...]) -> DataFrame:
+    """``(group, fraction, quantile)``: interpolated quantiles of a numeric column in every group.
 
-    Distinct values are counted, then the two middle ranks are looked for in coarse steps of
-    the values, in the fine steps of the coarse step found, and among the values of the fine
-    step found. Every running sum covers a bounded number of steps, or the values of one
-    narrow step. Nothing runs before the table is used.
+    Distinct values are counted; the ranks on both sides of each quantile are then looked for
+    in coarse steps of the values, in the fine steps of a coarse step, and among the values of
+    a fine step. Every running sum covers a bounded number of steps, or the values of one
+    narrow step. Nothing runs before the table is used. ``group`` must not be NULL.
     """
     v = F.col("v")
     counted = (
-        df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n"))
-        .withColumns({"coarse": _coarse(v), "fine": _fine(v)})
+        df.where(F.col(column).isNotNull()).groupBy(group, F.col(column).cast("double").alias("v"))
+        .agg(F.count("*").alias("n")).withColumns({"coarse": _coarse(v), "fine": _fine(v)})
     )
 
-    def at(level: str, slices: DataFrame, *above: str) -> DataFrame:
-        """Slices of ``level`` that hold a middle rank, with the rows ahead of them."""
-        upto = Window.partitionBy(*above).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-        placed = slices.withColumn("ahead", F.col("ahead") + F.coalesce(F.sum("n").over(upto), F.lit(0)))
-        holds = [(F.col("ahead") <= F.col(r)) & (F.col(r) < F.col("ahead") + F.col("n")) for r in ("low", "high")]
-        return placed.where(holds[0] | holds[1])
-
-    total = F.sum("n").over(Window.partitionBy())
-    steps = counted.groupBy("coarse").agg(F.sum("n").alias("n")).withColumns({
-        "ahead": F.lit(0).cast("long"), "low": F.floor((total - 1) / 2), "high": F.floor(total / 2)})
-    step = at("coarse", steps).select("coarse", "ahead", "low", "high")
-    narrow = counted.groupBy("coarse", "fine").agg(F.sum("n").alias("n")).join(step, "coarse")
-    slot = at("fine", narrow, "coarse").select("fine", "ahead", "low", "high")
-    values = at("v", counted.select("fine", "v", "n").join(slot, "fine"), "fine")
-
-    def value_at(rank: str) -> Column:
-        return F.max(F.when((F.col("ahead") <= F.col(rank)) & (F.col(rank) < F.col("ahead") + F.col("n")), v))
-
-    return values.agg(((value_at("low") + value_at("high")) / 2).alias("median"))
+    def placed(slices: DataFrame, *keys: str) -> DataFrame:
+        """Adds the rows before each slice, by the last of ``keys`` inside the others, to ``ahead``."""
+        upto = Window.partitionBy(group, *keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        return slices.withColumn("ahead", F.col("ahead") + F.coalesce(F.sum("n").over(upto), F.lit(0)))
+
+    def holding(slices: DataFrame) -> DataFrame:
+        """Slices with the ranks they hold."""
+        inside = (F.col("ahead") <= F.col("rank")) & (F.col("rank") < F.col("ahead") + F.col("n"))
+        return slices.join(ranks, group).where(inside)
+
+    steps = counted.groupBy(group, "coarse").agg(F.sum("n").alias("n")).withColumn("ahead", F.lit(0).cast("long"))
+    wanted = steps.groupBy(group).agg(F.sum("n").alias("total")).select(group, F.explode(F.array(*[
+        F.struct(F.lit(q).alias("fraction"), (F.lit(q) * (F.col("total") - 1)).alias("position")) for q in fractions
+    ])).alias("at")).select(group, "at.*")
+    ranks = wanted.withColumn("rank", F.explode(F.array(F.floor("position"), F.ceil("position"))))
+
+    step = holding(placed(steps, "coarse")).select(group, "coarse", "ahead").distinct()
+    narrow = counted.groupBy(group, "coarse", "fine").agg(F.sum("n").alias("n")).join(step, [group, "coarse"])
+    slot = holding(placed(narrow, "coarse", "fine")).select(group, "fine", "ahead").distinct()
+    values = holding(placed(counted.select(group, "fine", "v", "n").join(slot, [group, "fine"]), "fine", "v"))
+    low, high, position = F.min("v"), F.max("v"), F.first("position")
+    return values.groupBy(group, "fraction").agg((low + (high - low) * (position - F.floor(position))).alias("quantile"))
+
+
+def exact_median(df: DataFrame, column: str) -> DataFrame:
+    """The median of a numeric column as a one-row table ``median``, NULL without values."""
+    found = exact_quantiles(df.select(F.lit(1).alias("all"), column), "all", column, (0.5,))
+    return found.agg(F.max("quantile").alias("median"))

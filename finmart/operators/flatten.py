@@ -89,7 +89,11 @@ def flatten_array(parsed: DataFrame, spec: ArraySpec) -> DataFrame:
 def stage_array(
     parsed: DataFrame, spec: ArraySpec, save: Callable[[DataFrame], DataFrame]
 ) -> tuple[DataFrame, dict[str, int]]:
-    """Flatten, deduplicate and save an array; the counters ride along on that one write."""
+    """Flatten, deduplicate and save an array; the counters ride along on that one write.
+
+    A map stage that is recomputed after the loss of an executor is counted again, so the
+    counters are then upper bounds; the saved table is not affected.
+    """
     read, flattened, kept = (Observation(n) for n in (f"{spec.array}_read", f"{spec.array}_flat", f"{spec.array}_kept"))
     count = F.count(F.lit(1)).alias("n")
     source = parsed.select("customer_id", "bronze_id", "load_timestamp", spec.array)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from finmart.functions import dates, text
 from finmart.functions.numbers import exact_avg, nullable_number
-from finmart.operators.analytics import count_where
+from finmart.operators.analytics import exact_quantiles, count_where
 
 col = F.col
 
@@ -123,12 +123,17 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, extremes and mean per numeric column."""
+    """Count, mean, sample deviation, extremes and interpolated quartiles per numeric column."""
     stacked = _stacked(df, {c: col(c).cast("double") for c in columns})
-    return stacked.groupBy("column_name").agg(
+    summary = stacked.groupBy("column_name").agg(
         F.count("value").alias("n"), F.min("value").alias("min_value"),
-        exact_avg(col("value")).alias("mean_value"), F.max("value").alias("max_value"),
+        exact_avg(col("value")).alias("mean_value"), F.stddev_samp("value").alias("std_value"),
+        F.max("value").alias("max_value"),
     )
+    quartiles = exact_quantiles(stacked, "column_name", "value", (0.25, 0.5, 0.75)).groupBy("column_name").agg(*[
+        F.max(F.when(col("fraction") == q, col("quantile"))).alias(name)
+        for q, name in ((0.25, "q1_value"), (0.5, "median_value"), (0.75, "q3_value"))])
+    return summary.join(quartiles, "column_name", "left")
 
 
 def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
