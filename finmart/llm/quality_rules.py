@@ -74,19 +74,43 @@ def _counts(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([text_counts(t.decode("utf-8", "replace") if t else "") for t in texts], columns=_COUNTS, dtype="int64")
 
 
+def _beta_fraction(x: float, a: float, b: float) -> float:
+    """Continued fraction of the incomplete beta function, by the modified Lentz method."""
+    tiny = 1e-300
+    value, c, d = 1.0, 1.0, 1.0 - (a + b) * x / (a + 1)
+    d = 1.0 / (d if abs(d) > tiny else tiny)
+    value = d
+    for m in range(1, 1000 + 20 * math.isqrt(int(max(a, b)))):
+        for term in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+                     -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d, c = 1.0 + term * d, 1.0 + term / c
+            d = 1.0 / (d if abs(d) > tiny else tiny)
+            c = c if abs(c) > tiny else tiny
+            value *= c * d
+        if abs(c * d - 1.0) < 1e-15:
+            break
+    return value
+
+
+def binomial_at_most(k: int, n: int, p: float) -> float:
+    """Chance of at most k < n successes: the regularised incomplete beta function at 1 - p."""
+    a, b, x = float(n - k), float(k + 1), 1.0 - p
+    if not 0.0 < p < 1.0:
+        return float(p <= 0.0)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(p))
+    if x < (a + 1) / (a + b + 2):
+        return front * _beta_fraction(x, a, b) / a
+    return 1.0 - front * _beta_fraction(p, b, a) / b
+
+
 def upper_bound(rejected: int, total: int, error: float) -> float:
     """Clopper-Pearson: the largest rate at which so few rejections still have chance ``error``."""
     if rejected >= total:
         return 1.0
-    log_choose = [math.lgamma(total + 1) - math.lgamma(i + 1) - math.lgamma(total - i + 1) for i in range(rejected + 1)]
-
-    def at_most(p: float) -> float:
-        return math.fsum(math.exp(c + i * math.log(p) + (total - i) * math.log1p(-p)) for i, c in enumerate(log_choose))
-
     low, high = 0.0, 1.0
     for _ in range(100):
         middle = (low + high) / 2
-        low, high = (middle, high) if 0 < middle < 1 and at_most(middle) > error else (low, middle)
+        low, high = (middle, high) if binomial_at_most(rejected, total, middle) > error else (low, middle)
     return high
 
 

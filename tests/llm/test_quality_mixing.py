@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from finmart.llm.mixing import mix_and_repeat, mix_sources
-from finmart.llm.quality_rules import certified_levels, keep_good, quality_verdicts, text_counts, upper_bound
+from finmart.llm.quality_rules import binomial_at_most, certified_levels, keep_good, quality_verdicts, text_counts, upper_bound
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -34,6 +34,10 @@ def test_upper_bound_is_exact():
     p = upper_bound(3, 50, 0.02)
     assert sum(math.comb(50, i) * p**i * (1 - p) ** (50 - i) for i in range(4)) == pytest.approx(0.02)
     assert upper_bound(5, 5, 0.1) == 1.0
+    for k, n, p in ((0, 7, 0.3), (4, 9, 0.5), (30, 400, 0.1), (399, 400, 0.99)):
+        whole = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+        assert binomial_at_most(k, n, p) == pytest.approx(whole, rel=1e-9)
+    assert 0.01 < upper_bound(10_000_000, 10**9, 0.01) < 0.01001
 
 
 def test_levels_stop_at_the_first_that_fails():
