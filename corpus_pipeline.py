@@ -14,13 +14,14 @@ from finmart.llm.byte_bpe import digests, encode_documents
 from finmart.llm.jaccard_join import keep_first_of_group
 from finmart.llm.mixing import mix_and_repeat
 from finmart.llm.quality_rules import keep_good
-from finmart.llm.tables import Scratch
+from finmart.llm.tables import Scratch, small_batches
 from finmart.llm.toxicity import drop_toxic
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
@@ -36,6 +37,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of every group of near duplicates."""
+    small_batches(spark)
     return keep_first_of_group(docs)
 
 
@@ -46,6 +48,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and hashes of the ids and of the decoded bytes of every document taken."""
+    small_batches(spark)
     return digests(encode_documents(docs, with_decoded=True))
 
 

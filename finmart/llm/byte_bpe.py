@@ -35,7 +35,7 @@ LEAF_CHARS = 4096
 LEAF_BYTES = 48
 LEAF_IDS = 4096
 #: Matches remembered per worker process, in two generations; only saves time.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Characters a match may look at from its start, and past its end, in the pattern.
 LOOK_FROM_START = 3
 LOOK_PAST_END = 1

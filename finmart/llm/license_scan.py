@@ -78,19 +78,22 @@ class LicenceScanner:
         return found
 
     def scan(self, raw: bytes | None) -> list[tuple[str, float, int, int]]:
-        """(licence, dice, first line, lines) of matching units; a unit inside a match is not repeated."""
+        """(licence, dice, first line, lines) of matching units.
+
+        Inside a match, smaller units are reported only if they name another licence.
+        """
         if not raw or not self.templates:
             return []
         lines = [line.split() for line in raw.translate(_FOLD).split(b"\n")]
         found: list[tuple[str, float, int, int]] = []
-        covered = [False] * len(lines)
+        covered: list[str | None] = [None] * len(lines)
 
         def look(first: int, stop: int) -> None:
             words = lines[first] if stop == first + 1 else [w for line in lines[first:stop] for w in line]
             hit = self.best(words)
-            if hit:
+            if hit and covered[first] != hit[0]:
                 found.append((*hit, first, stop - first))
-                covered[first:stop] = [True] * (stop - first)
+                covered[first:stop] = [hit[0]] * (stop - first)
 
         # whole text, then paragraphs of several lines, then lines
         if len(lines) > 1:
@@ -98,12 +101,12 @@ class LicenceScanner:
         first = 0
         for i in range(len(lines) + 1):
             if i == len(lines) or not lines[i]:
-                if i - first > 1 and not covered[first] and not (first == 0 and i == len(lines)):
+                if i - first > 1 and not (first == 0 and i == len(lines)):
                     look(first, i)
                 first = i + 1
         for i, words in enumerate(lines):
             # a match shares most words with a template, so one of any ten neighbours is known
-            if len(words) > LEAST_BIGRAMS and not covered[i] and not self.known.isdisjoint(words):
+            if len(words) > LEAST_BIGRAMS and not self.known.isdisjoint(words):
                 look(i, i + 1)
         return sorted(found, key=lambda m: (m[2], -m[3], m[0]))
 

@@ -40,6 +40,13 @@ class Scratch:
         _remove(self.spark, f"{self.root}/{name}")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows handed to Python at once: texts are long, and the default of 10,000 fills a worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def long_id(column: Column) -> Column:
     return column.cast(LongType())
 

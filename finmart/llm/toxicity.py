@@ -32,7 +32,7 @@ BANDS, BAND_ROWS = 6, 8
 SEED = 7
 CUTOFF = 0.3
 #: Terms remembered per worker process; only saves time.
-REMEMBERED = 1_000_000
+REMEMBERED = 100_000
 
 #: ASCII letters in lower case and digits stay, bytes of other scripts too; the rest separates.
 _FOLD = bytes(b if b >= 0x80 or chr(b).isdigit() else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))

@@ -141,10 +141,14 @@ def test_bounds_lose_no_template():
 
 
 def test_spans_of_lines_and_paragraphs():
-    text = "intro\n\n" + TEMPLATES["Apache-2.0"].strip() + "\n\nsome words of prose\nReleased under the MIT license\n"
-    found = LicenceScanner(make_templates()).scan(text.encode())
-    assert [(m[0], m[2]) for m in found if m[1] == 1.0][0] == ("Apache-2.0", 2)
+    notice, prose = TEMPLATES["Apache-2.0"].strip(), " ".join(f"word{i}" for i in range(200))
+    scanner = LicenceScanner(make_templates())
+    found = scanner.scan(f"intro\n\n{notice}\n\n{prose}\nReleased under the MIT license\n".encode())
+    assert [m for m in found if m[1] == 1.0][0] == ("Apache-2.0", 1.0, 2, 2)
     assert ("MIT", 1.0) in [m[:2] for m in found] and LicenceScanner([]).scan(b"x") == []
+    # a notice inside a whole text that matches another licence
+    found = scanner.scan(f"{notice}\nReleased under the MIT license".encode())
+    assert [m[0] for m in found] == ["Apache-2.0", "MIT"] and found[0][2:] == (0, notice.count("\n") + 2)
 
 
 def test_licences_of_odd_documents(odd_documents, no_documents):
