@@ -1,7 +1,8 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every word from both sides.
 
-Words of the whole corpus are counted; the VOCABULARY most frequent ones are known, the others
-share hashed slots. Word t is predicted from the REACH words on each side, and never from
+Words of the whole corpus are counted; the most frequent ones are known, more of them the more
+distinct words there are, the others share hashed slots. A slot's probability is divided among
+its words by their counts, which stay a distributed table. Word t is predicted from the REACH words on each side, and never from
 itself: every offset has its own table of word vectors, whose rows are added and passed through
 tanh. The distribution is factored into a group of words and a word of the group, so it is
 exact and needs two short rows of logits. A text's score is the sum of the conditional
@@ -14,9 +15,11 @@ averaged by the number of predictions between rounds.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +27,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from finmart.llm.tables import Scratch, long_id
 
-#: Known words, slots that the other words share, words to each side, units of the hidden layer.
+#: Least number of known words and of slots that the other words share, words to each side,
+#: units of the hidden layer. Known words grow by WORDS_GROW times the root of the distinct words.
 VOCABULARY = 4000
 SHARED_SLOTS = 95
+WORDS_GROW = 6
 REACH = 2
 HIDDEN = 16
-#: Words of a group; groups times GROUP covers all slots and the border mark.
-GROUP = 64
 #: One position in STRIDE is predicted in training, another one in each round.
 STRIDE = 8
 ROUNDS = 2
@@ -42,9 +45,8 @@ COUNTED = 400_000
 SCORED = 1 << 16
 CHUNK = 4096
 
+#: Slots of the least network; the last slot is the border.
 SLOTS = VOCABULARY + SHARED_SLOTS + 1
-BORDER = SLOTS - 1
-GROUPS = -(-SLOTS // GROUP)
 OFFSETS = [*range(-REACH, 0), *range(1, REACH + 1)]
 
 
@@ -67,44 +69,95 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def frequent_words(texts: DataFrame) -> list[bytes]:
-    """The VOCABULARY most frequent words of all texts; ties by their bytes."""
-    counts = texts.mapInArrow(_count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
-    return [bytes(row["word"]) for row in counts.orderBy(F.col("c").desc(), "word").limit(VOCABULARY).collect()]
+class Vocabulary(NamedTuple):
+    """Known words, most frequent first, and numbers of slots for known and for other words."""
+
+    words: list[bytes]
+    known: int = VOCABULARY
+    shared: int = SHARED_SLOTS
+
+    @property
+    def slots(self) -> int:
+        return self.known + self.shared + 1
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    return texts.mapInArrow(_count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+
+
+def frequent_words(counts: DataFrame) -> Vocabulary:
+    """The most frequent words, more of them the more distinct words there are; ties by their bytes."""
+    known = max(VOCABULARY, math.ceil(WORDS_GROW * math.sqrt(counts.count())))
+    rows = counts.orderBy(F.col("c").desc(), "word").limit(known).collect()
+    return Vocabulary([bytes(row["word"]) for row in rows], known, -(-known * SHARED_SLOTS // VOCABULARY))
+
+
+def word_shares(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``(word, log_share)`` of every word that shares a slot: c(w) / (c(slot) + 1).
+
+    The one count more is the part of a slot that words without any count have between them.
+    """
+    listed = counts.sparkSession.createDataFrame([(bytearray(w),) for w in vocabulary.words], "word binary")
+    rare = counts.join(listed, "word", "left_anti").withColumn("slot", F.crc32("word") % vocabulary.shared)
+    of_slot = rare.groupBy("slot").agg(F.sum("c").alias("all"))
+    return rare.join(F.broadcast(of_slot), "slot").select("word", F.log(F.col("c") / (F.col("all") + 1)).alias("log_share"))
 
 
 class Slots:
     """Slot of every word, remembered per worker."""
 
-    def __init__(self, words: list[bytes]):
-        self.fixed = {word: i for i, word in enumerate(words)}
-        self.known: dict[bytes, int] = dict(self.fixed)
+    def __init__(self, vocabulary: Vocabulary):
+        self.first, self.shared = vocabulary.known, vocabulary.shared
+        self.known: dict[bytes, int] = {word: i for i, word in enumerate(vocabulary.words)}
 
-    def of(self, raw: bytes | None) -> np.ndarray:
-        if not raw:
-            return np.empty(0, dtype=np.int32)
-        known, words = self.known, raw.split()
+    def of(self, words: list[bytes]) -> np.ndarray:
+        known = self.known
         out = list(map(known.get, words))
         for i, slot in enumerate(out):
             if slot is None:
                 word = words[i]
-                slot = out[i] = VOCABULARY + zlib.crc32(word) % SHARED_SLOTS
+                slot = out[i] = self.first + zlib.crc32(word) % self.shared
                 if len(known) < COUNTED:
                     known[word] = slot
         return np.array(out, dtype=np.int32)
 
 
+def _encode(vocabulary: Vocabulary):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Slots(vocabulary)
+        for batch in batches:
+            hashes, slots, rare = [], [], []
+            for text in batch.column(1):
+                raw = text.as_py() or b""
+                words = raw.split()
+                found = lookup.of(words)
+                hashes.append(zlib.crc32(raw))
+                slots.append(found.tobytes())
+                rare.append(Counter(words[i] for i in np.flatnonzero(found >= vocabulary.known)))
+            rows = pa.ListArray.from_arrays(
+                pa.array(np.cumsum([0, *map(len, rare)]), pa.int32()),
+                pa.StructArray.from_arrays(
+                    [pa.array([w for r in rare for w in r], pa.binary()),
+                     pa.array([c for r in rare for c in r.values()], pa.int64())], names=["word", "c"]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(hashes, pa.int64()), pa.array(slots, pa.binary()), rows],
+                names=["doc_id", "hash", "slots", "rare"])
+
+    return run
+
+
 class WindowNetwork:
-    def __init__(self, weights: list[np.ndarray] | None = None):
-        if weights is None:
-            random = np.random.default_rng(SEED)
-            weights = [
-                random.normal(0, 0.3, (len(OFFSETS), SLOTS, HIDDEN)), np.zeros(HIDDEN),
-                np.zeros((HIDDEN, GROUPS)), np.zeros(GROUPS),
-                np.zeros((GROUPS, HIDDEN, GROUP)), np.zeros((GROUPS, GROUP)),
-            ]
-            weights[5].reshape(-1)[SLOTS:] = -1e4  # slots that do not exist
-            weights[5].reshape(-1)[BORDER] = -1e4  # the border is never predicted
+    def __init__(self, slots: int = SLOTS):
+        random = np.random.default_rng(SEED)
+        #: words of a group, groups; near the root of the slots, so that both rows of logits are short
+        self.group = math.ceil(math.sqrt(slots))
+        self.groups = -(-slots // self.group)
+        weights = [
+            random.normal(0, 0.3, (len(OFFSETS), slots, HIDDEN)), np.zeros(HIDDEN),
+            np.zeros((HIDDEN, self.groups)), np.zeros(self.groups),
+            np.zeros((self.groups, HIDDEN, self.group)), np.zeros((self.groups, self.group)),
+        ]
+        weights[5].reshape(-1)[slots - 1:] = -1e4  # slots that do not exist; the border is never predicted
         self.weights = [w.astype(np.float32) for w in weights]
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
@@ -126,12 +179,12 @@ class WindowNetwork:
     def parts(self, h: np.ndarray, target: np.ndarray):
         """Distributions over groups and, by group, over words: yields (rows, group, probabilities)."""
         _, _, to_group, group_bias, to_word, word_bias = self.weights
-        group = target // GROUP
+        group = target // self.group
         over_groups = self._normal(h @ to_group + group_bias)
         order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(GROUPS + 1))
+        edges = np.searchsorted(group[order], np.arange(self.groups + 1))
         inside = []
-        for g in range(GROUPS):
+        for g in range(self.groups):
             rows = order[edges[g]:edges[g + 1]]
             if len(rows):
                 inside.append((rows, g, self._normal(h[rows] @ to_word[g] + word_bias[g])))
@@ -141,7 +194,7 @@ class WindowNetwork:
         group, over_groups, inside = self.parts(self.hidden(context), target)
         p = over_groups[np.arange(len(target)), group]
         for rows, _, over_words in inside:
-            p[rows] *= over_words[np.arange(len(rows)), target[rows] % GROUP]
+            p[rows] *= over_words[np.arange(len(rows)), target[rows] % self.group]
         return np.log(np.maximum(p, 1e-30))
 
     def learn(self, context: np.ndarray, target: np.ndarray, memory: list[np.ndarray]) -> None:
@@ -155,7 +208,7 @@ class WindowNetwork:
         self._step(2, slice(None), h.T @ over_groups, memory)
         self._step(3, slice(None), over_groups.sum(axis=0), memory)
         for rows, g, error in inside:
-            error[np.arange(len(rows)), target[rows] % GROUP] -= 1
+            error[np.arange(len(rows)), target[rows] % self.group] -= 1
             back[rows] += error @ to_word[g].T
             self._step(4, g, h[rows].T @ error, memory)
             self._step(5, g, error.sum(axis=0), memory)
@@ -175,25 +228,24 @@ class WindowNetwork:
         return np.concatenate([w.reshape(-1) for w in self.weights])
 
     @classmethod
-    def from_flat(cls, values: np.ndarray) -> WindowNetwork:
-        made, out, at = cls(), [], 0
-        for w in made.weights:
-            out.append(values[at:at + w.size].reshape(w.shape))
+    def from_flat(cls, values: np.ndarray, slots: int = SLOTS) -> WindowNetwork:
+        made, at = cls(slots), 0
+        for i, w in enumerate(made.weights):
+            made.weights[i] = values[at:at + w.size].reshape(w.shape).astype(np.float32)
             at += w.size
-        made.weights = [w.astype(np.float32) for w in out]
         return made
 
 
-def contexts(slots: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """(N, offsets) slots around positions ``at`` of one text; BORDER outside of it."""
-    padded = np.full(len(slots) + 2 * REACH, BORDER, dtype=np.int32)
+def contexts(slots: np.ndarray, at: np.ndarray, border: int) -> np.ndarray:
+    """(N, offsets) slots around positions ``at`` of one text; ``border`` outside of it."""
+    padded = np.full(len(slots) + 2 * REACH, border, dtype=np.int32)
     padded[REACH:REACH + len(slots)] = slots
     return np.stack([padded[at + REACH + d] for d in OFFSETS], axis=1)
 
 
-def _train(words: list[bytes], values: np.ndarray, turn: int):
+def _train(slots_in_all: int, values: np.ndarray, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, network = Slots(words), WindowNetwork.from_flat(values)
+        network = WindowNetwork.from_flat(values, slots_in_all)
         memory = [np.full_like(w, 1.0) for w in network.weights]
         held, targets, size, total = [], [], 0, 0
 
@@ -201,14 +253,13 @@ def _train(words: list[bytes], values: np.ndarray, turn: int):
             network.learn(np.concatenate(held), np.concatenate(targets), memory)
 
         for batch in batches:
-            for text in batch.column(0):
-                raw = text.as_py()
-                slots = lookup.of(raw)
+            for first, found in zip(batch.column(0).to_pylist(), batch.column(1)):
+                slots = np.frombuffer(found.as_py(), dtype=np.int32)
                 if len(slots):
-                    at = np.arange((zlib.crc32(raw) + turn * (STRIDE // ROUNDS)) % STRIDE, len(slots), STRIDE)
+                    at = np.arange((first + turn * (STRIDE // ROUNDS)) % STRIDE, len(slots), STRIDE)
                     for lo in range(0, len(at), BATCH):
                         part = at[lo:lo + BATCH]
-                        held.append(contexts(slots, part))
+                        held.append(contexts(slots, part, slots_in_all - 1))
                         targets.append(slots[part])
                         size += len(part)
                         total += len(part)
@@ -242,37 +293,36 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [{"chunk": k, "n": n, "weighted": w.tobytes()} for k, (n, w) in sums.items()], schema=_SUM_SCHEMA)
 
 
-def train(texts: DataFrame, scratch: Scratch) -> tuple[list[bytes], np.ndarray]:
-    """Words and averaged weights of the network over all ``texts(text binary)``.
+def train(encoded: DataFrame, slots: int, scratch: Scratch) -> np.ndarray:
+    """Averaged weights of the network over all texts of ``encoded(hash, slots)``.
 
     One running sum per task and chunk of weights, then one per chunk, so no task and not the
     driver ever holds the weights of all tasks.
     """
     shape = "chunk int, n long, weighted binary"
-    words = frequent_words(texts)
-    values = WindowNetwork().flat()
+    values = WindowNetwork(slots).flat()
     for turn in range(ROUNDS):
-        trained = scratch.keep(texts.mapInArrow(_train(words, values, turn), shape), f"round-{turn}")
+        trained = scratch.keep(encoded.select("hash", "slots").mapInArrow(_train(slots, values, turn), shape), f"round-{turn}")
         summed = trained.repartition("chunk").mapInArrow(_add, shape).orderBy("chunk").collect()
         if summed:
             values = np.concatenate([np.frombuffer(r["weighted"], dtype=np.float64) / r["n"] for r in summed]).astype(np.float32)
         scratch.drop(f"round-{turn}")
-    return words, values
+    return values
 
 
-def _score(words: list[bytes], values: np.ndarray):
+def _score(slots_in_all: int, values: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, network = Slots(words), WindowNetwork.from_flat(values)
+        network = WindowNetwork.from_flat(values, slots_in_all)
         for batch in batches:
             sizes, sums = [], np.zeros(batch.num_rows)
             held, targets, owners, size = [], [], [], 0
             for i in range(batch.num_rows + 1):
                 if i < batch.num_rows:
-                    slots = lookup.of(batch.column(1)[i].as_py())
+                    slots = np.frombuffer(batch.column(2)[i].as_py(), dtype=np.int32)
                     sizes.append(len(slots))
                     for lo in range(0, len(slots), SCORED):
                         at = np.arange(lo, min(len(slots), lo + SCORED))
-                        held.append(contexts(slots, at))
+                        held.append(contexts(slots, at, slots_in_all - 1))
                         targets.append(slots[at])
                         owners.append(np.full(len(at), i))
                         size += len(at)
@@ -281,8 +331,8 @@ def _score(words: list[bytes], values: np.ndarray):
                     sums += np.bincount(np.concatenate(owners), weights=found, minlength=batch.num_rows)
                     held, targets, owners, size = [], [], [], 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())],
-                names=["doc_id", "n_words", "log_likelihood"])
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())],
+                names=["row", "doc_id", "n_words", "of_slots"])
 
     return run
 
@@ -296,6 +346,20 @@ def pseudo_likelihoods(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """
     scratch = Scratch(docs.sparkSession, "masked-lm")
     rows = docs.select(long_id(F.col(doc_id)).alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
-    words, values = train(rows.select("text"), scratch)
-    scored = rows.mapInArrow(_score(words, values), "doc_id long, n_words long, log_likelihood double")
-    return scored.withColumn("mean_log_likelihood", F.try_divide("log_likelihood", F.col("n_words").cast("double")))
+    counts = scratch.keep(word_counts(rows.select("text")), "counts")
+    vocabulary = frequent_words(counts)
+    encoded = scratch.keep(
+        rows.mapInArrow(_encode(vocabulary), "doc_id long, hash long, slots binary, rare array<struct<word:binary,c:long>>")
+        .withColumn("row", F.monotonically_increasing_id()), "encoded")
+    values = train(encoded, vocabulary.slots, scratch)
+    scored = encoded.select("row", "doc_id", "slots").mapInArrow(
+        _score(vocabulary.slots, values), "row long, doc_id long, n_words long, of_slots double")
+    inside = (
+        encoded.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.c").alias("n"))
+        .join(word_shares(counts, vocabulary), "word").groupBy("row").agg(F.sum(F.col("n") * F.col("log_share")).alias("of_words"))
+    )
+    return (
+        scored.join(inside, "row", "left")
+        .select("doc_id", "n_words", (F.col("of_slots") + F.coalesce("of_words", F.lit(0.0))).alias("log_likelihood"))
+        .withColumn("mean_log_likelihood", F.try_divide("log_likelihood", F.col("n_words").cast("double")))
+    )

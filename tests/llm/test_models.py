@@ -157,3 +157,21 @@ def test_licences_of_odd_documents(odd_documents, no_documents):
     assert licence_matches(no_documents).collect() == []
     one = Template(4, "own", frozenset(bigrams(normal_words("a b c d e"))))
     assert LicenceScanner([one]).scan(b"A, b. C d E")[0][:2] == ("own", 1.0)
+
+
+def test_a_slot_is_divided_among_its_words_by_counts(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "VOCABULARY", 10)
+    monkeypatch.setattr(masked_lm, "SHARED_SLOTS", 1)
+    monkeypatch.setattr(masked_lm, "WORDS_GROW", 0.5)
+    common = " ".join(f"c{i % 20}" for i in range(400))
+    texts = [common] * 20 + [f"{common} rare"] * 30 + [f"{common} once{i}" for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = masked_lm.word_counts(docs.selectExpr("cast(text as binary) text"))
+    vocabulary = masked_lm.frequent_words(counts)
+    assert vocabulary.known == len(vocabulary.words) == 13 and vocabulary.shared == 2
+    shares = {bytes(r.word).decode(): r.log_share for r in masked_lm.word_shares(counts, vocabulary).collect()}
+    assert len(shares) == 20 + 1 + 600 - 13
+    # one text ends in a word seen 30 times, another one in a word seen once
+    found = {r.doc_id: r.log_likelihood for r in pseudo_likelihoods(docs).collect()}
+    odd = [i for i in range(50, 650) if masked_lm.zlib.crc32(texts[i].split()[-1].encode()) % 2 == masked_lm.zlib.crc32(b"rare") % 2]
+    assert found[20] - found[odd[0]] == pytest.approx(math.log(30), abs=0.05)
