@@ -8,9 +8,9 @@ tanh. The distribution is factored into a group of words and a word of the group
 exact and needs two short rows of logits. A text's score is the sum of the conditional
 log-probabilities of all its words.
 
-Training covers all documents: every task runs over its own part, predicting one position in
-STRIDE of each document, and starts from the common weights; the weights of the tasks are
-averaged by the number of predictions between rounds.
+Training covers all documents: every shard of them predicts one position in STRIDE of each
+document and starts from the common weights; between rounds every row of weights is averaged
+over the shards by the number of predictions that touched it.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -40,6 +42,8 @@ ROUNDS = 2
 BATCH = 2048
 RATE = 0.15
 SEED = 3
+#: Shards, each trained alone between averages, grow with the root of the words in units of SHARD_WORDS.
+SHARD_WORDS = 1 << 16
 #: Distinct words a task counts before it hands them on, words scored at once, weights in a row.
 COUNTED = 400_000
 SCORED = 1 << 16
@@ -159,6 +163,8 @@ class WindowNetwork:
         ]
         weights[5].reshape(-1)[slots - 1:] = -1e4  # slots that do not exist; the border is never predicted
         self.weights = [w.astype(np.float32) for w in weights]
+        #: predictions that used a row of the word tables, a group, and all of them
+        self.touched = [np.zeros((len(OFFSETS), slots), np.int64), np.zeros(self.groups, np.int64), np.zeros(1, np.int64)]
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         """(N, HIDDEN) for contexts (N, offsets) of slots."""
@@ -200,6 +206,7 @@ class WindowNetwork:
     def learn(self, context: np.ndarray, target: np.ndarray, memory: list[np.ndarray]) -> None:
         """One AdaGrad step; ``memory`` holds sums of squares shaped like the weights."""
         n = len(target)
+        self.touched[2] += n
         h = self.hidden(context)
         group, over_groups, inside = self.parts(h, target)
         over_groups[np.arange(n), group] -= 1
@@ -208,6 +215,7 @@ class WindowNetwork:
         self._step(2, slice(None), h.T @ over_groups, memory)
         self._step(3, slice(None), over_groups.sum(axis=0), memory)
         for rows, g, error in inside:
+            self.touched[1][g] += len(rows)
             error[np.arange(len(rows)), target[rows] % self.group] -= 1
             back[rows] += error @ to_word[g].T
             self._step(4, g, h[rows].T @ error, memory)
@@ -216,7 +224,8 @@ class WindowNetwork:
         self._step(1, slice(None), back.sum(axis=0), memory)
         for j in range(len(OFFSETS)):
             order = np.argsort(context[:, j], kind="stable")
-            words, first = np.unique(context[order, j], return_index=True)
+            words, first, uses = np.unique(context[order, j], return_index=True, return_counts=True)
+            self.touched[0][j, words] += uses
             self._step(0, (j, words), np.add.reduceat(back[order], first, axis=0), memory)
 
     def _step(self, which: int, where, grad: np.ndarray, memory: list[np.ndarray]) -> None:
@@ -224,15 +233,26 @@ class WindowNetwork:
         seen[where] += grad * grad
         self.weights[which][where] -= RATE * grad / np.sqrt(seen[where] + 1e-6)
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([w.reshape(-1) for w in self.weights])
+    def rows(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Weights in rows of what is learned together, and the predictions that touched each row."""
+        tables, bias, to_group, group_bias, to_word, word_bias = self.weights
+        return [
+            (tables.reshape(-1, HIDDEN), self.touched[0].reshape(-1)),
+            (np.concatenate([to_word.reshape(self.groups, -1), word_bias], axis=1), self.touched[1]),
+            (np.concatenate([bias, to_group.reshape(-1), group_bias])[None], self.touched[2]),
+        ]
 
     @classmethod
-    def from_flat(cls, values: np.ndarray, slots: int = SLOTS) -> WindowNetwork:
-        made, at = cls(slots), 0
-        for i, w in enumerate(made.weights):
-            made.weights[i] = values[at:at + w.size].reshape(w.shape).astype(np.float32)
-            at += w.size
+    def from_rows(cls, rows: list[np.ndarray], slots: int) -> WindowNetwork:
+        made = cls(slots)
+        tables, bias, to_group, group_bias, to_word, word_bias = made.weights
+        of_words, common = to_word[0].size, rows[2][0]
+        tables[:] = rows[0].reshape(tables.shape)
+        to_word[:] = rows[1][:, :of_words].reshape(to_word.shape)
+        word_bias[:] = rows[1][:, of_words:]
+        bias[:] = common[:HIDDEN]
+        to_group[:] = common[HIDDEN:HIDDEN + to_group.size].reshape(to_group.shape)
+        group_bias[:] = common[HIDDEN + to_group.size:]
         return made
 
 
@@ -243,76 +263,90 @@ def contexts(slots: np.ndarray, at: np.ndarray, border: int) -> np.ndarray:
     return np.stack([padded[at + REACH + d] for d in OFFSETS], axis=1)
 
 
-def _train(slots_in_all: int, values: np.ndarray, turn: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = WindowNetwork.from_flat(values, slots_in_all)
+def _train(slots_in_all: int, values: list[np.ndarray], turn: int):
+    def of_shard(texts: Iterator[tuple[int, pa.BinaryScalar]]) -> Iterator[pa.RecordBatch]:
+        network = WindowNetwork.from_rows(values, slots_in_all)
         memory = [np.full_like(w, 1.0) for w in network.weights]
-        held, targets, size, total = [], [], 0, 0
-
-        def step() -> None:
+        held, targets, size = [], [], 0
+        for first, found in texts:
+            slots = np.frombuffer(found.as_py(), dtype=np.int32)
+            at = np.arange((first + turn * (STRIDE // ROUNDS)) % STRIDE, len(slots), STRIDE)
+            for lo in range(0, len(at), BATCH):
+                part = at[lo:lo + BATCH]
+                held.append(contexts(slots, part, slots_in_all - 1))
+                targets.append(slots[part])
+                size += len(part)
+                if size >= BATCH:
+                    network.learn(np.concatenate(held), np.concatenate(targets), memory)
+                    held, targets, size = [], [], 0
+        if size:
             network.learn(np.concatenate(held), np.concatenate(targets), memory)
+        for kind, (rows, touched) in enumerate(network.rows()):
+            step = max(1, CHUNK // rows.shape[1])
+            for lo in range(0, len(rows), step):
+                uses = touched[lo:lo + step]
+                if uses.any():
+                    yield pa.RecordBatch.from_pylist(
+                        [{"kind": kind, "first": lo, "n": uses.tobytes(), "weights": rows[lo:lo + step].tobytes()}], schema=_PART_SCHEMA)
 
-        for batch in batches:
-            for first, found in zip(batch.column(0).to_pylist(), batch.column(1)):
-                slots = np.frombuffer(found.as_py(), dtype=np.int32)
-                if len(slots):
-                    at = np.arange((first + turn * (STRIDE // ROUNDS)) % STRIDE, len(slots), STRIDE)
-                    for lo in range(0, len(at), BATCH):
-                        part = at[lo:lo + BATCH]
-                        held.append(contexts(slots, part, slots_in_all - 1))
-                        targets.append(slots[part])
-                        size += len(part)
-                        total += len(part)
-                        if size >= BATCH:
-                            step()
-                            held, targets, size = [], [], 0
-        if size:
-            step()
-        if total:
-            flat = network.flat()
-            chunks = [flat[lo:lo + CHUNK].astype(np.float64) * total for lo in range(0, len(flat), CHUNK)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(chunks)), pa.int32()), pa.array([total] * len(chunks), pa.int64()),
-                 pa.array([c.tobytes() for c in chunks], pa.binary())], names=["chunk", "n", "weighted"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = ((shard, first, slots) for batch in batches for shard, first, slots in zip(
+            batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)))
+        for _, several in groupby(texts, key=itemgetter(0)):
+            yield from of_shard((first, slots) for _, first, slots in several)
 
     return run
 
 
-_SUM_SCHEMA = pa.schema([("chunk", pa.int32()), ("n", pa.int64()), ("weighted", pa.binary())])
+#: Touches as int64 by row; weights as float32, or their sums times touches as float64.
+_PART_SCHEMA = pa.schema([("kind", pa.int32()), ("first", pa.int32()), ("n", pa.binary()), ("weights", pa.binary())])
+_PARTS = "kind int, first int, n binary, weights binary"
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, list] = {}
+    sums: dict[tuple[int, int], list[np.ndarray]] = {}
     for batch in batches:
-        for chunk, n, weighted in zip(*(c.to_pylist() for c in batch.columns)):
-            got = sums.setdefault(chunk, [0, 0.0])
-            got[0] += n
-            got[1] = got[1] + np.frombuffer(weighted, dtype=np.float64)
-    if sums:
+        for kind, first, n, weights in zip(*(c.to_pylist() for c in batch.columns)):
+            uses = np.frombuffer(n, dtype=np.int64)
+            weighted = np.frombuffer(weights, dtype=np.float32).reshape(len(uses), -1) * uses[:, None].astype(np.float64)
+            got = sums.get((kind, first))
+            sums[kind, first] = [uses, weighted] if got is None else [got[0] + uses, got[1] + weighted]
+    for (kind, first), (uses, weighted) in sums.items():
         yield pa.RecordBatch.from_pylist(
-            [{"chunk": k, "n": n, "weighted": w.tobytes()} for k, (n, w) in sums.items()], schema=_SUM_SCHEMA)
+            [{"kind": kind, "first": first, "n": uses.tobytes(), "weights": weighted.tobytes()}], schema=_PART_SCHEMA)
+
+
+def in_shards(encoded: DataFrame, words: int) -> tuple[DataFrame, int]:
+    """``encoded(row, hash, slots)`` dealt to shards, and their number: it follows from the words
+    and not from how the input is split."""
+    shards = max(1, math.ceil(math.sqrt(words / SHARD_WORDS)))
+    dealt = encoded.select("row", "hash", "slots").repartition(shards, "row")
+    return dealt.withColumn("shard", F.spark_partition_id()).sortWithinPartitions("row").select("shard", "hash", "slots"), shards
 
 
-def train(encoded: DataFrame, slots: int, scratch: Scratch) -> np.ndarray:
-    """Averaged weights of the network over all texts of ``encoded(hash, slots)``.
+def train(encoded: DataFrame, slots: int, rounds: int, scratch: Scratch) -> list[np.ndarray]:
+    """Averaged weights of the network over all texts of ``encoded(shard, hash, slots)``, in rows.
 
-    One running sum per task and chunk of weights, then one per chunk, so no task and not the
-    driver ever holds the weights of all tasks.
+    A row of weights is averaged by the predictions that touched it, so shards without its words
+    do not pull it back. One sum per chunk of rows, so no task and not the driver ever holds the
+    weights of all shards.
     """
-    shape = "chunk int, n long, weighted binary"
-    values = WindowNetwork(slots).flat()
-    for turn in range(ROUNDS):
-        trained = scratch.keep(encoded.select("hash", "slots").mapInArrow(_train(slots, values, turn), shape), f"round-{turn}")
-        summed = trained.repartition("chunk").mapInArrow(_add, shape).orderBy("chunk").collect()
-        if summed:
-            values = np.concatenate([np.frombuffer(r["weighted"], dtype=np.float64) / r["n"] for r in summed]).astype(np.float32)
+    values = [rows.copy() for rows, _ in WindowNetwork(slots).rows()]
+    for turn in range(rounds):
+        trained = scratch.keep(
+            encoded.select("shard", "hash", "slots").mapInArrow(_train(slots, values, turn), _PARTS), f"round-{turn}")
+        for part in trained.repartition("kind", "first").mapInArrow(_add, _PARTS).collect():
+            uses = np.frombuffer(part["n"], dtype=np.int64)
+            weighted = np.frombuffer(part["weights"], dtype=np.float64).reshape(len(uses), -1)
+            rows = values[part["kind"]][part["first"]:part["first"] + len(uses)]
+            rows[uses > 0] = weighted[uses > 0] / uses[uses > 0, None]
         scratch.drop(f"round-{turn}")
     return values
 
 
-def _score(slots_in_all: int, values: np.ndarray):
+def _score(slots_in_all: int, values: list[np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = WindowNetwork.from_flat(values, slots_in_all)
+        network = WindowNetwork.from_rows(values, slots_in_all)
         for batch in batches:
             sizes, sums = [], np.zeros(batch.num_rows)
             held, targets, owners, size = [], [], [], 0
@@ -342,7 +376,8 @@ def pseudo_likelihoods(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     A NULL or wordless text has no words, sum 0 and a NULL mean. NULL ids and repeated rows are
     scored like others; repeated texts weigh in training as often as they occur. Other columns
-    are not read. The averaged weights depend on how the input is split into tasks.
+    are not read. Texts are dealt to shards by their place in the input, so another split deals
+    them differently, to as many shards.
     """
     scratch = Scratch(docs.sparkSession, "masked-lm")
     rows = docs.select(long_id(F.col(doc_id)).alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
@@ -351,7 +386,9 @@ def pseudo_likelihoods(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     encoded = scratch.keep(
         rows.mapInArrow(_encode(vocabulary), "doc_id long, hash long, slots binary, rare array<struct<word:binary,c:long>>")
         .withColumn("row", F.monotonically_increasing_id()), "encoded")
-    values = train(encoded, vocabulary.slots, scratch)
+    dealt, _ = in_shards(encoded, counts.agg(F.sum("c")).first()[0] or 0)
+    values = train(scratch.keep(dealt, "shards"), vocabulary.slots, ROUNDS, scratch)
+    scratch.drop("shards")
     scored = encoded.select("row", "doc_id", "slots").mapInArrow(
         _score(vocabulary.slots, values), "row long, doc_id long, n_words long, of_slots double")
     inside = (

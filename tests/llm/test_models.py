@@ -175,3 +175,24 @@ def test_a_slot_is_divided_among_its_words_by_counts(spark, monkeypatch):
     found = {r.doc_id: r.log_likelihood for r in pseudo_likelihoods(docs).collect()}
     odd = [i for i in range(50, 650) if masked_lm.zlib.crc32(texts[i].split()[-1].encode()) % 2 == masked_lm.zlib.crc32(b"rare") % 2]
     assert found[20] - found[odd[0]] == pytest.approx(math.log(30), abs=0.05)
+
+
+def test_scores_do_not_follow_the_split_of_the_input(spark):
+    # texts of one language hold words that no other text has
+    rows = [(i, " ".join(f"{'abc'[(i + k) % 3]}{i % 40}" for k in range(200))) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    few, many = ({r.doc_id: r.mean_log_likelihood for r in pseudo_likelihoods(docs.repartition(n, "doc_id")).collect()} for n in (2, 200))
+    assert max(abs(few[i] - many[i]) for i in few) < 0.5
+    assert max(few.values()) < 0 and abs(sum(few.values()) - sum(many.values())) < 0.05 * len(few)
+
+
+def test_rows_of_weights_are_averaged_by_their_touches():
+    one, two = WindowNetwork(50).rows(), WindowNetwork(50).rows()
+    one[0][0][3], two[0][0][3] = 5.0, 1.0
+    one[0][1][3], two[0][1][3], two[0][1][4] = 6, 2, 9
+    parts = [{"kind": 0, "first": 0, "n": n.tobytes(), "weights": w.tobytes()} for (w, n), *_ in (one, two)]
+    batch = masked_lm.pa.RecordBatch.from_pylist(parts, schema=masked_lm._PART_SCHEMA)
+    (found,) = [b.to_pylist()[0] for b in masked_lm._add(iter([batch]))]
+    uses = np.frombuffer(found["n"], np.int64)
+    sums = np.frombuffer(found["weights"], np.float64).reshape(len(uses), -1)
+    assert uses[3:5].tolist() == [8, 9] and np.allclose(sums[3] / 8, 4) and np.allclose(sums[4] / 9, two[0][0][4])
