@@ -8,9 +8,9 @@ tanh. The distribution is factored into a group of words and a word of the group
 exact and needs two short rows of logits. A text's score is the sum of the conditional
 log-probabilities of all its words.
 
-Training covers all documents: every shard of them predicts one position in STRIDE of each
-document and starts from the common weights; between rounds every row of weights is averaged
-over the shards by the number of predictions that touched it.
+Training covers every word of all documents once: in each of R rounds every shard of them
+predicts one position in R of each document and starts from the common weights; between rounds
+every row of weights is averaged over the shards by the number of predictions that touched it.
 """
 
 from __future__ import annotations
@@ -36,9 +36,8 @@ SHARED_SLOTS = 95
 WORDS_GROW = 6
 REACH = 2
 HIDDEN = 16
-#: One position in STRIDE is predicted in training, another one in each round.
-STRIDE = 8
-ROUNDS = 2
+#: Least number of training rounds; every position is predicted in exactly one of them.
+ROUNDS = 8
 BATCH = 2048
 RATE = 0.15
 SEED = 3
@@ -263,14 +262,14 @@ def contexts(slots: np.ndarray, at: np.ndarray, border: int) -> np.ndarray:
     return np.stack([padded[at + REACH + d] for d in OFFSETS], axis=1)
 
 
-def _train(slots_in_all: int, values: list[np.ndarray], turn: int):
+def _train(slots_in_all: int, values: list[np.ndarray], turn: int, rounds: int):
     def of_shard(texts: Iterator[tuple[int, pa.BinaryScalar]]) -> Iterator[pa.RecordBatch]:
         network = WindowNetwork.from_rows(values, slots_in_all)
         memory = [np.full_like(w, 1.0) for w in network.weights]
         held, targets, size = [], [], 0
         for first, found in texts:
             slots = np.frombuffer(found.as_py(), dtype=np.int32)
-            at = np.arange((first + turn * (STRIDE // ROUNDS)) % STRIDE, len(slots), STRIDE)
+            at = np.arange((first + turn) % rounds, len(slots), rounds)
             for lo in range(0, len(at), BATCH):
                 part = at[lo:lo + BATCH]
                 held.append(contexts(slots, part, slots_in_all - 1))
@@ -334,7 +333,7 @@ def train(encoded: DataFrame, slots: int, rounds: int, scratch: Scratch) -> list
     values = [rows.copy() for rows, _ in WindowNetwork(slots).rows()]
     for turn in range(rounds):
         trained = scratch.keep(
-            encoded.select("shard", "hash", "slots").mapInArrow(_train(slots, values, turn), _PARTS), f"round-{turn}")
+            encoded.select("shard", "hash", "slots").mapInArrow(_train(slots, values, turn, rounds), _PARTS), f"round-{turn}")
         for part in trained.repartition("kind", "first").mapInArrow(_add, _PARTS).collect():
             uses = np.frombuffer(part["n"], dtype=np.int64)
             weighted = np.frombuffer(part["weights"], dtype=np.float64).reshape(len(uses), -1)
@@ -386,8 +385,8 @@ def pseudo_likelihoods(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     encoded = scratch.keep(
         rows.mapInArrow(_encode(vocabulary), "doc_id long, hash long, slots binary, rare array<struct<word:binary,c:long>>")
         .withColumn("row", F.monotonically_increasing_id()), "encoded")
-    dealt, _ = in_shards(encoded, counts.agg(F.sum("c")).first()[0] or 0)
-    values = train(scratch.keep(dealt, "shards"), vocabulary.slots, ROUNDS, scratch)
+    dealt, shards = in_shards(encoded, counts.agg(F.sum("c")).first()[0] or 0)
+    values = train(scratch.keep(dealt, "shards"), vocabulary.slots, max(ROUNDS, math.ceil(math.sqrt(shards))), scratch)
     scratch.drop("shards")
     scored = encoded.select("row", "doc_id", "slots").mapInArrow(
         _score(vocabulary.slots, values), "row long, doc_id long, n_words long, of_slots double")
