@@ -43,6 +43,8 @@ RATE = 0.15
 SEED = 3
 #: Shards, each trained alone between averages, grow with the root of the words in units of SHARD_WORDS.
 SHARD_WORDS = 1 << 16
+#: Words whose shares every worker looks up; the shares of all others are joined. Only saves disk.
+LISTED = 200_000
 #: Distinct words a task counts before it hands them on, words scored at once, weights in a row.
 COUNTED = 400_000
 SCORED = 1 << 16
@@ -73,11 +75,17 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Vocabulary(NamedTuple):
-    """Known words, most frequent first, and numbers of slots for known and for other words."""
+    """Known words, most frequent first, numbers of slots for known and for other words, the next
+    most frequent words with their log shares, the count of the last of all these, and how
+    often the other words of each shared slot occur."""
 
     words: list[bytes]
-    known: int = VOCABULARY
-    shared: int = SHARED_SLOTS
+    known: int
+    shared: int
+    listed: list[bytes]
+    log_shares: np.ndarray
+    last: tuple[int, bytes] | None
+    totals: list[int]
 
     @property
     def slots(self) -> int:
@@ -89,62 +97,94 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def frequent_words(counts: DataFrame) -> Vocabulary:
-    """The most frequent words, more of them the more distinct words there are; ties by their bytes."""
+    """The most frequent words, more of them the more distinct words there are; ties by their bytes.
+
+    A word of a shared slot takes c(w) / (c(slot) + 1) of it. The one count more is the part of
+    a slot that words without any count have between them.
+    """
     known = max(VOCABULARY, math.ceil(WORDS_GROW * math.sqrt(counts.count())))
-    rows = counts.orderBy(F.col("c").desc(), "word").limit(known).collect()
-    return Vocabulary([bytes(row["word"]) for row in rows], known, -(-known * SHARED_SLOTS // VOCABULARY))
+    shared = -(-known * SHARED_SLOTS // VOCABULARY)
+    rows = counts.orderBy(F.col("c").desc(), "word").limit(known + LISTED).toArrow()
+    words, found = rows["word"].to_pylist(), rows["c"].to_numpy()
+    totals = [0] * shared
+    for row in counts.groupBy((F.crc32("word") % shared).alias("slot")).agg(F.sum("c").alias("c")).collect():
+        totals[row["slot"]] = row["c"]
+    for word, c in zip(words[:known], found):
+        totals[zlib.crc32(word) % shared] -= int(c)
+    listed = words[known:]
+    of_slot = np.array([totals[zlib.crc32(word) % shared] for word in listed], dtype=np.float64)
+    return Vocabulary(words[:known], known, shared, listed, np.log(found[known:] / (of_slot + 1)),
+                      (int(found[-1]), words[-1]) if words else None, totals)
 
 
 def word_shares(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``(word, log_share)`` of every word that shares a slot: c(w) / (c(slot) + 1).
-
-    The one count more is the part of a slot that words without any count have between them.
-    """
-    listed = counts.sparkSession.createDataFrame([(bytearray(w),) for w in vocabulary.words], "word binary")
-    rare = counts.join(listed, "word", "left_anti").withColumn("slot", F.crc32("word") % vocabulary.shared)
-    of_slot = rare.groupBy("slot").agg(F.sum("c").alias("all"))
-    return rare.join(F.broadcast(of_slot), "slot").select("word", F.log(F.col("c") / (F.col("all") + 1)).alias("log_share"))
+    """``(word, log_share)`` of every word that is neither known nor listed."""
+    if vocabulary.last is None:
+        return counts.select("word", F.lit(0.0).alias("log_share"))
+    c, word = vocabulary.last
+    rest = counts.where((F.col("c") < c) | ((F.col("c") == c) & (F.col("word") > F.lit(bytearray(word)))))
+    of_slot = counts.sparkSession.createDataFrame(list(enumerate(vocabulary.totals)), "slot long, all long")
+    return (
+        rest.withColumn("slot", F.crc32("word") % vocabulary.shared).join(F.broadcast(of_slot), "slot")
+        .select("word", F.log(F.col("c") / (F.col("all") + 1)).alias("log_share"))
+    )
 
 
 class Slots:
-    """Slot of every word, remembered per worker."""
+    """Slots of words and the sum of the listed log shares."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.first, self.shared = vocabulary.known, vocabulary.shared
-        self.known: dict[bytes, int] = {word: i for i, word in enumerate(vocabulary.words)}
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        out = list(map(known.get, words))
-        for i, slot in enumerate(out):
-            if slot is None:
-                word = words[i]
-                slot = out[i] = self.first + zlib.crc32(word) % self.shared
-                if len(known) < COUNTED:
-                    known[word] = slot
-        return np.array(out, dtype=np.int32)
+        words = vocabulary.words + vocabulary.listed
+        self.place = {word: i for i, word in enumerate(words)}
+        self.slot = np.array([i if i < self.first else self.other(w) for i, w in enumerate(words)], dtype=np.int32)
+        self.log_share = np.zeros(len(words))
+        self.log_share[len(vocabulary.words):] = vocabulary.log_shares
+
+    def other(self, word: bytes) -> int:
+        return self.first + zlib.crc32(word) % self.shared
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, float, Counter[bytes]]:
+        """Slots, sum of log shares of known and listed words, counts of the words that are neither."""
+        places = list(map(self.place.get, words))
+        missing = [i for i, place in enumerate(places) if place is None]
+        if not missing:
+            return self.slot[places], float(self.log_share[places].sum()), Counter()
+        found = np.empty(len(words), dtype=np.int32)
+        there = np.ones(len(words), dtype=bool)
+        there[missing] = False
+        inside = [place for place in places if place is not None]
+        found[there] = self.slot[inside]
+        found[missing] = [self.other(words[i]) for i in missing]
+        return found, float(self.log_share[inside].sum()), Counter(words[i] for i in missing)
+
+
+def slot_type(slots: int) -> type:
+    return np.uint16 if slots <= 1 << 16 else np.int32
 
 
 def _encode(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Slots(vocabulary)
         for batch in batches:
-            hashes, slots, rare = [], [], []
+            hashes, slots, shares, rare = [], [], [], []
             for text in batch.column(1):
                 raw = text.as_py() or b""
                 words = raw.split()
-                found = lookup.of(words)
+                found, share, others = lookup.of(words) if words else (np.empty(0, np.int32), 0.0, Counter())
                 hashes.append(zlib.crc32(raw))
-                slots.append(found.tobytes())
-                rare.append(Counter(words[i] for i in np.flatnonzero(found >= vocabulary.known)))
+                slots.append(found.astype(slot_type(vocabulary.slots)).tobytes())
+                shares.append(share)
+                rare.append(others)
             rows = pa.ListArray.from_arrays(
                 pa.array(np.cumsum([0, *map(len, rare)]), pa.int32()),
                 pa.StructArray.from_arrays(
                     [pa.array([w for r in rare for w in r], pa.binary()),
                      pa.array([c for r in rare for c in r.values()], pa.int64())], names=["word", "c"]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(hashes, pa.int64()), pa.array(slots, pa.binary()), rows],
-                names=["doc_id", "hash", "slots", "rare"])
+                [batch.column(0), pa.array(hashes, pa.int64()), pa.array(slots, pa.binary()),
+                 pa.array(shares, pa.float64()), rows],
+                names=["doc_id", "hash", "slots", "listed", "rare"])
 
     return run
 
@@ -268,7 +308,7 @@ def _train(slots_in_all: int, values: list[np.ndarray], turn: int, rounds: int):
         memory = [np.full_like(w, 1.0) for w in network.weights]
         held, targets, size = [], [], 0
         for first, found in texts:
-            slots = np.frombuffer(found.as_py(), dtype=np.int32)
+            slots = np.frombuffer(found.as_py(), dtype=slot_type(slots_in_all)).astype(np.int32)
             at = np.arange((first + turn) % rounds, len(slots), rounds)
             for lo in range(0, len(at), BATCH):
                 part = at[lo:lo + BATCH]
@@ -347,11 +387,11 @@ def _score(slots_in_all: int, values: list[np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = WindowNetwork.from_rows(values, slots_in_all)
         for batch in batches:
-            sizes, sums = [], np.zeros(batch.num_rows)
+            sizes, sums = [], np.array(batch.column(3))
             held, targets, owners, size = [], [], [], 0
             for i in range(batch.num_rows + 1):
                 if i < batch.num_rows:
-                    slots = np.frombuffer(batch.column(2)[i].as_py(), dtype=np.int32)
+                    slots = np.frombuffer(batch.column(2)[i].as_py(), dtype=slot_type(slots_in_all)).astype(np.int32)
                     sizes.append(len(slots))
                     for lo in range(0, len(slots), SCORED):
                         at = np.arange(lo, min(len(slots), lo + SCORED))
@@ -383,12 +423,12 @@ def pseudo_likelihoods(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     counts = scratch.keep(word_counts(rows.select("text")), "counts")
     vocabulary = frequent_words(counts)
     encoded = scratch.keep(
-        rows.mapInArrow(_encode(vocabulary), "doc_id long, hash long, slots binary, rare array<struct<word:binary,c:long>>")
+        rows.mapInArrow(_encode(vocabulary), "doc_id long, hash long, slots binary, listed double, rare array<struct<word:binary,c:long>>")
         .withColumn("row", F.monotonically_increasing_id()), "encoded")
     dealt, shards = in_shards(encoded, counts.agg(F.sum("c")).first()[0] or 0)
     values = train(scratch.keep(dealt, "shards"), vocabulary.slots, max(ROUNDS, math.ceil(math.sqrt(shards))), scratch)
     scratch.drop("shards")
-    scored = encoded.select("row", "doc_id", "slots").mapInArrow(
+    scored = encoded.select("row", "doc_id", "slots", "listed").mapInArrow(
         _score(vocabulary.slots, values), "row long, doc_id long, n_words long, of_slots double")
     inside = (
         encoded.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.c").alias("n"))

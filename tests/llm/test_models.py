@@ -163,6 +163,7 @@ def test_a_slot_is_divided_among_its_words_by_counts(spark, monkeypatch):
     monkeypatch.setattr(masked_lm, "VOCABULARY", 10)
     monkeypatch.setattr(masked_lm, "SHARED_SLOTS", 1)
     monkeypatch.setattr(masked_lm, "WORDS_GROW", 0.5)
+    monkeypatch.setattr(masked_lm, "LISTED", 15)
     common = " ".join(f"c{i % 20}" for i in range(400))
     texts = [common] * 20 + [f"{common} rare"] * 30 + [f"{common} once{i}" for i in range(600)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -170,7 +171,8 @@ def test_a_slot_is_divided_among_its_words_by_counts(spark, monkeypatch):
     vocabulary = masked_lm.frequent_words(counts)
     assert vocabulary.known == len(vocabulary.words) == 13 and vocabulary.shared == 2
     shares = {bytes(r.word).decode(): r.log_share for r in masked_lm.word_shares(counts, vocabulary).collect()}
-    assert len(shares) == 20 + 1 + 600 - 13
+    assert len(vocabulary.listed) == 15 and not set(shares) & {w.decode() for w in vocabulary.words + vocabulary.listed}
+    assert len(shares) == 20 + 1 + 600 - 13 - 15
     # one text ends in a word seen 30 times, another one in a word seen once
     found = {r.doc_id: r.log_likelihood for r in pseudo_likelihoods(docs).collect()}
     odd = [i for i in range(50, 650) if masked_lm.zlib.crc32(texts[i].split()[-1].encode()) % 2 == masked_lm.zlib.crc32(b"rare") % 2]
@@ -204,7 +206,7 @@ def test_every_position_is_a_target_once(monkeypatch):
     texts, start = [np.arange(0, 1, dtype=np.int32), np.arange(1, 4, dtype=np.int32), np.arange(4, 300, dtype=np.int32)], WindowNetwork(400)
     batch = masked_lm.pa.RecordBatch.from_arrays(
         [masked_lm.pa.array([0, 0, 1], "int32"), masked_lm.pa.array([17, 5, 2**32 - 1], "int64"),
-         masked_lm.pa.array([t.tobytes() for t in texts], "binary")], names=["shard", "hash", "slots"])
+         masked_lm.pa.array([t.astype(masked_lm.slot_type(400)).tobytes() for t in texts], "binary")], names=["shard", "hash", "slots"])
     for turn in range(masked_lm.ROUNDS):
         list(masked_lm._train(400, [rows for rows, _ in start.rows()], turn, masked_lm.ROUNDS)(iter([batch])))
     assert sorted(seen) == list(range(300))
