@@ -1,5 +1,7 @@
 """Texts of well-known licences and licence notices, without names and years."""
 
+from pathlib import Path
+
 # Public licence texts.
 TEMPLATES = {
     "MIT": """
@@ -91,6 +93,28 @@ see <https://www.gnu.org/licenses/>.
 """,
 }
 
+_GNU = TEMPLATES["GPL-3.0-or-later"]
+_LESSER = _GNU.replace("General Public", "Lesser General Public")
+_OLD = _GNU.replace("is free software: you", "is free software; you").replace("either version 3", "either version 2").replace(
+    "If not,\nsee <https://www.gnu.org/licenses/>.",
+    "if\nnot, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA\n02110-1301 USA.")
+TEMPLATES |= {
+    "BSD-3-Clause": TEMPLATES["BSD-2-Clause"].replace("""the distribution.
+""", """the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse
+or promote products derived from this software without specific prior written permission.
+"""),
+    "GPL-2.0-or-later": _OLD,
+    "LGPL-3.0-or-later": _LESSER,
+    "LGPL-2.1-or-later": _OLD.replace("This program", "This library").replace("this program", "this library").replace(
+        "General Public", "Lesser General Public").replace("either version 2", "either version 2.1"),
+    "AGPL-3.0-or-later": _GNU.replace("General Public", "Affero General Public"),
+    "MPL-2.0": """
+This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
+MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.
+""",
+}
 # One-line notices.
 NOTICES = {
     "MIT": ("Released under the MIT License.", "This project is licensed under the MIT License.",
@@ -104,3 +128,24 @@ NOTICES = {
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under CC BY 4.0.",
                   "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 }
+
+
+def _lines(name: str, *also: str) -> tuple[str, ...]:
+    return tuple(f"{start} {what}." for what in (name, *also)
+                 for start in ("Licensed under", "Released under", "This work is licensed under", "This project is licensed under"))
+
+
+_CREATIVE = {"BY": "Attribution", "NC": "NonCommercial", "SA": "ShareAlike", "ND": "NoDerivatives"}
+NOTICES = {name: (*NOTICES.get(name, ()), *several) for name, several in (NOTICES | {
+    "MIT": _lines("the MIT License"), "ISC": _lines("the ISC License"),
+    "BSD-2-Clause": _lines("the BSD 2-Clause License"), "BSD-3-Clause": _lines("the BSD 3-Clause License"),
+    "Apache-2.0": _lines("the Apache License, Version 2.0"), "MPL-2.0": _lines("the Mozilla Public License, version 2.0"),
+    **{f"{short}GPL-{v}": _lines(f"the GNU {full}General Public License, version {v.removesuffix('.0')}")
+       for short, full, v in (("", "", "2.0"), ("", "", "3.0"), ("L", "Lesser ", "2.1"), ("L", "Lesser ", "3.0"), ("A", "Affero ", "3.0"))},
+    **{f"CC-{terms}-4.0": _lines(f"CC {terms} 4.0", "a Creative Commons " + "-".join(_CREATIVE[t] for t in terms.split("-")) + " 4.0 International License")
+       for terms in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")},
+    "CC0-1.0": _lines("CC0 1.0 Universal", "a Creative Commons Zero 1.0 Universal License"),
+}).items()}
+
+# Whole public texts, one file each.
+BODIES = {path.stem: path.read_text("utf-8") for path in sorted((Path(__file__).parent / "licences").glob("*.txt"))}

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from finmart.llm import masked_lm
+from finmart.llm import license_templates, masked_lm
 from finmart.llm.language_id import ByteTagger, Layer, cut, language_predictions
 from finmart.llm.license_scan import LicenceScanner, Template, bigrams, licence_matches, licence_report, make_templates, normal_words
 from finmart.llm.license_templates import TEMPLATES
@@ -210,3 +210,16 @@ def test_every_position_is_a_target_once(monkeypatch):
     for turn in range(masked_lm.ROUNDS):
         list(masked_lm._train(400, [rows for rows, _ in start.rows()], turn, masked_lm.ROUNDS)(iter([batch])))
     assert sorted(seen) == list(range(300))
+
+
+def test_siblings_keep_their_own_names():
+    scanner = LicenceScanner(make_templates())
+    for name, text in [*TEMPLATES.items(), *license_templates.BODIES.items()]:
+        whole = [m for m in scanner.scan(text.strip().encode()) if m[2] == 0 and m[3] == text.strip().count("\n") + 1]
+        assert [m[:2] for m in whole] == [(name, 1.0)], name
+    for name, several in license_templates.NOTICES.items():
+        for notice in several:
+            assert [m[:2] for m in scanner.scan(notice.encode())] == [(name, 1.0)], notice
+    # no template of version 1 or of a changed family: better none than a wrong one
+    assert scanner.scan(b"This work is licensed under the GNU General Public License, version 1.") == []
+    assert scanner.scan(TEMPLATES["GPL-3.0-or-later"].replace("version 3", "version 4").strip().encode())[0][3] < 9
