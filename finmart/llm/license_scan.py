@@ -36,6 +36,7 @@ _MATCH = pa.list_(pa.struct([("licence", pa.string()), ("dice", pa.float64()), (
 #: Words that tell sibling licences apart, and words that numbers of versions follow.
 _FAMILY = {b"lesser", b"library", b"affero", b"mozilla", b"apache", b"nc", b"sa", b"nd", b"noncommercial", b"sharealike",
            b"noderivatives", b"clause", b"zero", b"cc0"}
+_TERMS = {b"noncommercial", b"sharealike", b"noderivatives"}
 _VERSION = _FAMILY - {b"library"} | {b"version", b"v", b"by", b"attribution", b"bsd"}
 
 
@@ -116,7 +117,8 @@ class LicenceScanner:
                 continue
             if agree:
                 own = marks(pairs) if own is None else own
-                if not own <= template.marks or template.size <= NOTICE and not template.marks <= own:
+                needed = template.marks if template.size <= NOTICE else template.marks & _TERMS
+                if not needed <= own <= template.marks:
                     continue
             key = (-dice, template.licence != first, template.licence)
             if found is None or key < found:

@@ -223,3 +223,6 @@ def test_siblings_keep_their_own_names():
     # no template of version 1 or of a changed family: better none than a wrong one
     assert scanner.scan(b"This work is licensed under the GNU General Public License, version 1.") == []
     assert scanner.scan(TEMPLATES["GPL-3.0-or-later"].replace("version 3", "version 4").strip().encode())[0][3] < 9
+    # a whole text without the terms of the nearest one known
+    other = license_templates.BODIES["CC-BY-SA-4.0"].replace("ShareAlike", "")
+    assert all(m[3] < 60 for m in scanner.scan(other.encode()))
