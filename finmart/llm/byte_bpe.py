@@ -27,15 +27,15 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from finmart.llm.tables import long_id
+from finmart.llm.tables import long_id, small_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Leaves of the tree over characters, over bytes of one match, and over token ids.
 LEAF_CHARS = 4096
 LEAF_BYTES = 48
 LEAF_IDS = 4096
-#: Matches remembered per worker process, in two generations; only saves time.
-REMEMBERED = 150_000
+#: Matches and pairs remembered while a partition is worked on, in two generations; only saves time.
+REMEMBERED = 40_000
 #: Characters a match may look at from its start, and past its end, in the pattern.
 LOOK_FROM_START = 3
 LOOK_PAST_END = 1
@@ -59,6 +59,10 @@ class ByteBpe:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Drops what was remembered; a reused worker process holds only the vocabulary."""
+        self.young, self.old, self.fits = {}, {}, {}
+
     # pieces
 
     def merge(self, piece: bytes) -> list[int]:
@@ -230,6 +234,7 @@ def _encode(path: str, with_decoded: bool):
                     rows, held = [], 0
             if rows:
                 yield _encoded(rows)
+        coder.forget()
 
     return run
 
@@ -251,6 +256,7 @@ def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     NULL ids and repeated rows are kept as they are; other columns are not read.
     """
     path = vocabulary or public_tokenizers.path(VOCABULARY)
+    small_batches(docs.sparkSession)
     return docs.select(
         long_id(F.col(doc_id)).alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text")
     ).mapInArrow(_encode(path, with_decoded), "doc_id long, ids array<int>, decoded binary")

@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from finmart.llm.shingles import mix
-from finmart.llm.tables import Scratch
-from finmart.llm.words import bitmap_of, fold_table, in_bitmap, spans, word_hashes
+from finmart.llm.tables import Scratch, small_batches
+from finmart.llm.words import BUFFER_BYTES, bitmap_of, fold_table, in_bitmap, spans, word_hashes
 
 LEAST_COUNT = 100
 MOST_WORDS = 5
@@ -35,7 +35,9 @@ ROUTE_SHARE = 1024
 #: Rows of a routed task, about; its pointers are sorted in memory.
 TASK_ROWS = 500_000
 #: Distinct phrases held before they are handed on.
-HELD = 200_000
+HELD = 100_000
+#: Pairs summed at once before they are handed on.
+HELD_PAIRS = 2_000_000
 
 _BREAKS = frozenset(b".,;:!?\n\x0b\x0c\r")
 #: Pieces end at line feeds, words at spaces; A-Z in lower case.
@@ -65,7 +67,7 @@ def _lang_seed(lang: str) -> np.uint64:
 
 
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
-    """Texts of a batch by language, at most about 4 MB at a time; NULL texts are left out."""
+    """Texts of a batch by language, ``BUFFER_BYTES`` at a time; NULL texts are left out."""
     held: dict[str, list[bytes]] = defaultdict(list)
     sizes: Counter = Counter()
     for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -73,7 +75,7 @@ def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
         if raw:
             held[lang].append(raw)
             sizes[lang] += len(raw)
-            if sizes[lang] > 4 << 20:
+            if sizes[lang] >= BUFFER_BYTES:
                 yield lang, held.pop(lang)
                 del sizes[lang]
     yield from held.items()
@@ -116,7 +118,7 @@ def _count_pairs(frequent: np.ndarray):
                 known = in_bitmap(frequent, laid.words)
                 held.append(laid.pairs()[known[:-1] & known[1:] & (laid.piece[:-1] == laid.piece[1:])])
                 rows += len(held[-1])
-                if rows > 4_000_000:
+                if rows >= HELD_PAIRS:
                     yield summed()
                     held, rows = [], 0
         if held:
@@ -267,6 +269,7 @@ def _routes(suffixes: DataFrame) -> DataFrame:
 
 def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Counts ``(lang, phrase, n)`` of all words, and of phrases of 2 to 5 words found ``LEAST_COUNT`` times."""
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "collocations")
     read = docs.where(F.col(text).isNotNull()).select(
         F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).cast("string").cast("binary").alias("text"))

@@ -29,7 +29,7 @@ AUDIT_RECALL = 0.98
 #: Single precision may lose this much before the exact check.
 SLACK = 1e-5
 
-GRAPHS = "label int, width int, shard int, blocks int, ids binary, members binary, vectors binary, links binary, levels int, beam int"
+GRAPHS = "label string, width int, shard int, blocks int, ids binary, members binary, vectors binary, links binary, levels int, beam int"
 FOUND = "a long, b long, n long"
 
 
@@ -73,7 +73,7 @@ def _build(table: pa.Table) -> pa.Table:
 
 
 _GRAPH_SCHEMA = pa.schema([
-    ("label", pa.int32()), ("width", pa.int32()), ("shard", pa.int32()), ("blocks", pa.int32()), ("ids", pa.binary()),
+    ("label", pa.string()), ("width", pa.int32()), ("shard", pa.int32()), ("blocks", pa.int32()), ("ids", pa.binary()),
     ("members", pa.binary()), ("vectors", pa.binary()), ("links", pa.binary()), ("levels", pa.int32()), ("beam", pa.int32())])
 
 
@@ -140,7 +140,7 @@ def embedding_components(vectors: DataFrame, vec_id: str = "vec_id", embedding:
     """
     scratch = Scratch(vectors.sparkSession, "embeddings")
     rows = vectors.select(
-        long_id(F.col(vec_id)).alias("vec_id"), F.col(label).cast("int").alias("label"), F.col(embedding).cast("array<double>").alias("vector"))
+        long_id(F.col(vec_id)).alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(embedding).cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     sound = (
         F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from finmart.llm.shingles import mix, set_fingerprint, shingle_hashes
-from finmart.llm.tables import Scratch, components, long_id
+from finmart.llm.tables import Scratch, components, long_id, small_batches
 
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
@@ -359,16 +359,21 @@ def _pairs(meetings: DataFrame) -> DataFrame:
 
 
 def keep_first_of_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per near-duplicate group: the one with the least id; all columns of ``docs`` stay.
+    """One row per near-duplicate group, all columns of ``docs`` stay: the row with the least id.
 
-    Wordless texts and rows without an id are groups of their own. Of rows that repeat the
-    kept id, the one with the least text (NULL first) stays.
+    Groups are of rows, not of ids: rows of one id with different texts are told apart, and equal
+    rows are copies. A NULL id comes last in its group. NULL and wordless texts are groups of their
+    own. The rows are stored with numbers first, so that a lost executor cannot renumber them.
     """
-    marked = jaccard_components(docs, doc_id, text)
-    first = marked.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    order = Window.partitionBy(doc_id).orderBy(F.col(text).asc_nulls_first(), F.xxhash64(*[F.col(c) for c in docs.columns]))
-    with_id = (
-        docs.join(first, long_id(F.col(doc_id)) == F.col("_kept"), "left_semi")
-        .withColumn("_place", F.row_number().over(order)).where(F.col("_place") == 1).drop("_place")
+    small_batches(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, "first-of-group")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = scratch.keep(docs.select(F.monotonically_increasing_id().alias("number"), whole), "rows")
+    marked = jaccard_components(rows.select("number", F.col("row").getField(text).alias("text")), "number", "text")
+    ids = rows.select("number", long_id(F.col("row").getField(doc_id)).alias("id"))
+    first = (
+        marked.withColumnRenamed("doc_id", "number").join(ids, "number")
+        .groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("number"))).alias("first"))
+        .select("first.number")
     )
-    return with_id.unionByName(docs.where(F.col(doc_id).isNull()))
+    return rows.join(first, "number", "left_semi").select("row.*")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from finmart.llm.shingles import window_hashes
-from finmart.llm.tables import Scratch, long_id
+from finmart.llm.tables import Scratch, long_id, small_batches
 
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -208,11 +208,12 @@ def _judged(measured: DataFrame, chosen: list[tuple]) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
     """Rows of ``docs`` that the base rules and the certified cutoffs keep, with all their columns.
 
-    The counts are taken twice, once for the cutoffs and once here: that reads texts again but
-    moves none of them.
+    Rows are stored next to their counts, so each text is measured once and none is shuffled.
+    NULL and wordless texts fail the base rules, a NULL stratum is a stratum, NULL ids match no
+    label, repeated rows are judged alike. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(whole, long_id(F.col(doc_id)).alias("doc_id"), F.col(stratum).cast("string").alias("stratum"), F.col(text).alias("text"))
-    measured = Scratch(docs.sparkSession, "quality").keep(_measured(rows.drop("_row"), "text").drop("text"), "measured")
-    judged = _judged(_measured(rows, "text"), choose_cutoffs(measured, labels))
-    return judged.where("kept").select("_row.*")
+    measured = Scratch(docs.sparkSession, "quality").keep(_measured(rows, "text").drop("text"), "measured")
+    return _judged(measured, choose_cutoffs(measured, labels)).where("kept").select("_row.*")

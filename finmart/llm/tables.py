@@ -40,11 +40,18 @@ class Scratch:
         _remove(self.spark, f"{self.root}/{name}")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows handed to Python at once: texts are long, and the default of 10,000 fills a worker."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, rows)
+#: Bytes of rows handed to Python at once.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the rows handed to Python at once by bytes, unless the session already does.
+
+    Texts are long: the default of 10,000 rows, whatever their size, fills a worker.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(name, None) or -1) <= BATCH_BYTES:
+        spark.conf.set(name, BATCH_BYTES)
 
 
 def long_id(column: Column) -> Column:

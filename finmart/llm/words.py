@@ -19,7 +19,7 @@ _LENGTH = np.uint64(0xD6E8FEB86659FD93)
 #: 2 MB, whatever the size of the data.
 BITMAP_BITS = 24
 #: Bytes of text laid end to end before numpy works on them; one longer text is a buffer of its own.
-BUFFER_BYTES = 2 << 20
+BUFFER_BYTES = 1 << 20
 
 
 def powers(n: int) -> np.ndarray:

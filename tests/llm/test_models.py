@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from finmart.llm import license_templates, masked_lm
+from finmart.llm import license_templates, masked_lm, toxicity
 from finmart.llm.language_id import ByteTagger, Layer, cut, language_predictions
 from finmart.llm.license_scan import LicenceScanner, Template, bigrams, licence_matches, licence_report, make_templates, normal_words
 from finmart.llm.license_templates import TEMPLATES
@@ -28,7 +28,7 @@ def test_factorization_machine_learns_a_pair():
 
 def test_pair_term_equals_the_double_sum():
     machine, random = FactorizationMachine(), np.random.default_rng(1)
-    machine.w[:9], machine.v[:9], machine.bias = random.normal(size=9), random.normal(size=(9, 4)), 0.3
+    machine.w[:9], machine.v[:9], machine.bias = random.normal(size=9), random.normal(size=(9, machine.v.shape[1])), 0.3
     pairs = sum(float(machine.v[i] @ machine.v[j]) for i in range(9) for j in range(i))
     z, _ = machine.raw_scores(np.arange(9), np.zeros(1, dtype=np.int64))
     assert z[0] == pytest.approx(0.3 + machine.w[:9].sum() + pairs, rel=1e-4)
@@ -226,3 +226,33 @@ def test_siblings_keep_their_own_names():
     # a whole text without the terms of the nearest one known
     other = license_templates.BODIES["CC-BY-SA-4.0"].replace("ShareAlike", "")
     assert all(m[3] < 60 for m in scanner.scan(other.encode()))
+
+
+def test_terms_that_are_neutral_alone_tell_as_a_pair():
+    """An insult and a group, each as frequent in clean texts, make a text toxic only together."""
+    random = np.random.default_rng(1)
+
+    def sample(n):
+        documents, toxic = [], np.zeros(n, dtype=np.float32)
+        for k in range(n):
+            terms = {0, *(100 + random.zipf(1.3, int(random.integers(20, 150))) % 5000).tolist()}
+            kind, other = random.random(), random.random()
+            toxic[k] = kind < 0.1
+            if kind < 0.08:
+                terms.add(int(20 + random.integers(0, 20)))
+            elif kind < 0.1:
+                terms |= {10, 11}
+            else:
+                terms |= {11} if other < 0.2 else {10} if other < 0.4 else set()
+            documents.append(np.array(sorted(terms), dtype=np.int64))
+        return documents, toxic
+
+    documents, toxic = sample(4000)
+    machine = toxicity.FactorizationMachine()
+    machine.fit(documents, toxic)
+    assert machine.w[10] == machine.w[11] == 0
+    alone = [machine.probability(np.array([0, *terms])) for terms in ((), (10,), (11,))]
+    assert max(alone) < 0.1 and machine.probability(np.array([0, 10, 11])) > 0.8
+    documents, toxic = sample(1000)
+    found = np.array([machine.probability(d) for d in documents]) >= toxicity.CUTOFF
+    assert found[toxic > 0].mean() > 0.9 and found[toxic == 0].mean() < 0.01

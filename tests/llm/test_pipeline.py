@@ -10,7 +10,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -32,11 +32,23 @@ def test_run_decodes_to_kept_texts(spark):
     assert max(sum(1 for r in rows if r.doc_id == d) for d in {r.doc_id for r in rows}) <= 2
 
 
+def test_stages_on_odd_documents(spark, odd_documents, no_documents, some_labels, tmp_path):
+    some_labels.write.parquet(f"{tmp_path}/labels.parquet")
+    clashing = odd_documents.withColumn("number", odd_documents.doc_id).withColumn("_place", odd_documents.doc_id)
+    for docs in (clashing, no_documents):
+        columns, expected = docs.columns, docs.count() > 0
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, str(tmp_path))
+            assert docs.columns == columns
+        found = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+        assert all(r.ids_sha256 for r in found) and (expected or not found)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     frame = QUERIES[name](spark, SMALL)
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     cursor = connection.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
