@@ -121,8 +121,9 @@ def _pairs_of(documents: list[np.ndarray], terms: int) -> Iterator[np.ndarray]:
 def telling_pairs(documents: list[np.ndarray], labels: np.ndarray, expected: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of slots in more toxic documents than ``expected`` has it, and how much more (log ratio).
 
-    Evidence are toxic documents with less than even odds so far. The excess of toxic documents
-    over the sum of ``expected``, over all documents with the pair, has to pass 2 ln(pairs).
+    Evidence are toxic documents with less than even odds so far. Over all documents with the
+    pair, toxic ones are compared with the sum of ``expected``, raised by what either term exceeds
+    it alone; twice the log-likelihood ratio has to pass 2 ln(pairs).
     """
     nothing = np.empty((0, 2), dtype=np.int64), np.empty(0)
     missed = [d[d > 0] for d, y, p in zip(documents, labels, expected) if y and p < 0.5]
@@ -144,13 +145,17 @@ def telling_pairs(documents: list[np.ndarray], labels: np.ndarray, expected: np.
     inside = [np.flatnonzero(np.isin(slots, d, assume_unique=True)) for d in documents]
     has = np.zeros((t, -(-len(documents) // 8)), dtype=np.uint8)
     at = np.repeat(np.arange(len(documents)), [len(d) for d in inside])
-    np.bitwise_or.at(has, (np.concatenate(inside), at >> 3), (128 >> (at & 7)).astype(np.uint8))
+    flat = np.concatenate(inside)
+    np.bitwise_or.at(has, (flat, at >> 3), (128 >> (at & 7)).astype(np.uint8))
+    alone = np.bincount(flat, weights=labels[at], minlength=t) / np.maximum(np.bincount(flat, weights=expected[at], minlength=t), 1e-3)
+    alone = np.maximum(alone, 1.0)
     sums = np.stack([labels.astype(np.float32), expected.astype(np.float32)], axis=1)
     found, excess = [], []
     for begin in range(0, len(codes), PAIR_BLOCK):
         block = codes[begin:begin + PAIR_BLOCK]
         both = np.unpackbits(has[block // t] & has[block % t], axis=1, count=len(documents))
         toxic, foreseen = np.maximum(both.astype(np.float32) @ sums, 1e-3).T
+        foreseen = foreseen * np.maximum(alone[block // t], alone[block % t])
         ratio = 2 * (toxic * np.log(toxic / foreseen) - (toxic - foreseen))
         good = (toxic > foreseen) & (ratio > 2 * np.log(len(codes) + 1))
         found.append(block[good])
