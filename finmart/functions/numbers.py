@@ -14,6 +14,8 @@ DECIMAL_LITERAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
 # Currency codes and symbols around quoted money.
 MONEY_CODES = ("USD", "EUR", "ARS", "BRL", "CLP", "COP", "MXN", "PEN", "UYU")
 MONEY_SYMBOLS = "$€£"
+#: 20 digits before the point and 18 after it: the widest type of Spark.
+FIXED_POINT = "decimal(38,18)"
 # One anchored shape per spelling: sign, whole part (plain or with dots between thousands), fraction.
 MONEY = (rf"^\s*[{MONEY_SYMBOLS}]?\s*(-?)[{MONEY_SYMBOLS}]?"
          rf"(?:([0-9]{{1,3}}(?:\.[0-9]{{3}})+),([0-9]+)|([0-9]+)(?:[.,]([0-9]*))?)"
@@ -82,29 +84,16 @@ def differs(left: Column, right: Column, tolerance: float) -> Column:
 def exact_sum(value: Column, over: WindowSpec | None = None) -> Column:
     """Sum of doubles that does not depend on partitioning or order.
 
-    Every value below 2**53 is cut into four whole numbers of at most 27 bits (its units above
-    and below 2**26, and 2 times 26 binary places), whose integer sums are exact for up to
-    2**36 rows; they meet at the end, and the total is stated in the 15 digits a double carries.
-    Larger values, NaN and infinities are added as plain doubles.
+    Every value becomes a fixed-point number of 18 places, and one decimal accumulator adds them
+    without rounding; the total is stated in the 15 digits a double carries. A value that is no
+    number, or of 10**20 and more, stops the query instead of making the total depend on the order.
     """
     v = value.cast("double")
-    fits = F.abs(v) < float(1 << 53)
-    step = float(1 << 26)
-    units = F.floor(v)
-    high = F.floor(units / step)
-    places = (v - units) * step
-    upper = F.floor(places)
-
-    def added(part: Column) -> Column:
-        return F.sum(part) if over is None else F.sum(part).over(over)
-
-    def total(limb: Column) -> Column:
-        return added(F.when(fits, limb).cast("long")).cast("double")
-
-    exact = (total(high) * step + total(units - high * step)) + (
-        total(upper) / step + total(F.rint((places - upper) * step)) / (step * step))
-    rest = added(F.when(~fits, v))
-    return F.format_string("%.14e", F.coalesce(exact + rest, exact, rest)).try_cast("double")
+    held = F.when(v.isNull() | (F.abs(v) < 1e20), v.cast(FIXED_POINT)).otherwise(
+        F.raise_error(F.lit("a sum met a value that is no number or too large")).cast(FIXED_POINT))
+    fixed = F.sum(held)
+    total = fixed if over is None else fixed.over(over)
+    return F.format_string("%.14e", total.cast("double")).try_cast("double")
 
 
 def exact_avg(value: Column) -> Column:

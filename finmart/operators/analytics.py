@@ -8,9 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from finmart.functions.numbers import ratio
+from finmart.session import cut_lineage
 
-#: Letters of a name that split rows of equal value.
-PREFIX = 12
+#: Accuracy of the sketch that brackets quantiles: ranks are within 1 / SKETCH of the rows.
+SKETCH = 10_000
+#: Offsets of ranges and groups that are broadcast; more of them are joined by a shuffle.
+BROADCAST_ENTRIES = 100_000
 
 
 def count_where(condition: Column) -> Column:
@@ -40,40 +43,33 @@ def growth_percent(value: Column, order: str) -> Column:
     return F.round(ratio(value - previous, previous) * 100, 2)
 
 
-def _coarse(value: Column) -> Column:
-    """A whole number that never decreases with ``value``; finitely many for all doubles."""
-    return F.signum(value) * F.floor(64 * F.log2(1 + F.abs(value.cast("double"))))
-
-
-def _fine(value: Column) -> Column:
-    """The same with 65,536 steps inside one coarse step."""
-    return F.signum(value) * F.floor((64 << 16) * F.log2(1 + F.abs(value.cast("double"))))
-
-
 def ordinal(df: DataFrame, within: str, value: str, name: str, rank: str,
             nulls_last: bool = False) -> DataFrame:
     """Row number inside ``within`` by ``value`` from high to low, then by ``name``; NULL values first or last.
 
-    Rows are counted by coarse steps of the value, by values of one step and by first letters
-    among equal values. A rank is the number of rows in the slices before, plus the place inside
-    the last slice, so no window ever holds a whole group.
+    The rows are stored, split into ranges of (group, value, name) by sampled bounds and numbered
+    inside each range. Rows of a group in earlier ranges are counted once per range and added up,
+    so a rank is that offset plus the place in the range. Equal values are split by name: neither a
+    tie nor a group that holds most rows is ever gathered. ``name`` should be unique in a group.
     """
-    high_first = F.desc_nulls_last if nulls_last else F.desc_nulls_first
-    directions = {"_step": high_first, "_value": high_first, "_head": F.asc_nulls_first}
-    rows = df.withColumns({
-        "_within": F.col(within), "_step": _coarse(F.col(value)), "_value": F.col(value),
-        "_head": F.substring(name, 1, PREFIX), "_before": F.lit(0).cast("long")})
-    path = ["_within"]
-    for level in directions:
-        before = Window.partitionBy(*path).orderBy(directions[level](level)).rowsBetween(Window.unboundedPreceding, -1)
-        sizes = rows.groupBy(*path, level).agg(F.count("*").alias("_n")).select(
-            *[F.col(c).alias(f"{c}_") for c in (*path, level)], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
-        path.append(level)
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in path])
-        rows = rows.join(sizes, same).withColumn("_before", F.col("_before") + F.col("_ahead")).drop(
-            "_ahead", *[f"{c}_" for c in path])
-    place = F.row_number().over(Window.partitionBy(*path).orderBy(F.col(name).asc()))
-    return rows.withColumn(rank, F.col("_before") + place).drop("_before", *path)
+    value_order = (F.desc_nulls_last if nulls_last else F.desc_nulls_first)(value)
+    order = [value_order, F.asc_nulls_first(name)]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut_lineage(
+        cut_lineage(df).repartitionByRange(ranges, F.asc_nulls_first(within), *order)
+        .withColumn("_range", F.spark_partition_id())
+        .withColumn("_place", F.row_number().over(Window.partitionBy("_range", within).orderBy(*order)))
+    )
+    # one entry per range and group met in it: fewer than ranges and groups together
+    counts = cut_lineage(placed.groupBy("_range", within).agg(F.count("*").alias("_n")))
+    before = Window.partitionBy(within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_range").alias("_r"), F.col(within).alias("_w"),
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    if counts.count() <= BROADCAST_ENTRIES:
+        offsets = F.broadcast(offsets)
+    same = (F.col("_range") == F.col("_r")) & F.col(within).eqNullSafe(F.col("_w"))
+    return placed.join(offsets, same).withColumn(rank, F.col("_ahead") + F.col("_place")).drop(
+        "_range", "_place", "_r", "_w", "_ahead")
 
 
 def to_usd(df: DataFrame, fx_rates: DataFrame, currency: str, rate: str = "rate_to_usd",
@@ -89,45 +85,64 @@ def to_usd(df: DataFrame, fx_rates: DataFrame, currency: str, rate: str = "rate_
     return df.join(quotes, F.col(currency) == F.col("_ccy"), "left").drop("_ccy")
 
 
-def exact_quantiles(df: DataFrame, group: str, column: str, fractions: tuple[float, ...]) -> DataFrame:
-    """``(group, fraction, quantile)``: interpolated quantiles of a numeric column in every group.
+def _sketched(column: str, fractions: tuple[float, ...]) -> list[Column]:
+    """Aggregates of the first scan: ``total``, and bounds around every quantile from a mergeable sketch.
 
-    Distinct values are counted; the ranks on both sides of each quantile are then looked for
-    in coarse steps of the values, in the fine steps of a coarse step, and among the values of
-    a fine step. Every running sum covers a bounded number of steps, or the values of one
-    narrow step. Nothing runs before the table is used. ``group`` must not be NULL.
+    The sketch misses a rank by at most ``1 / SKETCH`` of the rows, so bounds three times as far
+    apart hold the quantile; up to ``SKETCH`` rows the bounds are the extremes.
     """
-    v = F.col("v")
-    counted = (
-        df.where(F.col(column).isNotNull()).groupBy(group, F.col(column).cast("double").alias("v"))
-        .agg(F.count("*").alias("n")).withColumns({"coarse": _coarse(v), "fine": _fine(v)})
-    )
+    v = F.col(column).cast("double")
+
+    def bounds(shift: float, extreme: Column) -> Column:
+        shares = [min(max(q + shift, 0.0), 1.0) for q in fractions]
+        near = F.percentile_approx(v, shares, SKETCH)
+        return F.when(F.count(v) > SKETCH, near).otherwise(F.array(*[extreme] * len(fractions)))
 
-    def placed(slices: DataFrame, *keys: str) -> DataFrame:
-        """Adds the rows before each slice, by the last of ``keys`` inside the others, to ``ahead``."""
-        upto = Window.partitionBy(group, *keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
-        return slices.withColumn("ahead", F.col("ahead") + F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    return [F.count(v).alias("total"), bounds(-3 / SKETCH, F.min(v)).alias("lows"), bounds(3 / SKETCH, F.max(v)).alias("highs")]
 
-    def holding(slices: DataFrame) -> DataFrame:
-        """Slices with the ranks they hold."""
-        inside = (F.col("ahead") <= F.col("rank")) & (F.col("rank") < F.col("ahead") + F.col("n"))
-        return slices.join(ranks, group).where(inside)
 
-    steps = counted.groupBy(group, "coarse").agg(F.sum("n").alias("n")).withColumn("ahead", F.lit(0).cast("long"))
-    wanted = steps.groupBy(group).agg(F.sum("n").alias("total")).select(group, F.explode(F.array(*[
-        F.struct(F.lit(q).alias("fraction"), (F.lit(q) * (F.col("total") - 1)).alias("position")) for q in fractions
-    ])).alias("at")).select(group, "at.*")
-    ranks = wanted.withColumn("rank", F.explode(F.array(F.floor("position"), F.ceil("position"))))
+def _refined(bracketed: DataFrame, column: str, keys: list[str], fractions: tuple[float, ...]) -> DataFrame:
+    """``(keys, quantiles)``: the second scan counts values inside the bounds, and other rows by their gap."""
+    v, number = F.col(column).cast("double"), range(len(fractions))
+    inside = reduce(lambda a, b: a | b, [v.between(F.col("lows")[i], F.col("highs")[i]) for i in number])
+    gap = reduce(lambda a, b: F.when(b.isNull() | (a > b), a).otherwise(b), [
+        F.when(F.col("highs")[i] < v, F.col("highs")[i]) for i in number])
+    slot = F.when(inside, v).otherwise(F.coalesce(gap, F.lit(float("-inf"))))
+    counted = bracketed.where(v.isNotNull()).groupBy(*keys, slot.alias("slot")).agg(
+        F.count("*").alias("n"), F.first("total").alias("total"))
+    upto = Window.partitionBy(*keys).orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = counted.withColumn("upto", F.sum("n").over(upto))
 
-    step = holding(placed(steps, "coarse")).select(group, "coarse", "ahead").distinct()
-    narrow = counted.groupBy(group, "coarse", "fine").agg(F.sum("n").alias("n")).join(step, [group, "coarse"])
-    slot = holding(placed(narrow, "coarse", "fine")).select(group, "fine", "ahead").distinct()
-    values = holding(placed(counted.select(group, "fine", "v", "n").join(slot, [group, "fine"]), "fine", "v"))
-    low, high, position = F.min("v"), F.max("v"), F.first("position")
-    return values.groupBy(group, "fraction").agg((low + (high - low) * (position - F.floor(position))).alias("quantile"))
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto")), F.col("slot")))
+
+    found = []
+    for q in fractions:
+        position = F.lit(q) * (F.col("total") - 1)
+        found += [at(F.floor(position)), at(F.ceil(position)), F.max(position - F.floor(position))]
+    low, high, part = (found[i::3] for i in range(3))
+    return running.groupBy(*keys).agg(F.array(*[
+        a + (b - a) * c for a, b, c in zip(low, high, part)]).alias("quantiles"))
+
+
+def exact_quantiles(df: DataFrame, group: str, column: str, fractions: tuple[float, ...]) -> DataFrame:
+    """``(group, fraction, quantile)``: interpolated quantiles of a numeric column in every group.
+
+    Two scans: a sketch brackets each quantile, then values inside the brackets are counted and
+    ordered; all rows between two brackets are one count. ``group`` must not be NULL.
+    """
+    bounds = df.groupBy(group).agg(*_sketched(column, fractions))
+    found = _refined(df.select(group, column).join(bounds, group), column, [group], fractions)
+    return found.select(group, F.explode(F.arrays_zip(
+        F.array(*map(F.lit, fractions)).alias("fraction"), F.col("quantiles").alias("quantile"))).alias("at")).select(
+        group, F.col("at.fraction").alias("fraction"), F.col("at.quantile").alias("quantile"))
 
 
 def exact_median(df: DataFrame, column: str) -> DataFrame:
-    """The median of a numeric column as a one-row table ``median``, NULL without values."""
-    found = exact_quantiles(df.select(F.lit(1).alias("all"), column), "all", column, (0.5,))
-    return found.agg(F.max("quantile").alias("median"))
+    """The median of a numeric column as a one-row table ``median``, NULL without values.
+
+    Two scans as in :func:`exact_quantiles`; the bounds reach the second one as a scalar subquery.
+    """
+    bounds = df.agg(F.struct(*_sketched(column, (0.5,))).alias("bounds")).scalar()
+    found = _refined(df.select(column, bounds.alias("_bounds")).select(column, "_bounds.*"), column, [], (0.5,))
+    return found.agg(F.max(F.col("quantiles")[0]).alias("median"))

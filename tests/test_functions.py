@@ -105,7 +105,7 @@ def test_ratio_billing_months_and_rounding(spark):
     assert tuple(row) == (None, 3, 3, 9, 3.0, -3.0)
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 16])
+@pytest.mark.parametrize("partitions", [1, 16, 211])
 def test_exact_sum_ignores_partitioning(spark, partitions):
     df = spark.range(1, 10_001).select((F.col("id") / 100).alias("v")).repartition(partitions)
     assert df.agg(numbers.exact_sum(F.col("v"))).first()[0] == 500050.0
@@ -119,8 +119,20 @@ def test_exact_sum_ignores_partitioning(spark, partitions):
 def test_exact_sum_rounds_no_row(spark):
     df = spark.range(10).select(F.lit(0.00004).alias("v"))
     assert df.agg(numbers.exact_sum(F.col("v"))).first()[0] == pytest.approx(0.0004, rel=1e-9)
-    odd = spark.createDataFrame([(1e300,), (-1e300,), (2.5,)], "v double")
-    assert odd.agg(numbers.exact_sum(F.col("v"))).first()[0] == 2.5
+
+
+@pytest.mark.parametrize("bad", [1e300, float("nan"), float("-inf")])
+def test_exact_sum_refuses_what_it_cannot_hold(spark, bad):
+    df = spark.createDataFrame([(bad,), (2.5,)], "v double")
+    with pytest.raises(Exception, match="no number or too large"):
+        df.agg(numbers.exact_sum(F.col("v"))).collect()
+
+
+def test_exact_sum_has_one_accumulator_and_no_switch(spark):
+    df = spark.createDataFrame([(2.0 ** 53,), (2.0 ** 54 + 4,), (-2.0 ** 54,), (0.25,)], "v double")
+    total = df.agg(numbers.exact_sum(F.col("v")))
+    assert total.first()[0] == float(f"{2.0 ** 53 + 4.25:.14e}")
+    assert total._jdf.queryExecution().executedPlan().toString().count("partial_sum") == 1
 
 
 def test_java_literals_are_no_numbers(evaluate):

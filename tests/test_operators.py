@@ -87,6 +87,41 @@ def test_ordinal_matches_brute_force(spark, nulls_last):
     assert got == want
 
 
+def test_ordinal_with_ties_in_a_third_of_the_rows_scans_once(spark, tmp_path):
+    spark.range(9000).selectExpr("id", "'all' AS g", "IF(id % 3 = 0, 5.0D, CAST(id * 7919 % 1013 AS DOUBLE)) AS v").repartition(7).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    ranked = ordinal(df, "g", "v", "id", "rank")
+    rows = [(r.v, r.id, r["rank"]) for r in ranked.collect()]
+    assert [r[2] for r in sorted(rows, key=lambda r: (-r[0], r[1]))] == list(range(1, 9001))
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert "parquet" not in plan and final.count("Exchange hashpartitioning") == 1
+
+
+def test_quantiles_of_groups_match_brute_force(spark, monkeypatch):
+    import numpy as np
+
+    from finmart.operators import analytics
+
+    monkeypatch.setattr(analytics, "SKETCH", 50)  # groups on both sides of it
+    random = np.random.default_rng(4)
+    groups = {"one": [3.5], "few": [1.0, 2.0, 7.0], "ties": [1.0] * 400 + [2.0] * 200 + list(map(float, range(300))),
+              "many": random.normal(size=3000).tolist(), "odd": random.integers(-9, 9, 333).astype(float).tolist()}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in [*vs, None]] + [("none", None)], "g string, v double").repartition(5)
+    fractions = (0.0, 0.25, 0.5, 0.75, 0.99, 1.0)
+    found = {(r.g, r.fraction): r.quantile for r in analytics.exact_quantiles(df, "g", "v", fractions).collect()}
+    assert found == {(g, q): pytest.approx(float(np.quantile(vs, q)), abs=1e-12) for g, vs in groups.items() for q in fractions}
+
+
+def test_median_takes_two_scans_and_no_nested_loop(spark, tmp_path):
+    spark.range(50_000).selectExpr("CAST(hash(id) AS DOUBLE) AS v", "id AS other").write.parquet(str(tmp_path / "t"))
+    middle = exact_median(spark.read.parquet(str(tmp_path / "t")), "v")
+    values = sorted(r.v for r in spark.read.parquet(str(tmp_path / "t")).collect())
+    assert middle.first()[0] == (values[24_999] + values[25_000]) / 2
+    plan = middle._jdf.queryExecution().explainString(middle._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "other" not in plan
+
+
 @pytest.mark.parametrize("values", [
     [float(i * i % 9973) - 4000 for i in range(5000)], [1.0] * 3000 + [2.0] * 10 + [float(i) for i in range(2000)],
     [1 + i * 1e-12 for i in range(101)], [4.0], [1.0, 2.0], [-3.0, 0.0, -0.0, 7.5]])

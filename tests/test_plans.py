@@ -131,6 +131,6 @@ def test_building_a_plan_runs_no_job(spark, bank):
     facts, loans = bank.table("fct_transactions"), bank.table("fct_loans")
     tracker = spark.sparkContext.statusTracker()
     before = set(tracker.getJobIdsForGroup(None))
-    gold.mart_top_merchants(facts)
+    gold.mart_tx_by_channel(facts)
     exact_median(loans, "outstanding_balance")
     assert set(tracker.getJobIdsForGroup(None)) == before
