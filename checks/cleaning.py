@@ -6,6 +6,9 @@ runs over the whole column.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from checks.oracle_tables import (
@@ -145,11 +148,38 @@ register(
 
 
 def _through_view(w: Warehouse) -> DataFrame:
-    store.register_view(w.table("stg_loans"), "finmart_stg_loans")
-    return w.spark.sql("SELECT loan_type, status, count(*) AS n FROM finmart_stg_loans GROUP BY ALL")
+    view = f"stg_loans_{uuid.uuid4().hex}"  # of its own: queries of one session keep apart
+    store.register_view(w.table("stg_loans"), view)
+    return w.spark.sql(f"SELECT loan_type, status, count(*) AS n FROM {view} GROUP BY ALL")
 
 
 register("src8_view_and_table", _through_view, tally_sql("stg_loans", "loan_type", "status"))
+
+
+def _layer_tables(w: Warehouse) -> DataFrame:
+    """A table per layer in databases of their own; the fact by month, its last month refreshed alone."""
+    spark, prefix = w.spark, f"finmart_{uuid.uuid4().hex[:8]}_"
+    store.create_namespaces(spark, prefix, w.scratch("layers"))
+    facts = w.table("fct_transactions").withColumn("month", F.date_format("transaction_date", "yyyy-MM"))
+    store.save_table(w.table("bronze").select("id", "load_id"), f"{prefix}bronze", "raw_documents", ("load_id",))
+    store.save_table(w.table("stg_loans"), f"{prefix}silver_raw", "stg_loans")
+    store.save_table(facts, f"{prefix}silver", "fct_transactions", ("month",))
+    store.save_table(w.table("mart_tx_by_channel"), f"{prefix}gold", "mart_tx_by_channel")
+    last = facts.agg(F.max("month")).first()[0]
+    store.save_table(facts.where(col("month") == last), f"{prefix}silver", "fct_transactions", ("month",))
+    listed = [store.catalog_inventory(spark, f"{prefix}{layer}").withColumn("layer", F.lit(layer)) for layer in store.LAYERS]
+    by_month = spark.table(f"{prefix}silver.fct_transactions").where(col("month") >= "1998").agg(
+        F.lit("fct_transactions since 1998").alias("table_name"), F.count("*").alias("row_count"), F.lit("silver").alias("layer"))
+    return reduce(DataFrame.unionByName, [*listed, by_month])
+
+
+register("src9_layer_tables", _layer_tables, """
+    SELECT 'bronze' AS layer, 'raw_documents' AS table_name, count(*) AS row_count FROM docs
+    UNION ALL SELECT 'silver_raw', 'stg_loans', count(*) FROM stg_loans
+    UNION ALL SELECT 'silver', 'fct_transactions', count(*) FROM fct_transactions
+    UNION ALL SELECT 'gold', 'mart_tx_by_channel', count(*) FROM mart_tx_by_channel
+    UNION ALL SELECT 'silver', 'fct_transactions since 1998', count(*) FROM fct_transactions
+      WHERE transaction_date >= DATE '1998-01-01'""")
 register(
     "src10_latest_batch",
     lambda w: bronze.latest_batch(w.table("bronze")).select(

@@ -143,11 +143,9 @@ register("jn10_orphans",
 
 
 def _correlated(w: Warehouse) -> DataFrame:
-    w.table("fct_loans").createOrReplaceTempView("finmart_fct_loans")
-    w.table("fx_rates").createOrReplaceTempView("finmart_fx_rates")
     return w.spark.sql("""
-        SELECT loan_id, principal * CAST((SELECT max(rate_to_usd) FROM finmart_fx_rates f WHERE f.currency = l.currency)
-                 AS DOUBLE) AS principal_usd FROM finmart_fct_loans l""")
+        SELECT loan_id, principal * CAST((SELECT max(rate_to_usd) FROM {rates} f WHERE f.currency = l.currency)
+                 AS DOUBLE) AS principal_usd FROM {loans} l""", loans=w.table("fct_loans"), rates=w.table("fx_rates"))
 
 
 register("jn11_correlated_scalar", _correlated,

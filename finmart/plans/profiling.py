@@ -19,17 +19,17 @@ def _stacked(df: DataFrame, columns: dict[str, Column], value: str = "value") ->
 
 
 def null_audit(df: DataFrame, columns: list[str]) -> DataFrame:
-    """NULLs, hidden null tokens and their percentage per text column."""
-    stacked = _stacked(df, {c: col(c).cast("string") for c in columns})
-    hidden = col("value").isNotNull() & text.null_token_to_null(col("value")).isNull()
-    counted = stacked.groupBy("column_name").agg(
-        F.count("*").alias("row_count"),
-        count_where(col("value").isNull()).alias("nulls"),
-        count_where(hidden).alias("null_tokens"),
-    )
-    return counted.withColumn(
-        "pct", F.round((col("nulls") + col("null_tokens")) * 100.0 / col("row_count"), 2)
-    )
+    """NULLs, hidden null tokens and their percentage per text column, from one wide aggregate."""
+    def counted(name: str) -> Column:
+        value = col(name).cast("string")
+        nulls = count_where(value.isNull())
+        tokens = count_where(value.isNotNull() & text.null_token_to_null(value).isNull())
+        return F.struct(
+            F.lit(name).alias("column_name"), F.count("*").alias("row_count"), nulls.alias("nulls"),
+            tokens.alias("null_tokens"),
+            F.round(F.try_divide((nulls + tokens) * 100.0, F.count("*")), 2).alias("pct"))
+
+    return df.agg(F.array(*map(counted, columns)).alias("audited")).select(F.inline("audited"))
 
 
 def date_format_census(df: DataFrame, columns: list[str]) -> DataFrame:

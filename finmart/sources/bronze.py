@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import random
+import uuid
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from finmart import schemas
@@ -64,6 +65,35 @@ def stamp_batch(
     )
 
 
+#: A batch owns 2**48 ids: 2**33 for each of at most 2**15 tasks that write it.
+BATCH_BITS, TASK_BITS = 48, 15
+CLAIMS = "_claims"
+
+
+def claim_batch(spark: SparkSession, path: str) -> int:
+    """Number of a new batch, claimed by a file in the table's folder.
+
+    A writer leaves a file of its own under the number and looks again: the number is its own only
+    if no other file claims it. Of two writers the later one always sees the earlier one, so a
+    number never has two owners; one that nobody owns, or whose batch was never written, is a gap.
+    No data file is read.
+    """
+    jvm = spark._jvm.org.apache.hadoop.fs
+    folder = jvm.Path(path, CLAIMS)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+
+    def claimed() -> list[int]:
+        return [int(f.getPath().getName().split("-")[0]) for f in files.listStatus(folder)]
+
+    number = max(claimed(), default=0) + 1
+    while True:
+        files.create(jvm.Path(folder, f"{number}-{uuid.uuid4().hex}")).close()
+        if claimed().count(number) == 1:
+            return number
+        number = max(claimed()) + random.randint(1, 4)
+
+
 def append_bronze(
     documents: DataFrame,
     path: str,
@@ -73,20 +103,19 @@ def append_bronze(
 ) -> None:
     """Append one stamped batch to the bronze table at ``path``.
 
-    New ids continue after the largest stored one, so later batches sort after earlier ones.
+    Ids start at the batch's claimed number times ``2**48``, so later batches sort after earlier
+    ones without reading them.
     """
     spark = documents.sparkSession
     first_id = 1
     if "id" not in documents.columns:
-        try:
-            stored = read_bronze(spark, path).agg(F.max("id")).first()[0]
-            first_id = (stored or 0) + 1
-        except AnalysisException as error:  # the first batch finds no table yet
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        first_id = claim_batch(spark, path) << BATCH_BITS
+        documents = documents.coalesce(1 << TASK_BITS)  # fewer tasks stay as they are
     moment = load_timestamp or spark.range(1).select(F.current_timestamp()).first()[0]
     batch = stamp_batch(documents, load_id, source_file, moment, first_id)
-    batch.write.mode("append").partitionBy("load_id").parquet(path)
+    # each load commits in its own folder, so appends at the same time do not meet
+    folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(load_id)
+    batch.drop("load_id").write.mode("append").parquet(f"{path}/load_id={folder}")
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

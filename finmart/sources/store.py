@@ -24,41 +24,57 @@ class TableStore:
     def save(self, df: DataFrame, layer: str, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write ``df`` as a full refresh and return the stored table.
 
-        The new files are written aside and take the place of the old ones when complete, so a
-        failed build leaves the stored table as it was.
+        The new files are written aside. When they are complete, the old ones are moved away, the
+        new ones take their place, and the old ones are deleted last: a failed build or switch
+        leaves the stored table as it was.
         """
         target = self.path(layer, name)
         aside = f"{target}.{uuid.uuid4().hex}"
         df.write.partitionBy(*partition_by).parquet(aside)
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         files = path(target).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        files.delete(path(target), True)
+        old = f"{aside}.old"
+        replaces = files.exists(path(target))
+        if replaces and not files.rename(path(target), path(old)):
+            raise OSError(f"{target} could not be moved away")
         if not files.rename(path(aside), path(target)):
+            if replaces:
+                files.rename(path(old), path(target))
             raise OSError(f"{aside} could not be moved to {target}")
+        files.delete(path(old), True)
         return self.spark.read.schema(df.schema).parquet(self.path(layer, name)).select(*df.columns)
 
     def load(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
 
 
-def create_namespaces(spark: SparkSession) -> None:
+def create_namespaces(spark: SparkSession, prefix: str = "", root: str | None = None) -> None:
+    """One database per layer, named ``prefix`` and layer, under ``root`` if that is given."""
     for layer in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        place = f" LOCATION '{root.rstrip('/')}/{layer}'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}{place}")
 
 
-def save_table(df: DataFrame, layer: str, name: str) -> None:
-    """Create or fully refresh a catalog table, keeping the table object on a refresh.
+def save_table(df: DataFrame, layer: str, name: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Create or refresh a catalog table, keeping the table object on a refresh.
 
-    A refresh fills the columns of the table by name; a missing or an unknown one is an error.
+    A refresh fills the columns of the table by name; a missing or an unknown one is an error. It
+    replaces a whole table, but of a partitioned table only the partitions that ``df`` has rows for.
     """
     target = f"{layer}.{name}"
     if df.sparkSession.catalog.tableExists(target):
         columns = df.sparkSession.table(target).columns
         if sorted(columns) != sorted(df.columns):
             raise ValueError(f"{target} has columns {columns}, the refresh {df.columns}")
-        df.select(*columns).write.insertInto(target, overwrite=True)
+        conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+        before = conf.get(mode)
+        conf.set(mode, "dynamic")  # inserts into a table take it from the session only
+        try:
+            df.select(*columns).write.insertInto(target, overwrite=True)
+        finally:
+            conf.set(mode, before)
     else:
-        df.write.saveAsTable(target, format="parquet")
+        df.write.saveAsTable(target, format="parquet", partitionBy=list(partition_by) or None)
 
 
 def register_view(df: DataFrame, name: str) -> None:

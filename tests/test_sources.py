@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 import json
 from datetime import date
 
@@ -151,6 +152,39 @@ def test_failed_save_keeps_the_stored_table(spark, tmp_path):
     assert tables.load("gold", "kept").count() == 3
 
 
+def test_switch_replaces_the_table_and_leaves_nothing_behind(spark, tmp_path):
+    tables = store.TableStore(spark, str(tmp_path))
+    for rows in (3, 4):
+        assert tables.save(spark.range(rows).toDF("v"), "gold", "kept").count() == rows
+    assert [f.name for f in (tmp_path / "gold").iterdir() if not f.name.startswith(".")] == ["kept"]
+
+
+def test_interleaved_appends_get_disjoint_ids_without_a_scan(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    with ThreadPoolExecutor(6) as pool:
+        numbers = list(pool.map(lambda _: bronze.claim_batch(spark, path), range(24)))
+    assert len(set(numbers)) == 24
+    docs = spark.range(2000).select(F.lit("{}").alias("data")).repartition(7)
+    tracker = spark.sparkContext.statusTracker()
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda k: bronze.append_bronze(docs, path, f"load-{k}", "f"), range(3)))
+    stored = bronze.read_bronze(spark, path)
+    assert stored.count() == stored.select("id").distinct().count() == 6000
+    before = set(tracker.getJobIdsForGroup(None))
+    assert bronze.claim_batch(spark, path) > max(numbers) and set(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_partitioned_table_is_refreshed_by_partition_and_pruned(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS silver")
+    rows = spark.range(90).selectExpr("id", "CONCAT('2024-0', 1 + id % 3) AS month")
+    store.save_table(rows, "silver", "facts_by_month", ("month",))
+    store.save_table(rows.where("month = '2024-02' AND id < 9"), "silver", "facts_by_month", ("month",))
+    kept = spark.table("silver.facts_by_month")
+    assert {r.month: r["count"] for r in kept.groupBy("month").count().collect()} == {"2024-01": 30, "2024-02": 3, "2024-03": 30}
+    plan = kept.where("month >= '2024-03'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+
+
 def test_private_folder_only_for_a_local_master():
     assert private_folder("local[4]") and private_folder("local")
     for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
