@@ -1,3 +1,4 @@
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 import json
 from datetime import date
@@ -81,19 +82,34 @@ def test_namespaces_tables_and_inventory(spark, bank):
         store.TableStore(spark, "/tmp/x").path("platinum", "t")
 
 
-def test_jdbc_bounds_come_from_the_data(spark, monkeypatch):
+def test_jdbc_ranges_are_balanced_and_hold_every_id_once(spark, monkeypatch):
+    """Nine tenths of the ids lie in a hundredth of the range."""
+    ids = [5 + k for k in range(9000)] + [9005 + k * 891 for k in range(1000)]
     calls = []
 
     def fake(self, url, table, **options):
         calls.append((table, options))
-        return spark.sql("select 5 as low, 250000 as high")
+        if "min(" in table:
+            return spark.sql(f"select {min(ids)}L as low, {max(ids)}L as high")
+        width = -(-(max(ids) + 1 - min(ids)) // jdbc.STEPS)
+        steps = Counter((i - min(ids)) // width for i in ids)
+        return spark.createDataFrame(sorted(steps.items()), "step long, n long")
 
     monkeypatch.setattr(type(spark.read), "jdbc", fake)
-    jdbc.read_partitioned(spark, "jdbc:x", "bronze.raw", ids_per_partition=40_000, user="u")
-    assert calls[1][0] == "bronze.raw"
-    assert (calls[1][1]["lowerBound"], calls[1][1]["upperBound"], calls[1][1]["numPartitions"]) == (5, 250001, 7)
-    assert calls[1][1]["properties"] == {"user": "u"}
-
+    jdbc.read_partitioned(spark, "jdbc:x", "bronze.raw", rows_per_partition=500, user="u")
+    predicates = calls[-1][1]["predicates"]
+    monkeypatch.undo()
+    stored = spark.createDataFrame([(i,) for i in [*ids, None, -3, 10 ** 9]], "id long")
+    hits = stored.selectExpr("id", *[f"coalesce(int({p}), 0) as p{k}" for k, p in enumerate(predicates)]).collect()
+    assert all(sum(r[1:]) == 1 for r in hits)
+    sizes = [sum(r[1 + k] for r in hits) for k in range(len(predicates))]
+    assert max(sizes) <= 600 and len(predicates) <= 2 * 10_000 // 500 + 1
+
+
+@pytest.mark.parametrize("starts, counts, expected", [([], [], ["1 = 1"]), ([7], [9], ["1 = 1"]),
+                                                      ([0, 10], [5, 5], ["(id < 10 OR id IS NULL)", "id >= 10"])])
+def test_jdbc_predicates_of_few_steps(starts, counts, expected):
+    assert jdbc.balanced_predicates("id", starts, counts, 5) == expected
 
 def test_large_customers_are_spread_over_documents(spark):
     whole = demo_bank.documents(spark, "/root/testdata/sf0.001")
