@@ -202,7 +202,7 @@ def _mixed(sized: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _repaired(parts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Moves the extra copies of single documents until a source cannot come nearer to its target."""
+    """Moves extra copies of single documents where that brings a source nearer to its target, ``REPAIRS`` times at most."""
     for step in range(1, REPAIRS + 1):
         left = parts.groupBy("source").agg(
             (F.first("target") - F.sum((F.floor("rate") * F.col("here") + F.col("extra")) * F.col("size"))).alias("_left"))
