@@ -281,9 +281,12 @@ register("win8_most_complete", _most_complete, f"""
 # --- ordering and sets -----------------------------------------------------------------
 
 register("srt1_multi_key",
-         lambda w: w.table("mart_tx_by_category").orderBy(col("completed_tx_count").desc(), "currency", "category").select(
-             "category", "currency", "completed_tx_count"),
-         "SELECT category, currency, completed_tx_count FROM mart_tx_by_category")
+         lambda w: w.table("mart_tx_by_category").select(
+             "category", "currency", "completed_tx_count",
+             F.row_number().over(Window.orderBy(
+                 col("completed_tx_count").desc(), F.asc_nulls_first("currency"), F.asc_nulls_first("category"))).alias("position")),
+         """SELECT category, currency, completed_tx_count, CAST(row_number() OVER (ORDER BY completed_tx_count DESC,
+              currency NULLS FIRST, category NULLS FIRST) AS INTEGER) AS position FROM mart_tx_by_category""")
 register("srt2_desc_nulls_last",
          lambda w: ordinal(w.table("dim_customer").select("customer_id", "lat", F.lit(1).alias("all")), "all", "lat",
                            "customer_id", "position", nulls_last=True).drop("all"),
