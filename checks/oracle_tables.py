@@ -93,10 +93,17 @@ COUNTRIES = ["CO", "UY", "AR", "MX", "CL", "PE", "BR"]
 CURRENCIES = ["COP", "UYU", "ARS", "MXN", "CLP", "PEN", "BRL"]
 BOOLS = ["true", "false", "Y", "N", "si", "1", "0", "maybe"]
 
+#: Order keys and line numbers of one document, as the derived documents have them.
+ORDER_BLOCK, LINE_BLOCK = 10_000, 1_000
+
 T: dict[str, str] = {}
 
+T["blocks"] = f"""
+SELECT o_custkey, o_orderkey // {ORDER_BLOCK} AS order_block, 0 AS line_block FROM orders
+UNION SELECT o_custkey, l_orderkey // {ORDER_BLOCK}, l_linenumber // {LINE_BLOCK} FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
 T["docs"] = f"""
-SELECT c.*, slot, k * 4 + slot AS bronze_id,
+SELECT c.*, coalesce(order_block, 0) AS order_block, coalesce(line_block, 0) AS line_block, slot, k * 4 + slot AS bronze_id,
   CASE WHEN slot = 2 THEN 'load-0002' ELSE 'load-0001' END AS load_id,
   CASE WHEN slot = 2 THEN '2001-12-15 06:00:00' ELSE '2001-11-30 06:00:00' END AS loaded,
   'CUST-' || lpad(CAST(k AS VARCHAR), CAST(greatest(7, length(CAST(k AS VARCHAR))) AS INTEGER), '0') AS customer_id,
@@ -116,7 +123,7 @@ SELECT c.*, slot, k * 4 + slot AS bronze_id,
   {spelled("DATE '2001-06-01' + CAST(k % 180 AS INTEGER)", 'k')} AS last_login_date,
   CASE WHEN k % 13 = 0 THEN 'N/A' ELSE CAST(k % 60 AS VARCHAR) END AS logins_text,
   {pick(['mobile', 'ATM', 'branch', 'Phone', 'web'], 'k')} AS preferred_text
-FROM (SELECT c_custkey AS k, c_nationkey, c_mktsegment FROM customer) c, (VALUES (0), (1), (2)) s(slot)
+FROM (SELECT c_custkey AS k, c_nationkey, c_mktsegment FROM customer) c LEFT JOIN blocks ON o_custkey = k, (VALUES (0), (1), (2)) s(slot)
 WHERE slot = 0 OR (slot = 1 AND k % 75 = 0) OR (slot = 2 AND k % 50 = 0)"""
 
 T["acct"] = f"""
@@ -131,8 +138,8 @@ SELECT customer_id, 'ACC-' || o AS account_id,
   CASE WHEN o % 4 = 1 THEN price * 2 END AS credit_limit, (o % 50) / 1e1 AS interest_rate,
   {spelled('day', 'o')} AS opened_date,
   CASE o_orderstatus WHEN 'F' THEN 'FROZEN' WHEN 'O' THEN 'activo' WHEN 'P' THEN 'Cerrado' END AS status,
-  'BR-' || (o % 500) AS branch_code, bronze_id, loaded
-FROM acct JOIN docs ON o_custkey = k"""
+  'BR-' || (o % 500) AS branch_code, bronze_id, loaded, order_block, line_block
+FROM acct JOIN docs ON o_custkey = k AND order_block = o // {ORDER_BLOCK} AND line_block = 0"""
 
 T["all_loans"] = f"""
 SELECT customer_id, 'LN-' || o AS loan_id,
@@ -146,8 +153,8 @@ SELECT customer_id, 'LN-' || o AS loan_id,
   {spelled('CAST(day + to_months(CAST(12 * (1 + o % 10) AS INTEGER)) AS DATE)', 'o // 3')} AS end_date,
   {pick(['CURRENT', 'delinquent', 'Default', 'paid_off'], 'o // 24')} AS status,
   {pick([0, 0, 0, 15, 45, 75, 120, 200], 'o // 3')} AS days_past_due,
-  {pick(['none', 'Vehicle', 'N/A', 'real_estate'], 'o')} AS collateral_type, bronze_id, loaded
-FROM acct JOIN docs ON o_custkey = k WHERE o % 3 = 0"""
+  {pick(['none', 'Vehicle', 'N/A', 'real_estate'], 'o')} AS collateral_type, bronze_id, loaded, order_block, line_block
+FROM acct JOIN docs ON o_custkey = k AND order_block = o // {ORDER_BLOCK} AND line_block = 0 WHERE o % 3 = 0"""
 
 T["all_transactions"] = f"""
 SELECT customer_id, 'TX-' || l_orderkey || '-' || l_linenumber AS transaction_id,
@@ -160,13 +167,14 @@ SELECT customer_id, 'TX-' || l_orderkey || '-' || l_linenumber AS transaction_id
   CASE WHEN l_partkey % 12 <> 0 THEN p_brand END AS merchant,
   {pick(['mobile', 'WEB', 'atm', 'branch', 'pos'], 'l_suppkey')} AS channel,
   {pick(['completed', 'PENDING', 'failed', 'Reversed'], 'l_partkey // 6 + l_linenumber')} AS status,
-  'qty ' || CAST(l_quantity AS INTEGER) AS description, bronze_id, loaded
-FROM lineitem JOIN acct ON l_orderkey = o JOIN docs ON o_custkey = k LEFT JOIN part ON l_partkey = p_partkey"""
+  'qty ' || CAST(l_quantity AS INTEGER) AS description, bronze_id, loaded, order_block, line_block
+FROM lineitem JOIN acct ON l_orderkey = o JOIN docs ON o_custkey = k AND order_block = l_orderkey // {ORDER_BLOCK}
+  AND line_block = l_linenumber // {LINE_BLOCK} LEFT JOIN part ON l_partkey = p_partkey"""
 
 
 def latest(table: str, key: str, rest: str) -> str:
     order = ", ".join(f"{c} ASC NULLS LAST" for c in rest.split())
-    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {key} "
+    return (f"SELECT * EXCLUDE (rn, order_block, line_block) FROM (SELECT *, row_number() OVER (PARTITION BY {key} "
             f"ORDER BY loaded DESC, bronze_id DESC, {order}) AS rn FROM {table}) WHERE rn = 1")
 
 

@@ -6,9 +6,10 @@ import random
 import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from finmart import schemas
+from finmart.session import cut_lineage
 
 
 class EmptyBatchError(ValueError):
@@ -18,27 +19,101 @@ class EmptyBatchError(ValueError):
 def read_json_documents(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """One row per document, kept as raw JSON text in column ``data``.
 
-    A file with one JSON array is read whole by a single task; ``lines=True`` reads
-    newline-delimited documents, which split across tasks and suit large loads.
+    ``lines=True`` reads newline-delimited documents. Otherwise every file is one JSON array of
+    objects; the tasks that read its byte ranges cut it into elements, once, and the elements are
+    checkpointed. A file that is empty or anything else than such an array is an error.
     """
     if lines:
         documents = spark.read.text(path).where(F.trim("value") != "").toDF("data")
         if documents.isEmpty():
             raise EmptyBatchError(f"no documents in {path}")
         return documents
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("value").rlike(r"^\s*\[").alias("is_list"),
-        F.from_json("value", "array<string>").alias("documents"),
-    )
-    shape = files.agg(
-        F.min(F.coalesce("is_list", F.lit(False)) & F.col("documents").isNotNull()).alias("ok"),
-        F.sum(F.size("documents")).alias("documents"),
+    pieces = cut_lineage(array_pieces(spark, path))
+    shape = pieces.agg(
+        F.bool_and("sound").alias("sound"), F.count_if(~F.col("is_element")).alias("ends"),
+        F.count_if("is_element").alias("documents"),
     ).first()
-    if not shape["ok"]:
+    if not shape["sound"] or shape["ends"] < len(spark.read.text(path).inputFiles()):
         raise EmptyBatchError(f"{path} is not a JSON array of documents")
     if not shape["documents"]:
         raise EmptyBatchError(f"no documents in {path}")
-    return files.select(F.explode("documents").alias("data"))
+    return pieces.where("is_element").select("data")
+
+
+def _bare(text: Column) -> Column:
+    """Text without escaped characters."""
+    return F.regexp_replace(text, r"\\.", "")
+
+
+def _depth_change(text: Column) -> Column:
+    """Opened minus closed brackets of a text that starts outside of a string."""
+    code = F.regexp_replace(_bare(text), '"[^"]*("|$)', "")
+    return F.length(F.translate(code, "]}", "")) - F.length(F.translate(code, "[{", ""))
+
+
+def array_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """``(data, is_element, sound)``: the elements of the array in every file, in their order, and its end.
+
+    Tasks read byte ranges of a file as records that end at a closing brace. What a record does to
+    a scanner is known without its start: it flips the side of a string or not, and changes the
+    depth by one of two numbers, for a start outside or inside of a string. The changes are added
+    up within each range and then over the ranges of a file, which gives the depth after every
+    record; an element ends where it is one again. ``sound`` tells whether a piece is what an
+    array of objects has there. No task needs more than one range and one element at a time.
+    """
+    records = (
+        spark.read.option("lineSep", "}").text(path)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                F.monotonically_increasing_id().alias("at"), "value")
+        .withColumn("flips", F.length(F.regexp_replace(_bare(F.col("value")), '[^"]', "")) % 2)
+        # the brace that ends the record closes something unless it stands in a string
+        .withColumn("from_outside", _depth_change(F.col("value")) - (F.col("flips") == 0).cast("int"))
+        .withColumn("from_inside", _depth_change(F.concat(F.lit('"'), "value")) - (F.col("flips") == 1).cast("int"))
+    )
+    in_range = Window.partitionBy("file", "start").orderBy("at")
+    over_ranges = Window.partitionBy("file").orderBy("start")
+
+    def earlier(window: WindowSpec, amount: str | Column) -> Column:
+        return F.coalesce(F.sum(amount).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    records = records.withColumn("flipped", earlier(in_range, "flips") % 2)
+    changes = {
+        side: F.when(F.col("flipped") == side, F.col("from_outside")).otherwise(F.col("from_inside")) for side in (0, 1)
+    }
+    ranges = (
+        records.groupBy("file", "start")
+        .agg((F.sum("flips") % 2).alias("flips"), F.sum(changes[0]).alias("change_0"), F.sum(changes[1]).alias("change_1"))
+        .withColumn("side", earlier(over_ranges, "flips") % 2)
+        .withColumn("depth_before", earlier(over_ranges, F.when(F.col("side") == 0, F.col("change_0")).otherwise(F.col("change_1"))))
+        .select("file", "start", "side", "depth_before", F.lead("start").over(over_ranges).isNull().alias("is_last"))
+    )
+    records = (
+        records.join(ranges, ["file", "start"])
+        .withColumn("depth", F.col("depth_before") + F.sum(
+            F.when(F.col("side") == 0, changes[0]).otherwise(changes[1])).over(in_range))
+        .withColumn("closes", (F.col("depth") == 1) & ((F.col("side") + F.col("flipped") + F.col("flips")) % 2 == 0))
+        .withColumn("is_end", F.col("is_last") & F.lead("at").over(in_range).isNull())
+        .withColumn("element", earlier(in_range, F.col("closes").cast("int")))
+    )
+    elements = (
+        records.groupBy("file", "start").agg(F.count_if("closes").alias("n"))
+        .withColumn("elements_before", earlier(over_ranges, "n")).drop("n")
+    )
+    # the last record of a file has no brace after it
+    piece = F.array_join(F.transform(F.array_sort("records"), lambda r: r["value"]), "}")
+    place = F.col("elements_before") + F.col("element")
+    lead = F.regexp_replace(F.regexp_extract("piece", "^[^{]*", 0), r"\s", "")
+    return (
+        records.join(elements, ["file", "start"])
+        .groupBy("file", "is_end", place.alias("place"))
+        .agg(F.collect_list(F.struct("start", "at", "value")).alias("records"), F.bool_or("closes").alias("closed"))
+        .select("file", "is_end", "place", "closed", F.when(F.col("is_end"), piece).otherwise(F.concat(piece, F.lit("}"))).alias("piece"))
+        .orderBy("file", "place")
+        .select(
+            F.expr("substring(piece, instr(piece, '{'))").alias("data"), (~F.col("is_end")).alias("is_element"),
+            F.when(F.col("is_end"), F.regexp_replace("piece", r"\s", "") == F.when(F.col("place") == 0, "[]").otherwise("]"))
+            .otherwise(F.col("closed") & (lead == F.when(F.col("place") == 0, "[").otherwise(","))).alias("sound"))
+    )
 
 
 def stamp_batch(

@@ -17,7 +17,8 @@ BATCHES = {  # load id -> load timestamp
     "load-0001": "2001-11-30 06:00:00",
     "load-0002": "2001-12-15 06:00:00",
 }
-ITEMS_PER_DOCUMENT = 50_000
+#: Order keys and line numbers of one document.
+ORDER_BLOCK, LINE_BLOCK = 10_000, 1_000
 
 HOME_COUNTRY = ("CO", "UY", "AR", "MX", "CL", "PE", "BR")
 HOME_CURRENCY = ("COP", "UYU", "ARS", "MXN", "CLP", "PEN", "BRL")
@@ -216,59 +217,58 @@ def json_list(column: str) -> Column:
     )
 
 
-def documents(spark: SparkSession, sf_dir: str, items_per_document: int = ITEMS_PER_DOCUMENT) -> DataFrame:
+def documents(
+    spark: SparkSession, sf_dir: str, order_block: int = ORDER_BLOCK, line_block: int = LINE_BLOCK
+) -> DataFrame:
     """Raw documents with their ``id`` and ``load_id``.
 
-    A customer with many items is spread over several documents. Their number follows from
-    counts, and items go to a document by the hash of their row number, so neither a busy
-    customer nor many copies of one item make an array outgrow ``items_per_document`` by
-    more than hash variance. The parts of one document share its ``id``, so splitting never
-    decides which version of an item is the latest.
+    A document holds the items of one customer, one block of order keys and one block of line
+    numbers, so neither a busy customer nor a long order makes an array outgrow its block. The
+    rule looks at keys only and holds at every size. A customer without orders has one document.
+    The documents of one customer share their ``id``, so splitting never decides which version
+    of an item is the latest.
     """
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-    customers = table("customer")
-    lines_per_order = table("lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n_lines"))
-    orders = table("orders").withColumn("o_row", F.monotonically_increasing_id()).join(
-        lines_per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left"
-    ).drop("l_orderkey")
-    parts = orders.groupBy("o_custkey").agg(
-        F.ceil(
-            (F.sum(F.coalesce("n_lines", F.lit(0))) + F.count("*")) / items_per_document
-        ).alias("n_parts")
-    )
+    customers, lineitem = table("customer"), table("lineitem")
+    of_document = ["o_custkey", "order_block", "line_block"]
     nation = customers.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    orders = orders.drop("n_lines").join(parts, "o_custkey").join(nation, "o_custkey").withColumn(
-        "account_currency",
-        F.when(F.col("o_orderkey") % 2 == 0, "USD").otherwise(home(HOME_CURRENCY, F.col("c_nationkey"))),
+    orders = (
+        table("orders").join(nation, "o_custkey")
+        .withColumn("order_block", div(F.col("o_orderkey"), order_block))
+        .withColumn("account_currency", F.when(F.col("o_orderkey") % 2 == 0, "USD")
+                    .otherwise(home(HOME_CURRENCY, F.col("c_nationkey"))))
     )
     per_order = (
-        orders.withColumn("part_no", F.pmod(F.xxhash64("o_row"), "n_parts"))
-        .groupBy("o_custkey", "part_no")
+        orders.withColumn("line_block", F.lit(0).cast("long"))
+        .groupBy(of_document)
         .agg(
             F.collect_list(account_json()).alias("accounts"),
             F.collect_list(loan_json()).alias("loans"),
         )
     )
-    lines = table("lineitem").withColumn("l_row", F.monotonically_increasing_id()).join(
-        orders.select("o_orderkey", "o_custkey", "n_parts", "account_currency"),
+    lines = lineitem.withColumn("line_block", div(F.col("l_linenumber"), line_block)).join(
+        orders.select("o_orderkey", "o_custkey", "order_block", "account_currency"),
         F.col("l_orderkey") == F.col("o_orderkey"),
-    ).join(table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
+    )
     per_line = (
-        lines.withColumn("part_no", F.pmod(F.xxhash64("l_row"), "n_parts"))
-        .groupBy("o_custkey", "part_no")
+        lines.join(table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
+        .groupBy(of_document)
         .agg(F.collect_list(transaction_json()).alias("transactions"))
     )
+    # only lines beyond the first block add documents to those of the orders
+    parts = orders.select("o_custkey", "order_block", F.lit(0).cast("long").alias("line_block")).union(
+        lines.where(F.col("l_linenumber") >= line_block).select(of_document)
+    ).distinct()
     k, slot = F.col("c_custkey"), F.col("slot")
     slots = F.filter(
         F.array(F.lit(0), F.when(k % 75 == 0, 1), F.when(k % 50 == 0, 2)), lambda s: s.isNotNull()
     )
     shells = (
         customers.join(parts, k == F.col("o_custkey"), "left")
-        .withColumn("part_no", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("n_parts", F.lit(1)) - 1)))
-        .withColumn("o_custkey", k)
+        .withColumns({"o_custkey": k, **{c: F.coalesce(c, F.lit(0).cast("long")) for c in of_document[1:]}})
     )
     arrays = F.concat(
         F.lit(',"accounts":'), json_list("accounts"),
@@ -276,10 +276,9 @@ def documents(spark: SparkSession, sf_dir: str, items_per_document: int = ITEMS_
         F.lit(',"loans":'), json_list("loans"), F.lit("}"),
     )
     assembled = (
-        shells.join(per_order, ["o_custkey", "part_no"], "left")
-        .join(per_line, ["o_custkey", "part_no"], "left")
-        .select("c_custkey", "c_nationkey", "c_mktsegment", "part_no", arrays.alias("arrays"),
-                F.explode(slots).alias("slot"))
+        shells.join(per_order, of_document, "left")
+        .join(per_line, of_document, "left")
+        .select("c_custkey", "c_nationkey", "c_mktsegment", arrays.alias("arrays"), F.explode(slots).alias("slot"))
         .withColumn("customer_id", F.concat(F.lit("CUST-"), padded(k)))
         .withColumn("profile", profile_json(k, slot))
     )

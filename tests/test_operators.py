@@ -151,12 +151,27 @@ def test_shares_sum_to_one(spark):
     assert sorted((r.g, r.s, r.p) for r in rows) == [("a", 0.25, 11.11), ("a", 0.75, 33.33), ("b", 1.0, 55.56)]
 
 
-def test_stage_array_counts_in_one_write(spark, bank, tmp_path):
+def test_stage_array_counts_stored_rows(spark, bank, tmp_path):
     def save(df):
         df.write.parquet(str(tmp_path / "x"))
         return spark.read.parquet(str(tmp_path / "x"))
 
+    def save_after_a_lost_attempt(df):
+        df.write.parquet(str(tmp_path / "lost"))
+        df.write.parquet(str(tmp_path / "y"))
+        return spark.read.parquet(str(tmp_path / "y"))
+
     saved, counters = flatten.stage_array(bank.table("documents"), flatten.TRANSACTIONS, save)
     assert counters["documents_read"] == bank.table("bronze").count()
     assert counters["after_dedup"] == saved.count() == saved.select("transaction_id").distinct().count()
     assert counters["dropped"] == counters["after_explode"] - counters["after_dedup"] > 0
+    assert flatten.stage_array(bank.table("documents"), flatten.TRANSACTIONS, save_after_a_lost_attempt)[1] == counters
+
+
+def test_stage_array_of_no_documents(spark, bank, tmp_path):
+    def save(df):
+        df.write.parquet(str(tmp_path / "none"))
+        return spark.read.parquet(str(tmp_path / "none"))
+
+    _, counters = flatten.stage_array(bank.table("documents").where("false"), flatten.LOANS, save)
+    assert set(counters.values()) == {0}

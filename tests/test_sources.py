@@ -23,7 +23,53 @@ def test_read_json_array_keeps_raw_elements(spark, tmp_path):
     assert texts == [{"a": 3.0, "b": "x, ]"}, {"a": "3"}]
 
 
-@pytest.mark.parametrize("text", ["[]", '{"a": 1}', "[1, ", ""])
+ODD_ARRAYS = [
+    r'[{"a":"x } ] \" {","b":[{"c":1},{}]}, {"a":"\\"},{"a":"\\\"}]"} ,{"d":{"e":{}}}]',
+    '[\n{"a": "[{"},\n{"a": "}]"}\n]\n',
+    '[{}]',
+    '[{"long": "' + "}{][ \\\\ \\\" " * 40 + '"}, {"next": []}]',
+]
+
+
+@pytest.mark.parametrize("limit", [1, 5, 17, 1 << 20])
+@pytest.mark.parametrize("text", ODD_ARRAYS)
+def test_array_file_is_cut_in_byte_ranges(spark, tmp_path, text, limit):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, str(limit))
+        found = [json.loads(r.data) for r in bronze.read_json_documents(spark, landed(tmp_path, text)).collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted(map(json.dumps, found)) == sorted(map(json.dumps, json.loads(text)))
+
+
+def test_array_file_is_read_by_all_tasks(spark, tmp_path):
+    path = landed(tmp_path, json.dumps([{"i": i, "t": [{"x": "}" * (i % 9)}] * 5} for i in range(4000)]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        assert spark.read.option("lineSep", "}").text(path).rdd.getNumPartitions() >= 8
+        found = bronze.read_json_documents(spark, path).select(F.get_json_object("data", "$.i").cast("int").alias("i"))
+        assert sorted(r.i for r in found.collect()) == list(range(4000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_one_bad_file_among_good_ones_is_rejected(spark, tmp_path):
+    for bad in ("", "]", '[{"a": 1}'):
+        folder = tmp_path / f"land-{len(bad)}"
+        folder.mkdir()
+        (folder / "good.json").write_text('[{"a": 1}]')
+        (folder / "bad.json").write_text(bad)
+        with pytest.raises(bronze.EmptyBatchError):
+            bronze.read_json_documents(spark, str(folder))
+
+
+@pytest.mark.parametrize("text", ["[]", '{"a": 1}', "[1, ", "", "[1, {}]", '["a", {}]', "[[{}], {}]", '[{}, {"a":{}]', '[{"a":{}]',
+                                  "[{} {}]", '{"a":[{}]}', "[{},]", "]"])
 def test_unusable_files_are_rejected(spark, tmp_path, text):
     with pytest.raises(bronze.EmptyBatchError):
         bronze.read_json_documents(spark, landed(tmp_path, text))
@@ -113,41 +159,68 @@ def test_jdbc_predicates_of_few_steps(starts, counts, expected):
 
 def test_large_customers_are_spread_over_documents(spark):
     whole = demo_bank.documents(spark, "/root/testdata/sf0.001")
-    split = demo_bank.documents(spark, "/root/testdata/sf0.001", items_per_document=20)
-    path = "$.transactions[*].transaction_id"
+    split = demo_bank.documents(spark, "/root/testdata/sf0.001", order_block=100, line_block=3)
 
     def ids(df):
-        return df.select(F.explode(F.from_json(F.get_json_object("data", path), "array<string>")).alias("t"))
+        items = F.from_json(F.get_json_object("data", "$.transactions"), "array<struct<transaction_id: string>>")
+        return df.select(F.inline(items))
 
     assert split.count() > whole.count() == whole.select("id").distinct().count()
     assert whole.select("id").exceptAll(split.select("id").distinct()).isEmpty()
     assert ids(split).exceptAll(ids(whole)).isEmpty() and ids(whole).exceptAll(ids(split)).isEmpty()
 
 
-def test_copies_of_one_item_do_not_pile_up(spark, tmp_path):
-    small = "/root/testdata/sf0.001"
-    for name in ("customer", "orders", "part"):
-        spark.read.parquet(f"{small}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
-    lines = spark.read.parquet(f"{small}/lineitem.parquet")
-    copies = lines.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("n")
-    lines.union(copies).write.parquet(str(tmp_path / "lineitem.parquet"))
-    sizes = demo_bank.documents(spark, str(tmp_path), items_per_document=200).select(
+def busy_folder(folder) -> str:
+    """The smallest tables, where one customer holds a third of the orders and one order 3000 lines more."""
+    from checks.compare import TABLES, connect
+
+    connection = connect("/root/testdata/sf0.001")
+    changed = {
+        "orders": "SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey) FROM orders",
+        "lineitem": """SELECT * FROM lineitem UNION ALL
+            SELECT l.* REPLACE (n AS l_linenumber) FROM (SELECT * FROM lineitem WHERE l_linenumber = 1 ORDER BY ALL LIMIT 1) l, range(8, 3008) r(n)""",
+    }
+    for table in TABLES:
+        kinds = connection.execute(f"DESCRIBE {table}").fetchall()
+        typed = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind, *_ in kinds)
+        connection.execute(f"COPY (SELECT {typed} FROM ({changed.get(table, f'SELECT * FROM {table}')})) TO '{folder}/{table}.parquet'")
+    return str(folder)
+
+
+def test_no_document_outgrows_its_blocks(spark, tmp_path):
+    sizes = demo_bank.documents(spark, busy_folder(tmp_path), order_block=50, line_block=100).select(
         F.size(F.from_json(F.get_json_object("data", "$.transactions"), "array<string>")).alias("n"))
-    assert sizes.agg(F.sum("n")).first()[0] > lines.count() + 3000
-    assert sizes.agg(F.max("n")).first()[0] < 300
+    assert sizes.agg(F.sum("n")).first()[0] >= 9000
+    assert sizes.agg(F.max("n")).first()[0] <= 50 * 7 + 100
+
+
+@pytest.mark.parametrize("name", [
+    "src1_read_json_documents", "src1_read_json_arrays", "src11_batch_inventory", "jsn4_scalar_as_text", "jsn5_nested_as_text",
+    "jsn7_array_cardinality", "jsn8_json_type_census", "jsn9_key_sets", "prf2_date_format_census", "dq8_run_counters"])
+def test_documents_of_a_busy_customer_match_sql(spark, tmp_path_factory, name):
+    from checks import all_oracles, all_queries
+    from checks.compare import connect, differences
+
+    if not BUSY:
+        BUSY.append(busy_folder(tmp_path_factory.mktemp("busy")))
+    (folder,) = BUSY
+    assert differences(spark, connect(folder), folder, name, all_queries()[name], all_oracles()[name]) == ""
+
+
+BUSY: list[str] = []
 
 
 def test_splitting_documents_does_not_change_the_flattened_tables(spark):
     from finmart.operators import dedup, flatten
 
-    def flat(items):
-        rows = demo_bank.documents(spark, "/root/testdata/sf0.001", items).withColumn(
+    def flat(order_block, line_block):
+        rows = demo_bank.documents(spark, "/root/testdata/sf0.001", order_block, line_block).withColumn(
             "load_timestamp", F.col("load_id"))
         kept = dedup.keep_latest(
             flatten.flatten_array(flatten.parse_documents(rows), flatten.TRANSACTIONS), "transaction_id")
         return kept.checkpoint()
 
-    whole, split = flat(50_000), flat(20)
+    whole, split = flat(10_000, 1_000), flat(100, 3)
     assert whole.count() == split.count() and whole.exceptAll(split).isEmpty()
 
 
