@@ -38,17 +38,19 @@ REACH = 2
 HIDDEN = 16
 #: Least number of training rounds; every position is predicted in exactly one of them.
 ROUNDS = 8
-BATCH = 2048
-RATE = 0.15
+BATCH = 8192
+RATE = 0.3
 SEED = 3
 #: Shards, each trained alone between averages, grow with the root of the words in units of SHARD_WORDS.
 SHARD_WORDS = 1 << 16
 #: Words whose shares every worker looks up; the shares of all others are joined. Only saves disk.
 LISTED = 200_000
-#: Distinct words a task counts before it hands them on, words scored at once, weights in a row.
+#: Distinct words a task counts before it hands them on, words scored at once, weights in a row,
+#: words whose neighbours are looked up at once.
 COUNTED = 400_000
-SCORED = 1 << 16
+SCORED = 1 << 14
 CHUNK = 4096
+STRETCH = 1 << 17
 
 #: Slots of the least network; the last slot is the border.
 SLOTS = VOCABULARY + SHARED_SLOTS + 1
@@ -214,57 +216,75 @@ class WindowNetwork:
         return np.tanh(h, out=h)
 
     @staticmethod
-    def _normal(logits: np.ndarray) -> np.ndarray:
-        """Probabilities of rows of logits, in place."""
-        logits -= logits.max(axis=1, keepdims=True)
+    def _exponentials(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exponentials of rows of logits, and their sums (N, 1)."""
+        logits = h @ weights
+        logits += bias
+        # a column of words that exist: with both bounds no exponential overflows and no sum is zero
+        if logits.max() > 60 or logits[:, 0].min() < -60:
+            logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
-        return logits
+        return logits, logits @ np.ones((logits.shape[1], 1), np.float32)
 
-    def parts(self, h: np.ndarray, target: np.ndarray):
-        """Distributions over groups and, by group, over words: yields (rows, group, probabilities)."""
-        _, _, to_group, group_bias, to_word, word_bias = self.weights
-        group = target // self.group
-        over_groups = self._normal(h @ to_group + group_bias)
+    def by_group(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """An order of the predictions by the group of their word, and where each group begins in it."""
+        group = (target // self.group).astype(np.uint16)
         order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(self.groups + 1))
-        inside = []
-        for g in range(self.groups):
-            rows = order[edges[g]:edges[g + 1]]
-            if len(rows):
-                inside.append((rows, g, self._normal(h[rows] @ to_word[g] + word_bias[g])))
-        return group, over_groups, inside
+        return order, np.searchsorted(group[order], np.arange(self.groups + 1))
+
+    def in_groups(self, h: np.ndarray, edges: np.ndarray) -> Iterator[tuple[slice, int, np.ndarray, np.ndarray]]:
+        """For each group with rows between its ``edges``: rows, group, exponentials of its words and their sums."""
+        to_word, word_bias = self.weights[4:]
+        for g, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+            if lo < hi:
+                yield slice(lo, hi), g, *self._exponentials(h[lo:hi], to_word[g], word_bias[g])
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        group, over_groups, inside = self.parts(self.hidden(context), target)
-        p = over_groups[np.arange(len(target)), group]
-        for rows, _, over_words in inside:
-            p[rows] *= over_words[np.arange(len(rows)), target[rows] % self.group]
+        order, edges = self.by_group(target)
+        target = target[order]
+        h, every, word = self.hidden(context[order]), np.arange(len(target)), target % self.group
+        over_groups, sums = self._exponentials(h, self.weights[2], self.weights[3])
+        sorted_p = over_groups[every, target // self.group] / sums[:, 0]
+        for rows, _, over_words, sums in self.in_groups(h, edges):
+            sorted_p[rows] *= over_words[every[:len(over_words)], word[rows]] / sums[:, 0]
+        p = np.empty_like(sorted_p)
+        p[order] = sorted_p
         return np.log(np.maximum(p, 1e-30))
 
     def learn(self, context: np.ndarray, target: np.ndarray, memory: list[np.ndarray]) -> None:
         """One AdaGrad step; ``memory`` holds sums of squares shaped like the weights."""
         n = len(target)
         self.touched[2] += n
+        order, edges = self.by_group(target)
+        context, target = context[order], target[order]
         h = self.hidden(context)
-        group, over_groups, inside = self.parts(h, target)
-        over_groups[np.arange(n), group] -= 1
-        _, _, to_group, _, to_word, _ = self.weights
+        _, _, to_group, group_bias, to_word, word_bias = self.weights
+        every, word = np.arange(n), target % self.group
+        over_groups, sums = self._exponentials(h, to_group, group_bias)
+        over_groups /= sums
+        over_groups[every, target // self.group] -= 1
         back = over_groups @ to_group.T
-        self._step(2, slice(None), h.T @ over_groups, memory)
-        self._step(3, slice(None), over_groups.sum(axis=0), memory)
-        for rows, g, error in inside:
-            self.touched[1][g] += len(rows)
-            error[np.arange(len(rows)), target[rows] % self.group] -= 1
+        of_words, of_biases = np.zeros_like(to_word), np.zeros_like(word_bias)
+        for rows, g, error, sums in self.in_groups(h, edges):
+            error /= sums
+            error[every[:len(error)], word[rows]] -= 1
             back[rows] += error @ to_word[g].T
-            self._step(4, g, h[rows].T @ error, memory)
-            self._step(5, g, error.sum(axis=0), memory)
+            np.matmul(h[rows].T, error, out=of_words[g])
+            of_biases[g] = np.ones(len(error), np.float32) @ error
+        self.touched[1] += np.diff(edges)
+        self._step(2, slice(None), h.T @ over_groups, memory)
+        self._step(3, slice(None), np.ones(n, np.float32) @ over_groups, memory)
+        self._step(4, slice(None), of_words, memory)
+        self._step(5, slice(None), of_biases, memory)
         back *= 1 - h * h
         self._step(1, slice(None), back.sum(axis=0), memory)
         for j in range(len(OFFSETS)):
-            order = np.argsort(context[:, j], kind="stable")
-            words, first, uses = np.unique(context[order, j], return_index=True, return_counts=True)
-            self.touched[0][j, words] += uses
+            column = context[:, j].astype(slot_type(self.weights[0].shape[1]))
+            order = np.argsort(column, kind="stable")
+            column = column[order]
+            first = np.concatenate([[0], np.flatnonzero(column[1:] != column[:-1]) + 1])
+            words = column[first]
+            self.touched[0][j, words] += np.diff(first, append=n)
             self._step(0, (j, words), np.add.reduceat(back[order], first, axis=0), memory)
 
     def _step(self, which: int, where, grad: np.ndarray, memory: list[np.ndarray]) -> None:
@@ -295,44 +315,82 @@ class WindowNetwork:
         return made
 
 
-def contexts(slots: np.ndarray, at: np.ndarray, border: int) -> np.ndarray:
-    """(N, offsets) slots around positions ``at`` of one text; ``border`` outside of it."""
-    padded = np.full(len(slots) + 2 * REACH, border, dtype=np.int32)
-    padded[REACH:REACH + len(slots)] = slots
-    return np.stack([padded[at + REACH + d] for d in OFFSETS], axis=1)
+class Texts(NamedTuple):
+    """Slots of several texts laid end to end, and where each text begins; one place more for the end."""
+
+    slots: np.ndarray
+    begins: np.ndarray
+
+    @classmethod
+    def of(cls, column: pa.BinaryArray, kind: type) -> Texts:
+        begins = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+        data, size = column.buffers()[2], np.dtype(kind).itemsize
+        count = int(begins[-1] - begins[0]) // size
+        slots = np.frombuffer(data, kind, count, int(begins[0])) if count else np.empty(0, kind)
+        return cls(slots, (begins - begins[0]).astype(np.int64) // size)
+
+    def part(self, lo: int, hi: int) -> Texts:
+        """The texts from ``lo`` to before ``hi``."""
+        begins = self.begins[lo:hi + 1]
+        return Texts(self.slots[begins[0]:begins[-1]], begins - begins[0])
+
+    def stretches(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of STRETCH words after each other and the texts they are in."""
+        for lo in range(0, len(self.slots), STRETCH):
+            places = np.arange(lo, min(lo + STRETCH, len(self.slots)))
+            yield places, np.searchsorted(self.begins, places, side="right") - 1
+
+    def contexts(self, places: np.ndarray, owner: np.ndarray, border: int) -> np.ndarray:
+        """(N, offsets) slots around ``places`` of the texts ``owner``; ``border`` outside of them."""
+        begin, end = self.begins[owner], self.begins[owner + 1]
+        found = np.empty((len(places), len(OFFSETS)), dtype=np.int32)
+        for j, offset in enumerate(OFFSETS):
+            at = places + offset
+            found[:, j] = np.where((at >= begin) & (at < end), self.slots.take(at, mode="clip"), border)
+        return found
 
 
 def _train(slots_in_all: int, values: list[np.ndarray], turn: int, rounds: int):
-    def of_shard(texts: Iterator[tuple[int, pa.BinaryScalar]]) -> Iterator[pa.RecordBatch]:
+    border, kind = slots_in_all - 1, slot_type(slots_in_all)
+
+    def targets(texts: Texts, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for places, owner in texts.stretches():
+            ours = (places - texts.begins[owner] - hashes[owner] - turn) % rounds == 0
+            places, owner = places[ours], owner[ours]
+            yield texts.contexts(places, owner, border), texts.slots[places].astype(np.int32)
+
+    def of_shard(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         network = WindowNetwork.from_rows(values, slots_in_all)
         memory = [np.full_like(w, 1.0) for w in network.weights]
-        held, targets, size = [], [], 0
-        for first, found in texts:
-            slots = np.frombuffer(found.as_py(), dtype=slot_type(slots_in_all)).astype(np.int32)
-            at = np.arange((first + turn) % rounds, len(slots), rounds)
-            for lo in range(0, len(at), BATCH):
-                part = at[lo:lo + BATCH]
-                held.append(contexts(slots, part, slots_in_all - 1))
-                targets.append(slots[part])
-                size += len(part)
-                if size >= BATCH:
-                    network.learn(np.concatenate(held), np.concatenate(targets), memory)
-                    held, targets, size = [], [], 0
-        if size:
-            network.learn(np.concatenate(held), np.concatenate(targets), memory)
-        for kind, (rows, touched) in enumerate(network.rows()):
+        context, target = np.empty((0, len(OFFSETS)), np.int32), np.empty(0, np.int32)
+        for more_context, more_target in parts:
+            context, target = np.concatenate([context, more_context]), np.concatenate([target, more_target])
+            full = len(target) - len(target) % BATCH
+            for lo in range(0, full, BATCH):
+                network.learn(context[lo:lo + BATCH], target[lo:lo + BATCH], memory)
+            context, target = context[full:], target[full:]
+        if len(target):
+            network.learn(context, target, memory)
+        for which, (rows, touched) in enumerate(network.rows()):
             step = max(1, CHUNK // rows.shape[1])
             for lo in range(0, len(rows), step):
                 uses = touched[lo:lo + step]
                 if uses.any():
                     yield pa.RecordBatch.from_pylist(
-                        [{"kind": kind, "first": lo, "n": uses.tobytes(), "weights": rows[lo:lo + step].tobytes()}], schema=_PART_SCHEMA)
+                        [{"kind": which, "first": lo, "n": uses.tobytes(), "weights": rows[lo:lo + step].tobytes()}], schema=_PART_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = ((shard, first, slots) for batch in batches for shard, first, slots in zip(
-            batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)))
-        for _, several in groupby(texts, key=itemgetter(0)):
-            yield from of_shard((first, slots) for _, first, slots in several)
+        def parts() -> Iterator[tuple[int, Texts, np.ndarray]]:
+            for batch in batches:
+                shards = np.array(batch.column(0))
+                hashes, texts = np.array(batch.column(1)), Texts.of(batch.column(2), kind)
+                edges = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1), len(shards)]
+                for lo, hi in zip(edges, edges[1:]):
+                    if lo < hi:
+                        yield int(shards[lo]), texts.part(lo, hi), hashes[lo:hi]
+
+        for _, several in groupby(parts(), key=itemgetter(0)):
+            yield from of_shard(found for _, texts, hashes in several for found in targets(texts, hashes))
 
     return run
 
@@ -356,11 +414,11 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def in_shards(encoded: DataFrame, words: int) -> tuple[DataFrame, int]:
-    """``encoded(row, hash, slots)`` dealt to shards, and their number: it follows from the words
-    and not from how the input is split."""
+    """``encoded`` with its rows dealt to shards, and their number: it follows from the words and
+    not from how the input is split."""
     shards = max(1, math.ceil(math.sqrt(words / SHARD_WORDS)))
-    dealt = encoded.select("row", "hash", "slots").repartition(shards, "row")
-    return dealt.withColumn("shard", F.spark_partition_id()).sortWithinPartitions("row").select("shard", "hash", "slots"), shards
+    dealt = encoded.repartition(shards, "row")
+    return dealt.withColumn("shard", F.spark_partition_id()).sortWithinPartitions("row"), shards
 
 
 def train(encoded: DataFrame, slots: int, rounds: int, scratch: Scratch) -> list[np.ndarray]:
@@ -387,24 +445,15 @@ def _score(slots_in_all: int, values: list[np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = WindowNetwork.from_rows(values, slots_in_all)
         for batch in batches:
-            sizes, sums = [], np.array(batch.column(3))
-            held, targets, owners, size = [], [], [], 0
-            for i in range(batch.num_rows + 1):
-                if i < batch.num_rows:
-                    slots = np.frombuffer(batch.column(2)[i].as_py(), dtype=slot_type(slots_in_all)).astype(np.int32)
-                    sizes.append(len(slots))
-                    for lo in range(0, len(slots), SCORED):
-                        at = np.arange(lo, min(len(slots), lo + SCORED))
-                        held.append(contexts(slots, at, slots_in_all - 1))
-                        targets.append(slots[at])
-                        owners.append(np.full(len(at), i))
-                        size += len(at)
-                if size and (size >= SCORED or i == batch.num_rows):
-                    found = network.log_probabilities(np.concatenate(held), np.concatenate(targets))
-                    sums += np.bincount(np.concatenate(owners), weights=found, minlength=batch.num_rows)
-                    held, targets, owners, size = [], [], [], 0
+            texts, sums = Texts.of(batch.column(2), slot_type(slots_in_all)), np.array(batch.column(3))
+            for places, owner in texts.stretches():
+                context, target = texts.contexts(places, owner, slots_in_all - 1), texts.slots[places].astype(np.int32)
+                found = [network.log_probabilities(context[lo:lo + SCORED], target[lo:lo + SCORED]) for lo in range(0, len(target), SCORED)]
+                first = owner[0]
+                of_texts = np.bincount(owner - first, weights=np.concatenate(found))
+                sums[first:first + len(of_texts)] += of_texts
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())],
+                [batch.column(0), batch.column(1), pa.array(np.diff(texts.begins), pa.int64()), pa.array(sums, pa.float64())],
                 names=["row", "doc_id", "n_words", "of_slots"])
 
     return run
@@ -422,12 +471,11 @@ def pseudo_likelihoods(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     rows = docs.select(long_id(F.col(doc_id)).alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
     counts = scratch.keep(word_counts(rows.select("text")), "counts")
     vocabulary = frequent_words(counts)
-    encoded = scratch.keep(
+    encoded, shards = in_shards(
         rows.mapInArrow(_encode(vocabulary), "doc_id long, hash long, slots binary, listed double, rare array<struct<word:binary,c:long>>")
-        .withColumn("row", F.monotonically_increasing_id()), "encoded")
-    dealt, shards = in_shards(encoded, counts.agg(F.sum("c")).first()[0] or 0)
-    values = train(scratch.keep(dealt, "shards"), vocabulary.slots, max(ROUNDS, math.ceil(math.sqrt(shards))), scratch)
-    scratch.drop("shards")
+        .withColumn("row", F.monotonically_increasing_id()), counts.agg(F.sum("c")).first()[0] or 0)
+    encoded = scratch.keep(encoded, "encoded")
+    values = train(encoded, vocabulary.slots, max(ROUNDS, math.ceil(math.sqrt(shards))), scratch)
     scored = encoded.select("row", "doc_id", "slots", "listed").mapInArrow(
         _score(vocabulary.slots, values), "row long, doc_id long, n_words long, of_slots double")
     inside = (
