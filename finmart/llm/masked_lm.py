@@ -417,8 +417,8 @@ def in_shards(encoded: DataFrame, words: int) -> tuple[DataFrame, int]:
     """``encoded`` with its rows dealt to shards, and their number: it follows from the words and
     not from how the input is split."""
     shards = max(1, math.ceil(math.sqrt(words / SHARD_WORDS)))
-    dealt = encoded.repartition(shards, "row")
-    return dealt.withColumn("shard", F.spark_partition_id()).sortWithinPartitions("row"), shards
+    dealt = encoded.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")).repartition(shards, "shard")
+    return dealt.sortWithinPartitions("shard", "row"), shards
 
 
 def train(encoded: DataFrame, slots: int, rounds: int, scratch: Scratch) -> list[np.ndarray]:
