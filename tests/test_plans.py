@@ -95,14 +95,41 @@ def test_planted_violations_are_found(spark):
     assert found == {
         ("not_null", "k", "error"): 1, ("not_null", "v", "warn"): 1, ("accepted_values", "s", "error"): 1,
         ("expression_is_true", "v > 0", "error"): 1, ("expression_is_true", "v < 3", "warn"): 1}
-    assert quality.unique_check(df, "t", "k").first().failures == 1
-    orphans = quality.reference_check(df, "t", "p", parent.withColumnRenamed("id", "_key"))
-    assert orphans.first().failures == 2
+    tables = {"t": df, "parent": parent}
+    report = quality.key_checks(tables.get, quality.key_checks_of("t", checks))
+    assert {(r.table_name, r.test, r.column_name): r.failures for r in report.collect()} == {
+        ("t", "unique", "k"): 1, ("t", "relationships", "p"): 2}
     with pytest.raises(QualityError):
-        require_passed(orphans)
+        require_passed(report.where("test = 'relationships'"))
     require_passed(row_checks(df, "t", TableChecks(not_null_warn="v")))
 
 
+def test_key_checks_of_keys_that_share_a_parent(spark):
+    """A hot value, NULLs, a parent checked itself, a parent that is not, a column that is key and child."""
+    child = spark.createDataFrame(
+        [(None, "x", None)] + [(7, "x", "a")] * 500 + [(1, "y", "a"), (2, None, "c"), (2, "z", "c")], "p long, q string, r string")
+    tables = {"child": child, "parent": spark.createDataFrame([(1,), (1,), (None,), (2,)], "id int"),
+              "names": spark.createDataFrame([("a",), ("b",)], "name string"), "none": child.limit(0)}
+    shapes = {
+        "child": TableChecks(unique="q", references={"p": ("parent", "id"), "q": ("names", "name"), "r": ("names", "name")}),
+        "parent": TableChecks(unique="id", references={"id": ("child", "p")}),
+        "none": TableChecks(unique="p", references={"r": ("none", "q")}),
+    }
+    report = quality.key_checks(tables.get, [c for t, shape in shapes.items() for c in quality.key_checks_of(t, shape)])
+    assert {(r.table_name, r.test, r.column_name): r.failures for r in report.collect()} == {
+        ("child", "unique", "q"): 1, ("child", "relationships", "p"): 500, ("child", "relationships", "q"): 503,
+        ("child", "relationships", "r"): 2, ("parent", "unique", "id"): 1, ("parent", "relationships", "id"): 0,
+        ("none", "unique", "p"): 0, ("none", "relationships", "r"): 0}
+
+
+def test_suite_reads_a_table_at_most_twice(bank):
+    """Once for the row checks and once for the key checks of all tables, which share one shuffle by value."""
+    names = ["fct_transactions", "fct_loans", "dim_account"]
+    plan = plan_of(quality.run_checks(bank.table, names, as_of="DATE '2001-12-31'"))
+    assert plan.count("FileScan parquet") == 2 * len(names) + 1  # dim_customer, which they refer to
+    assert plan.count("Exchange hashpartitioning") == 2  # by key and value, then one row per key
+
+
 def test_domain_values_with_quotes(spark):
     df = spark.createDataFrame([("it's",), ("x",)], "s string")
     assert row_checks(df, "t", TableChecks(values={"s": ("it's",)})).first().failures == 1
