@@ -16,6 +16,7 @@ from finmart.operators.analytics import (
 )
 from finmart.plans import gold, intermediate, profiling, reconcile
 from finmart.plans.questions import customers_by_city
+from finmart.plans.silver import facts_before
 from finmart.plans.warehouse import Warehouse
 
 col = F.col
@@ -32,7 +33,7 @@ register("flt2_not_null",
              col("amount").isNotNull() & col("category").isNotNull() & col("merchant").isNotNull()), "category"),
          tally_sql("fct_transactions WHERE amount IS NOT NULL AND category IS NOT NULL AND merchant IS NOT NULL", "category"))
 register("flt3_strict_upper_date",
-         lambda w: tally(w.table("fct_transactions").where(col("transaction_date") < F.lit("2000-01-01").cast("date")), "status"),
+         lambda w: tally(facts_before(w.table("fct_transactions"), F.lit("2000-01-01").cast("date")), "status"),
          tally_sql("fct_transactions WHERE transaction_date < DATE '2000-01-01'", "status"))
 register("flt4_filtered_aggregates",
          lambda w: w.table("fct_transactions").groupBy("channel").agg(

@@ -28,6 +28,7 @@ from finmart.plans.intermediate import (
     interest_by_customer_usd,
     is_completed_fee,
 )
+from finmart.plans.silver import facts_before
 
 col = F.col
 
@@ -165,9 +166,9 @@ def mart_revenue_monthly_by_segment_usd(
     of that small table. The list of months arrives as one array bounded by the calendar.
     """
     segment = dim_customer.select("customer_id", "customer_segment")
-    dated = fct_transactions.where(
-        col("transaction_date") < dates.month_of(dates.as_of_column(as_of))
-    ).withColumn("revenue_month", dates.month_of(col("transaction_date")))
+    dated = facts_before(fct_transactions, dates.month_of(dates.as_of_column(as_of))).withColumn(
+        "revenue_month", col("transaction_month")
+    )
     fees_by_customer = (
         to_usd(dated.where(is_completed_fee()), fx_rates, "currency")
         .groupBy("customer_id", "revenue_month")

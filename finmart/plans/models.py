@@ -23,6 +23,7 @@ class Model:
     inputs: tuple[str, ...] = ()
     stored: bool = False
     dated: bool = False
+    partition_by: tuple[str, ...] = ()
 
 
 def _flattened(spec: ArraySpec) -> Callable:
@@ -55,7 +56,8 @@ MODELS: dict[str, Model] = {
     "dim_digital_engagement": Model("silver", silver.dim_digital_engagement, ("latest_documents",)),
     "dim_account": Model("silver", silver.dim_account, ("stg_accounts",), stored=True, dated=True),
     "dim_loan": Model("silver", silver.dim_loan, ("stg_loans",), dated=True),
-    "fct_transactions": Model("silver", silver.fct_transactions, ("stg_transactions",), stored=True),
+    "fct_transactions": Model("silver", silver.fct_transactions, ("stg_transactions",), stored=True,
+                              partition_by=("transaction_month",)),
     "fct_loans": Model("silver", silver.fct_loans, ("stg_loans",), stored=True),
     "agg_customer_activity": Model(
         "silver", silver.agg_customer_activity,

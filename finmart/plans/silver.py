@@ -170,6 +170,14 @@ def fct_transactions(stg: DataFrame) -> DataFrame:
         (col("status") == "failed").alias("is_failed"),
         dates.weekday_number(col("transaction_date")).alias("day_of_week"),
         *lineage,
+        dates.month_of(col("transaction_date")).alias("transaction_month"),
+    )
+
+
+def facts_before(fct_transactions: DataFrame, day: Column) -> DataFrame:
+    """Transactions dated before ``day``; of facts stored by month only the months up to it are read."""
+    return fct_transactions.where(
+        (col("transaction_date") < day) & (col("transaction_month") <= dates.month_of(day))
     )
 
 

@@ -48,7 +48,11 @@ class Warehouse:
         if model.dated:
             arguments.append(self.as_of)
         built = model.build(*arguments)
-        return self.store.save(built, model.layer, name) if model.stored else built
+        if not model.stored:
+            return built
+        if model.partition_by:  # few files per partition; AQE splits a large one among tasks
+            built = built.hint("rebalance", *model.partition_by)
+        return self.store.save(built, model.layer, name, model.partition_by)
 
     def saved(self, name: str) -> DataFrame:
         """The table as stored files, written now if it has only been a plan so far."""

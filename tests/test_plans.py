@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,8 @@ from finmart.plans import gold, quality
 from finmart.plans.models import MARTS, MODELS
 from finmart.operators.analytics import exact_median
 from finmart.plans.quality import CHECKS, QualityError, TableChecks, Rule, require_passed, row_checks
+from finmart.plans.silver import facts_before
+from finmart.sources.store import TableStore
 
 
 def plan_of(df):
@@ -25,6 +29,29 @@ def test_filters_and_columns_reach_the_scan(bank):
     assert "ReadSchema: struct<amount:double,currency:string,category:string,status:string>" in plan
 
 
+def test_month_cutoffs_prune_stored_months(bank):
+    def partition_filters(df):
+        plan = df._jdf.queryExecution().explainString(
+            bank.spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        return [line for line in plan.splitlines() if line.startswith("PartitionFilters") and "transaction_month" in line]
+
+    facts, day = bank.table("fct_transactions"), date(1996, 3, 10)
+    early = facts_before(facts, F.lit(day))
+    assert partition_filters(early) and "<= 1996-03-01" in partition_filters(early)[0]
+    assert 0 < early.count() == facts.where(F.col("transaction_date") < F.lit(day)).count() < facts.count()
+    assert partition_filters(bank.table("mart_revenue_monthly_by_segment_usd"))
+    assert facts.where(~F.col("transaction_month").eqNullSafe(F.trunc("transaction_date", "month"))).isEmpty()
+
+
+def test_facts_without_a_date_have_a_partition_of_their_own(spark, tmp_path):
+    days = spark.createDataFrame([(date(2000, 1, 31),), (None,), (date(2000, 2, 1),)], "transaction_date date")
+    months = days.withColumn("transaction_month", F.trunc("transaction_date", "month"))
+    saved = TableStore(spark, str(tmp_path)).save(months, "silver", "facts", ("transaction_month",))
+    assert saved.dtypes == months.dtypes and saved.count() == 3
+    assert saved.where("transaction_month is null").count() == 1
+    assert [r.transaction_date for r in facts_before(saved, F.lit(date(2000, 2, 1))).collect()] == [date(2000, 1, 31)]
+
+
 def test_keys_are_unique(bank):
     for name, key in (("fct_transactions", "transaction_id"), ("dim_account", "account_id"), ("dim_customer", "customer_id"),
                       ("mart_customer_360", "customer_id")):
