@@ -58,6 +58,36 @@ def test_array_file_is_read_by_all_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def exchanges(df):
+    """Text of the plan below every shuffle."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-"))
+
+    found = []
+    for i, line in enumerate(lines):
+        if line.lstrip(" :+-").startswith("Exchange"):
+            below = []
+            for other in lines[i + 1:]:
+                if depth(other) <= depth(line):
+                    break
+                below.append(other)
+            found.append("\n".join(below))
+    return found
+
+
+def test_documents_are_shuffled_as_columns(spark):
+    shuffled = exchanges(demo_bank.documents(spark, "/root/testdata/sf0.001"))
+    assert shuffled and not any("StructsToJson" in below or "collect_list" in below for below in shuffled)
+
+
+def test_stored_tables_are_packed(spark, tmp_path):
+    store.TableStore(spark, str(tmp_path)).save(spark.range(5), "silver", "numbers")
+    files = [f.name for f in (tmp_path / "silver" / "numbers").glob("*.parquet")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+
+
 def test_one_bad_file_among_good_ones_is_rejected(spark, tmp_path):
     for bad in ("", "]", '[{"a": 1}'):
         folder = tmp_path / f"land-{len(bad)}"
