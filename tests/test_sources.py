@@ -58,6 +58,23 @@ def test_array_file_is_read_by_all_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_array_text_is_shuffled_once_and_stays_in_order(spark, tmp_path):
+    path = landed(tmp_path, json.dumps([{"i": i, "t": [{"x": "}" * (i % 9)}] * 5} for i in range(2000)]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        pieces = bronze.array_pieces(spark, path)
+        found = pieces.where("is_element").select(F.get_json_object("data", "$.i").cast("int").alias("i")).collect()
+        assert [r.i for r in found] == list(range(2000))
+        records = spark.read.option("lineSep", "}").text(path).select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("at"), "value")
+        ranges = F.broadcast(bronze.cut_lineage(bronze._ranges(records)))
+        assert len(exchanges(bronze._fragments(records, ranges))) == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def exchanges(df):
     """Text of the plan below every shuffle."""
     lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
