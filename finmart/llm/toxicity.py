@@ -36,6 +36,8 @@ PAIR_DOCUMENTS, PAIR_TERMS = 5, 1500
 PAIR_SLOTS = 1 << 22
 PAIR_BLOCK = 512
 BANDS, BAND_ROWS = 6, 8
+#: Slots of training documents scored at once: the factors of all of them would fill the driver.
+SCORE_SLOTS = 1 << 16
 SEED = 7
 CUTOFF = 0.3
 #: Terms remembered per worker process; only saves time.
@@ -164,6 +166,19 @@ def telling_pairs(documents: list[np.ndarray], labels: np.ndarray, expected: np.
     return np.stack((slots[found // t], slots[found % t]), axis=1), np.concatenate(excess)
 
 
+def blocks_of(documents: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Consecutive documents of at most SCORE_SLOTS slots together, or one longer document."""
+    block, held = [], 0
+    for slots in documents:
+        if block and held + len(slots) > SCORE_SLOTS:
+            yield block
+            block, held = [], 0
+        block.append(slots)
+        held += len(slots)
+    if block:
+        yield block
+
+
 class FactorizationMachine:
     def __init__(self) -> None:
         size = 1 << TERM_BITS
@@ -190,8 +205,7 @@ class FactorizationMachine:
         linear = screened_slots(documents, labels)
         linear[0] = True
         self._descend([d[linear[d]] for d in documents], labels, linear)
-        starts = np.cumsum([0] + [len(d) for d in documents[:-1]])
-        expected = 1 / (1 + np.exp(-np.clip(self.raw_scores(np.concatenate(documents), starts)[0], -30, 30)))
+        expected = np.concatenate([self.expected(block) for block in blocks_of(documents)])
         pairs, excess = telling_pairs(documents, labels, expected)
         usable = linear.copy()
         usable[pairs] = True
@@ -247,6 +261,10 @@ class FactorizationMachine:
                 seen_v[terms] += grad_v * grad_v
                 self.v[terms] -= RATE * 0.1 * grad_v / np.sqrt(seen_v[terms])
 
+    def expected(self, documents: list[np.ndarray]) -> np.ndarray:
+        starts = np.cumsum([0] + [len(d) for d in documents[:-1]])
+        return 1 / (1 + np.exp(-np.clip(self.raw_scores(np.concatenate(documents), starts)[0], -30, 30)))
+
     def probability(self, slots: np.ndarray) -> float:
         z, _ = self.raw_scores(slots, np.zeros(1, dtype=np.int64))
         return float(1 / (1 + np.exp(-np.clip(float(z[0]), -30, 30))))
@@ -272,9 +290,11 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         .mapInArrow(_features, "doc_id long, toxic int, slots array<int>")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "slots").limit(TRAIN_ROWS).toArrow().sort_by("doc_id")
     )
+    documents = [s.values.to_numpy().astype(np.int64) for s in rows["slots"]]
+    marked = rows["toxic"].to_numpy().astype(np.float32)
+    del rows
     machine = FactorizationMachine()
-    machine.fit([s.values.to_numpy().astype(np.int64) for s in rows["slots"]],
-                rows["toxic"].to_numpy().astype(np.float32))
+    machine.fit(documents, marked)
     return machine
 
 

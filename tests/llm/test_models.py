@@ -26,6 +26,22 @@ def test_factorization_machine_learns_a_pair():
     assert max(p[:3]) < 0.3 < p[3]
 
 
+def test_training_scores_few_slots_at_once(monkeypatch):
+    random = np.random.default_rng(5)
+    documents = [np.unique(np.append(random.integers(1, 5000, 60), 0)) for _ in range(300)]
+    labels = (random.random(300) < 0.2).astype(np.float32)
+    monkeypatch.setattr(toxicity, "SCORE_SLOTS", 500, raising=False)
+    met, plain = [], FactorizationMachine.raw_scores
+
+    def raw_scores(self, slots, starts):
+        met.append((len(slots), len(starts)))
+        return plain(self, slots, starts)
+
+    monkeypatch.setattr(FactorizationMachine, "raw_scores", raw_scores)
+    FactorizationMachine().fit(documents, labels)
+    assert max(n for n, _ in met) < sum(map(len, documents)) / 2
+
+
 def test_pair_term_equals_the_double_sum():
     machine, random = FactorizationMachine(), np.random.default_rng(1)
     machine.w[:9], machine.v[:9], machine.bias = random.normal(size=9), random.normal(size=(9, machine.v.shape[1])), 0.3
