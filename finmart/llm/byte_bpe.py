@@ -36,6 +36,7 @@ LEAF_BYTES = 48
 LEAF_IDS = 4096
 #: Matches and pairs remembered while a partition is worked on, in two generations; only saves time.
 REMEMBERED = 40_000
+NO_RANK = 1 << 60
 #: Characters a match may look at from its start, and past its end, in the pattern.
 LOOK_FROM_START = 3
 LOOK_PAST_END = 1
@@ -67,23 +68,22 @@ class ByteBpe:
 
     def merge(self, piece: bytes) -> list[int]:
         """Merges the adjacent pair of least rank, leftmost first, until none has a rank."""
-        ranks = self.ranks
-        if len(piece) > LEAF_BYTES:
+        n, ranks, rank_of = len(piece), self.ranks, self.ranks.get
+        if n > LEAF_BYTES:
             return self._merge_long(piece)
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        pairs = [ranks.get(parts[i] + parts[i + 1], 1 << 60) for i in range(len(parts) - 1)]
+        borders = list(range(n + 1))
+        pairs = [rank_of(piece[i:i + 2], NO_RANK) for i in range(n - 1)]
         while pairs:
             least = min(pairs)
-            if least == 1 << 60:
+            if least == NO_RANK:
                 break
             i = pairs.index(least)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
+            del borders[i + 1], pairs[i]
             if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1], 1 << 60)
+                pairs[i] = rank_of(piece[borders[i]:borders[i + 2]], NO_RANK)
             if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], 1 << 60)
-        return [ranks[p] for p in parts]
+                pairs[i - 1] = rank_of(piece[borders[i - 1]:borders[i + 1]], NO_RANK)
+        return [ranks[piece[i:j]] for i, j in zip(borders, borders[1:])]
 
     def _merge_long(self, piece: bytes) -> list[int]:
         """The same by a heap over linked parts, for windows that had to grow."""
@@ -183,16 +183,17 @@ class ByteBpe:
             reach *= 2
 
     def encode(self, text: str) -> np.ndarray:
-        young, old, out = self.young, self.old, []
-        for match in self.matches(text):
-            ids = young.get(match)
-            if ids is None:
-                ids = old.get(match)
-                if ids is None:
-                    ids = self.encode_match(match)
+        young, old, matches = self.young, self.old, self.matches(text)
+        out = list(map(young.get, matches))
+        if None in out:
+            for i, ids in enumerate(out):
+                if ids is not None:
+                    continue
+                match = matches[i]
+                ids = young.get(match) or old.get(match) or self.encode_match(match)
                 if len(match) <= LEAF_BYTES:
                     young[match] = ids
-            out.append(ids)
+                out[i] = ids
         if len(young) > REMEMBERED:
             self.old, self.young = young, {}
         return np.frombuffer(b"".join(out), dtype=np.int32)
