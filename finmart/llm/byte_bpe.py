@@ -35,7 +35,7 @@ LEAF_CHARS = 4096
 LEAF_BYTES = 48
 LEAF_IDS = 4096
 #: Matches and pairs remembered while a partition is worked on, in two generations; only saves time.
-REMEMBERED = 40_000
+REMEMBERED = 120_000
 NO_RANK = 1 << 60
 #: Characters a match may look at from its start, and past its end, in the pattern.
 LOOK_FROM_START = 3
