@@ -201,7 +201,8 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 def _judged(measured: DataFrame, chosen: list[tuple]) -> DataFrame:
     table = measured.sparkSession.createDataFrame(chosen, "_s string, level int, cutoffs array<double>")
     rejected = F.coalesce(_rejects(F.col("cutoffs")), F.lit(False))
-    return measured.join(table, F.col("stratum").eqNullSafe(F.col("_s")), "left").withColumn(
+    # one row per stratum; without the hint Spark does not know its size and shuffles the rows with their texts
+    return measured.join(F.broadcast(table), F.col("stratum").eqNullSafe(F.col("_s")), "left").withColumn(
         "kept", ~F.col("base_failed") & ~rejected)
 
 

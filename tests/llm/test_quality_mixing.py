@@ -64,6 +64,10 @@ def test_odd_documents(odd_documents, no_documents, some_labels):
     assert keep_good(odd_documents, some_labels).columns == odd_documents.columns
 
 
+def test_judging_shuffles_no_text(odd_documents, some_labels):
+    assert "Exchange hashpartitioning" not in keep_good(odd_documents, some_labels)._jdf.queryExecution().toString()
+
+
 def targets_of(sizes):
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [s for s in sizes if s is None]
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
