@@ -157,6 +157,25 @@ def test_suite_reads_a_table_at_most_twice(bank):
     assert plan.count("Exchange hashpartitioning") == 2  # by key and value, then one row per key
 
 
+def test_wanted_checks_ask_for_no_other_table(bank):
+    """Uniqueness and references need neither the marts without keys nor copies of thin projections."""
+    asked = set()
+
+    def table(name):
+        asked.add(name)
+        return bank.table(name)
+
+    names = ["stg_loans", "mart_tx_by_dow", "mart_account_mix", "dim_date"]
+    quality.run_checks(table, names, ("unique",))
+    assert asked == set(quality.tables_read(names, ("unique",))) == {"stg_loans", "dim_date"}
+    assert set(quality.tables_read(names, ("relationships",))) == {"stg_loans", "dim_customer", "mart_tx_by_dow", "fx_rates"}
+    thin = [name for name, model in MODELS.items() if model.thin]
+    assert len(thin) == 7
+    for name in thin:
+        plan = plan_of(bank.saved(name))
+        assert plan.count("FileScan") == 1 and "Exchange" not in plan and f"/{name}" not in plan
+
+
 def test_domain_values_with_quotes(spark):
     df = spark.createDataFrame([("it's",), ("x",)], "s string")
     assert row_checks(df, "t", TableChecks(values={"s": ("it's",)})).first().failures == 1
