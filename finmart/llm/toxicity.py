@@ -11,6 +11,7 @@ most TRAIN_ROWS labelled documents; every text is scored whole.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 
@@ -36,7 +37,7 @@ PAIR_DOCUMENTS, PAIR_TERMS = 5, 1500
 PAIR_SLOTS = 1 << 22
 PAIR_BLOCK = 512
 BANDS, BAND_ROWS = 6, 8
-#: Slots of training documents scored at once: the factors of all of them would fill the driver.
+#: Slots of training documents scored at once: the factors of all of them would fill the task.
 SCORE_SLOTS = 1 << 16
 SEED = 7
 CUTOFF = 0.3
@@ -79,6 +80,18 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "toxic", "slots"])
 
 
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The machine fitted on the rows of the only partition, pickled."""
+    held = [batch for batch in batches if batch.num_rows]
+    if not held:
+        return
+    rows = pa.Table.from_batches(held).sort_by("doc_id")
+    del held
+    machine = FactorizationMachine()
+    machine.fit([s.values.to_numpy() for s in rows["slots"]], rows["toxic"].to_numpy().astype(np.float32))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(machine)], pa.binary())], names=["machine"])
+
+
 def one_of_copies(documents: list[np.ndarray]) -> np.ndarray:
     """Indices of documents without the near copies of earlier ones, by banded minhashes of their
     terms: a label repeated over copies of one text is one observation, not many."""
@@ -186,6 +199,16 @@ class FactorizationMachine:
         self.w = np.zeros(size, dtype=np.float32)
         self.v = np.zeros((size, FACTORS), dtype=np.float32)
 
+    def __getstate__(self) -> tuple:
+        """Few terms have weights: only their rows are sent."""
+        used = np.flatnonzero((self.w != 0) | self.v.any(axis=1))
+        return self.bias, used, self.w[used], self.v[used]
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__()
+        self.bias, used, w, v = state
+        self.w[used], self.v[used] = w, v
+
     def raw_scores(self, slots: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """z of documents laid end to end, and the factor sums of each."""
         v = self.v[slots]
@@ -274,8 +297,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """Machine fitted on labelled documents that are not held out.
 
     Labels with a NULL id or NULL mark are skipped; an id with several labels counts as toxic
-    if one says so. At most TRAIN_ROWS ids are broadcast to find their texts, and only their
-    slots reach the driver.
+    if one says so. At most TRAIN_ROWS ids are broadcast to find their texts; the slots of at most
+    as many documents are fitted in one task, and only weights that are not zero reach the driver.
     """
     key = long_id(F.col("doc_id"))
     marks = (
@@ -284,18 +307,14 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
     )
     texts = docs.select(long_id(F.col(doc_id)).alias("doc_id"), _raw(text).alias("text"))
-    # a repeated id may bring more rows than labels: the bound holds for the rows that reach the driver
+    # a repeated id may bring more rows than labels: the bound holds for the rows that are fitted
     rows = (
         texts.join(F.broadcast(marks), "doc_id").select("doc_id", "toxic", "text")
         .mapInArrow(_features, "doc_id long, toxic int, slots array<int>")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "slots").limit(TRAIN_ROWS).toArrow().sort_by("doc_id")
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "slots").limit(TRAIN_ROWS)
     )
-    documents = [s.values.to_numpy().astype(np.int64) for s in rows["slots"]]
-    marked = rows["toxic"].to_numpy().astype(np.float32)
-    del rows
-    machine = FactorizationMachine()
-    machine.fit(documents, marked)
-    return machine
+    fitted = rows.mapInArrow(_fitted, "machine binary").collect()  # one row, none without documents
+    return pickle.loads(fitted[0]["machine"]) if fitted else FactorizationMachine()
 
 
 def scorer(machine: FactorizationMachine):

@@ -1,4 +1,5 @@
 import math
+import pickle
 
 import numpy as np
 import pytest
@@ -8,7 +9,7 @@ from finmart.llm.language_id import ByteTagger, Layer, cut, language_predictions
 from finmart.llm.license_scan import LicenceScanner, Template, bigrams, licence_matches, licence_report, make_templates, normal_words
 from finmart.llm.license_templates import TEMPLATES
 from finmart.llm.masked_lm import WindowNetwork, pseudo_likelihoods
-from finmart.llm.toxicity import FactorizationMachine, Terms, drop_toxic, toxicity_scores
+from finmart.llm.toxicity import FactorizationMachine, Terms, drop_toxic, toxicity_scores, train
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -59,6 +60,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert drop_toxic(docs, labels).columns == docs.columns
 
 
+def test_toxicity_is_fitted_in_a_task(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    monkeypatch.setattr(FactorizationMachine, "fit", None)  # that of the driver; workers load their own
+    machine = train(docs, labels)
+    sent = pickle.dumps(machine)
+    again = pickle.loads(sent)
+    assert machine.w.any() and len(sent) < machine.v.nbytes / 10
+    assert again.bias == machine.bias and np.array_equal(again.w, machine.w) and np.array_equal(again.v, machine.v)
+
+
 def test_toxicity_of_odd_documents(odd_documents, no_documents, some_labels):
     found = toxicity_scores(odd_documents, some_labels).collect()
     assert len(found) == 11 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in found)
