@@ -1,9 +1,9 @@
 """Phrase collocations: counts by multikey three-way quicksort of suffix pointers.
 
 A suffix is what follows a word inside its piece, at most five words. Nothing that holds an
-infrequent word or an infrequent pair can be frequent, so the suffixes are cut before the first
-such place: words are counted first, then pairs of the words a bitmap lets through, and a second
-bitmap holds the frequent pairs. Both bitmaps have a fixed size and lose no frequent phrase.
+infrequent word can be frequent, so words are counted first and the suffixes are cut before the
+first infrequent one. Frequent words are numbered, the most frequent first; a suffix is five numbers
+in two 64-bit values, and words beyond the numbered ones are spelled out beside them.
 
 The cut suffixes of a task are counted where they are equal and routed by their leading two words,
 by more of them as long as the leading words start more than a 1/1024 of all rows. Each task then
@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import count
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,31 +35,23 @@ UNKNOWN = "und"
 ROUTE_SHARE = 1024
 #: Rows of a routed task, about; its pointers are sorted in memory.
 TASK_ROWS = 500_000
-#: Distinct phrases held before they are handed on.
+#: Distinct words held before they are handed on.
 HELD = 100_000
-#: Pairs summed at once before they are handed on.
-HELD_PAIRS = 2_000_000
+#: Suffixes whose equal ones are merged before they are handed on, and rows handed on at once.
+HELD_SUFFIXES, SENT = 1 << 20, 1 << 16
+#: Words that get a number, the most frequent ones; every worker looks them up.
+NUMBERED = 200_000
+#: Bits of a number; 0 ends a suffix, the largest stands for a word that is spelled out.
+NUMBER_BITS = 21
+SPELLED = (1 << NUMBER_BITS) - 1
+#: Suffixes drawn to find frequent leading words; they only steer where rows go.
+DRAWN = 1_000_000
 
 _BREAKS = frozenset(b".,;:!?\n\x0b\x0c\r")
 #: Pieces end at line feeds, words at spaces; A-Z in lower case.
 _FOLD = fold_table(lambda b: 0x0A if b in _BREAKS else 0x20 if b == 0x09 else None)
-_SECOND = np.uint64(0x9FB21C651E98DF25)
-
-
-class _Piecewise:
-    """Words of the texts of one language, laid end to end."""
-
-    def __init__(self, lang: str, texts: list[bytes]):
-        self.raw = b"\n".join(texts).translate(_FOLD)
-        buffer = np.frombuffer(self.raw, dtype=np.uint8)
-        ended = buffer == 0x0A
-        self.starts, self.ends = spans(buffer, ended | (buffer == 0x20))
-        self.piece = np.cumsum(ended, dtype=np.int64)[self.starts]
-        self.words = mix(word_hashes(buffer, self.starts, self.ends) ^ _lang_seed(lang))
-
-    def pairs(self) -> np.ndarray:
-        """Fingerprints of every word and its successor."""
-        return mix(self.words[:-1] * _SECOND + self.words[1:])
+#: Stands for the end of a piece among words, none of which holds it.
+_BREAK = b"."
 
 
 def _lang_seed(lang: str) -> np.uint64:
@@ -104,60 +97,91 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _counted(held)
 
 
-def _count_pairs(frequent: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
+class Numbers(NamedTuple):
+    """The numbered words, the first has number 1, and a bitmap that no frequent word without a
+    number fails; None if there is no such word."""
 
-        def summed() -> pa.RecordBatch:
-            pairs, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(counts, pa.int64())], names=["pair", "n"])
+    langs: list[str]
+    words: list[bytes]
+    others: np.ndarray | None
 
-        for batch in batches:
-            for lang, texts in _by_language(batch):
-                laid = _Piecewise(lang, texts)
-                known = in_bitmap(frequent, laid.words)
-                held.append(laid.pairs()[known[:-1] & known[1:] & (laid.piece[:-1] == laid.piece[1:])])
-                rows += len(held[-1])
-                if rows >= HELD_PAIRS:
-                    yield summed()
-                    held, rows = [], 0
-        if held:
-            yield summed()
 
-    return run
+class _Lookup(dict):
+    """Numbers of the words of one language, SPELLED for all others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return SPELLED
+
+
+def _numbers_of(tokens: list[bytes], lang: str, lookup: _Lookup, others: np.ndarray | None) -> np.ndarray:
+    found = np.fromiter(map(lookup.__getitem__, tokens), np.int64, len(tokens))
+    at = np.flatnonzero(found == SPELLED)
+    if others is None:
+        found[at] = 0
+    elif len(at):
+        found[at[~in_bitmap(others, _hashes(lang, [tokens[i] for i in at.tolist()]))]] = 0
+    return found
 
 
-def _cut_suffixes(words: np.ndarray, pairs: np.ndarray):
+_SUFFIXES = "high long, low long, spelled binary, n long"
+
+
+def _merged(high: np.ndarray, low: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of equal suffixes with their number."""
+    order = np.lexsort((low, high))
+    high, low = high[order], low[order]
+    first = np.flatnonzero(np.concatenate(([True], (high[1:] != high[:-1]) | (low[1:] != low[:-1]))))
+    n = np.diff(first, append=len(high))
+    for lo in range(0, len(first), SENT):
+        at = first[lo:lo + SENT]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(high[at]), pa.array(low[at]), pa.nulls(len(at), pa.binary()), pa.array(n[lo:lo + SENT])],
+            names=["high", "low", "spelled", "n"])
+
+
+def _spelled(found: Counter) -> pa.RecordBatch:
+    highs, lows, words = zip(*found)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(highs, pa.int64()), pa.array(lows, pa.int64()), pa.array(words, pa.binary()), pa.array(found.values(), pa.int64())],
+        names=["high", "low", "spelled", "n"])
+
+
+def _cut_suffixes(numbers: Numbers):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = defaultdict(Counter)
+        lookups: dict[str, _Lookup] = defaultdict(lambda: _Lookup({_BREAK: 0}))
+        for number, (lang, word) in enumerate(zip(numbers.langs, numbers.words), 1):
+            lookups[lang][word] = number
+        highs, lows, held, spelled = [], [], 0, Counter()
         for batch in batches:
             for lang, texts in _by_language(batch):
-                laid = _Piecewise(lang, texts)
-                n = len(laid.words)
-                if n < 2:
-                    continue
-                known = in_bitmap(words, laid.words)
-                on = np.zeros(n, dtype=bool)  # whether the next word belongs to the same suffix
-                on[:-1] = known[:-1] & known[1:] & (laid.piece[:-1] == laid.piece[1:]) & in_bitmap(pairs, laid.pairs())
-                reach, alive = np.zeros(n, dtype=np.int64), np.flatnonzero(on)
-                first = alive
-                for _ in range(MOST_WORDS - 1):
-                    reach[alive] += 1
-                    alive = alive[on[alive + reach[alive]]]
-                last = first + reach[first]
-                begin, end = laid.starts[first], laid.ends[last]
-                # one blank between words unless the text had more
-                lengths = np.concatenate(([0], np.cumsum(laid.ends - laid.starts)))
-                tight = end - begin == lengths[last + 1] - lengths[first] + reach[first]
-                raw = laid.raw
-                held[lang].update(
-                    raw[b:e] if t else b" ".join(filter(None, raw[b:e].split(b" ")))
-                    for b, e, t in zip(begin.tolist(), end.tolist(), tight.tolist()))
-                if sum(map(len, held.values())) > HELD:
-                    yield _counted(held)
-                    held.clear()
+                tokens = b"\n".join(texts).translate(_FOLD).replace(b"\n", b" %b " % _BREAK).split()
+                found = _numbers_of(tokens, lang, lookups[lang], numbers.others)
+                found = np.concatenate((found, np.zeros(MOST_WORDS, dtype=np.int64)))
+                at = np.flatnonzero((found[:-1] > 0) & (found[1:] > 0))
+                parts = [found[at]]
+                for k in range(1, MOST_WORDS):
+                    parts.append(np.where(parts[-1] > 0, found[at + k], 0))
+                high, low = (parts[0] << 2 * NUMBER_BITS) | (parts[1] << NUMBER_BITS) | parts[2], (parts[3] << NUMBER_BITS) | parts[4]
+                if numbers.others is not None:
+                    odd = np.any([part == SPELLED for part in parts], axis=0)
+                    tail = b"\n" + lang.encode("utf-8")
+                    for i in np.flatnonzero(odd).tolist():
+                        words = [tokens[at[i] + k] for k in range(MOST_WORDS) if parts[k][i] == SPELLED]
+                        spelled[int(high[i]), int(low[i]), b" ".join(words) + tail] += 1
+                    high, low = high[~odd], low[~odd]
+                    if len(spelled) > HELD:
+                        yield _spelled(spelled)
+                        spelled.clear()
+                highs.append(high)
+                lows.append(low)
+                held += len(high)
+                if held >= HELD_SUFFIXES:
+                    yield from _merged(np.concatenate(highs), np.concatenate(lows))
+                    highs, lows, held = [], [], 0
         if held:
-            yield _counted(held)
+            yield from _merged(np.concatenate(highs), np.concatenate(lows))
+        if spelled:
+            yield _spelled(spelled)
 
     return run
 
@@ -199,46 +223,59 @@ def multikey_counts(keys: np.ndarray, weights: np.ndarray, floors: list[int]) ->
     return tuple(map(np.concatenate, zip(*out)))
 
 
-def _sorted_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of phrases from all suffixes of a task, rows ``(lang, phrase, n, routed)``."""
-    tables = [b for b in batches if b.num_rows]
-    if not tables:
-        return
-    rows = pa.Table.from_batches(tables)
-    langs, suffixes = rows.column("lang").to_pylist(), rows.column("phrase").to_pylist()
-    weights, routed = rows.column("n").to_numpy(), rows.column("routed").to_numpy()
-    ids = defaultdict(count().__next__)
-    words = [s.split(b" ") for s in suffixes]
-    keys = np.full((len(words), MOST_WORDS + 1), -1, dtype=np.int64)
-    lang_ids = {lang: k for k, lang in enumerate(sorted(set(langs)))}
-    keys[:, 0] = [lang_ids[lang] for lang in langs]
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.fromiter((ids[w] for s in words for w in s), np.int64, int(lengths.sum()))
-    column = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    keys[np.repeat(np.arange(len(words)), lengths), column + 1] = flat
-    for leading in np.unique(routed):
-        at = np.flatnonzero(routed == leading)
-        # phrases shorter than a longer route are spread over tasks: no part of them may be abandoned
-        floors = [1 if 2 < leading > depth else LEAST_COUNT for depth in range(MOST_WORDS + 1)]
-        row, length, weight = multikey_counts(keys[at], weights[at], floors)
-        wide = length > 2
-        row, length, weight = at[row[wide]], length[wide] - 1, weight[wide]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([langs[r] for r in row], pa.string()),
-             pa.array([b" ".join(words[r][:k]) for r, k in zip(row, length)], pa.binary()), pa.array(weight, pa.int64())],
-            names=["lang", "phrase", "n"])
+def _sorted_counts(numbers: Numbers):
+    """Counts of phrases from all suffixes of a task, rows ``(high, low, spelled, n, routed)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [b for b in batches if b.num_rows]
+        if not tables:
+            return
+        rows = pa.Table.from_batches(tables)
+        del tables
+        high, low, weights, routed = (rows.column(name).to_numpy() for name in ("high", "low", "n", "routed"))
+        keys = np.stack([high >> 2 * NUMBER_BITS, high >> NUMBER_BITS & SPELLED, high & SPELLED, low >> NUMBER_BITS, low & SPELLED], axis=1)
+        ids = defaultdict(count(SPELLED + 1).__next__)  # of spelled words, in this task only
+        for i in np.flatnonzero((keys == SPELLED).any(axis=1)).tolist():
+            words, lang = rows.column("spelled")[i].as_py().split(b"\n", 1)
+            keys[i, keys[i] == SPELLED] = [ids[lang, word] for word in words.split(b" ")]
+        del rows, high, low
+        keys[keys == 0] = -1
+        others = list(ids)
+
+        def word_of(number: int) -> tuple[str, bytes]:
+            if number <= SPELLED:
+                return numbers.langs[number - 1], numbers.words[number - 1]
+            lang, word = others[number - SPELLED - 1]
+            return lang.decode("utf-8"), word
+
+        for leading in np.unique(routed):
+            at = np.flatnonzero(routed == leading)
+            # phrases shorter than a longer route are spread over tasks: no part of them may be abandoned
+            floors = [1 if 2 < leading > depth + 1 else LEAST_COUNT for depth in range(MOST_WORDS)]
+            row, length, weight = multikey_counts(keys[at], weights[at], floors)
+            wide = length > 1
+            row, length, weight = at[row[wide]], length[wide], weight[wide]
+            phrases = [[word_of(number) for number in keys[r, :k].tolist()] for r, k in zip(row, length)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([words[0][0] for words in phrases], pa.string()),
+                 pa.array([b" ".join(word for _, word in words) for words in phrases], pa.binary()), pa.array(weight, pa.int64())],
+                names=["lang", "phrase", "n"])
+
+    return run
 
 
 _COUNTS = "lang string, phrase binary, n long"
 
 
+def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    raw = np.frombuffer(b" ".join(words) + b" ", dtype=np.uint8)
+    return mix(word_hashes(raw, *spans(raw, raw == 0x20)) ^ _lang_seed(lang))
+
+
 def _hash_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, rows in _rows_by_language(batch):
-            raw = np.frombuffer(b" ".join(rows) + b" ", dtype=np.uint8)
-            starts, ends = spans(raw, raw == 0x20)
-            found = mix(word_hashes(raw, starts, ends) ^ _lang_seed(lang))
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["hash"])
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(lang, rows).view(np.int64))], names=["hash"])
 
 
 def _rows_by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
@@ -248,23 +285,35 @@ def _rows_by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]
     yield from held.items()
 
 
+def _numbered(frequent: DataFrame) -> Numbers:
+    rows = frequent.orderBy(F.col("n").desc(), "lang", "phrase").limit(NUMBERED).select("lang", "phrase").toArrow()
+    others = None
+    if rows.num_rows == NUMBERED:
+        others = bitmap_of(frequent.select("lang", "phrase").mapInArrow(_hash_frequent, "hash long"))
+    return Numbers(rows["lang"].to_pylist(), rows["phrase"].to_pylist(), others)
+
+
 def _routes(suffixes: DataFrame) -> DataFrame:
-    """Suffixes with the number of leading words they are routed by, and those words."""
+    """Suffixes with the number of leading words they are routed by, dealt to tasks by those words.
+
+    Leading words go by fingerprints; one that two of them share only sends both further on.
+    """
     total = suffixes.count()
-    lead = [F.concat_ws("\t", "lang", F.substring_index(F.col("phrase").cast("string"), " ", k)) for k in range(2, MOST_WORDS)]
+    lead = {2: F.xxhash64(F.shiftright("high", NUMBER_BITS)), 3: F.xxhash64("high"),
+            4: F.xxhash64("high", F.shiftright("low", NUMBER_BITS)), 5: F.xxhash64("high", "low")}
+    drawn = suffixes.sample(DRAWN / total, seed=1) if total > DRAWN else suffixes
     heavy = (
-        suffixes.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), lead[k - 2].alias("lead"))
-                                            for k in range(2, MOST_WORDS)])).alias("x"))
-        .select("x.*").groupBy("k", "lead").count().where(F.col("count") * ROUTE_SHARE > total).collect()
+        drawn.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), lead[k].alias("lead")) for k in range(2, MOST_WORDS)])).alias("x"))
+        .select("x.*").groupBy("k", "lead").count().where(F.col("count") * ROUTE_SHARE > min(total, DRAWN)).collect()
     )
     routed: Column = F.lit(2)
     for k in range(2, MOST_WORDS):
         hot = [row["lead"] for row in heavy if row["k"] == k]
         if hot:
-            routed = F.when(lead[k - 2].isin(hot), F.lit(k + 1)).otherwise(routed)
-    route = F.concat_ws("\t", "lang", F.expr("substring_index(cast(phrase AS string), ' ', routed)"))
+            routed = F.when(lead[k].isin(hot), F.lit(k + 1)).otherwise(routed)
+    route = F.coalesce(*[F.when(F.col("routed") == k, lead[k]) for k in lead])
     tasks = max(int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_ROWS))
-    return suffixes.withColumn("routed", routed).withColumn("route", route).repartition(tasks, "route").drop("route")
+    return suffixes.withColumn("routed", routed).repartition(tasks, route)
 
 
 def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -275,14 +324,12 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text") -> tu
         F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).cast("string").cast("binary").alias("text"))
     words = scratch.keep(
         read.mapInArrow(_count_words, _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "words")
-    frequent = words.where(F.col("n") >= LEAST_COUNT)
-    known = bitmap_of(frequent.select("lang", "phrase").mapInArrow(_hash_frequent, "hash long"))
-    pairs = read.mapInArrow(_count_pairs(known), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    joined = bitmap_of(pairs.where(F.col("n") >= LEAST_COUNT).select("pair"))
-    suffixes = scratch.keep(read.mapInArrow(_cut_suffixes(known, joined), _COUNTS), "suffixes")
+    numbers = _numbered(words.where(F.col("n") >= LEAST_COUNT))
+    suffixes = scratch.keep(read.mapInArrow(_cut_suffixes(numbers), _SUFFIXES), "suffixes")
     phrases = scratch.keep(
-        _routes(suffixes).mapInArrow(_sorted_counts, _COUNTS)
+        _routes(suffixes).mapInArrow(_sorted_counts(numbers), _COUNTS)
         .groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT), "phrases")
+    scratch.drop("suffixes")
     return words, phrases
 
 

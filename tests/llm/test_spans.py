@@ -201,6 +201,26 @@ def test_collocations_equal_plain_counts(spark, monkeypatch, route_share):
     assert found == plain_collocations(rows, 100, 7) and len(found) > 10
 
 
+@pytest.mark.parametrize("numbered", [1, 7])
+def test_collocations_spell_words_without_a_number(spark, monkeypatch, numbered):
+    monkeypatch.setattr(col, "NUMBERED", numbered)
+    monkeypatch.setattr(col, "TOP", 7)
+    rows = talk(3)
+    found = sorted(map(tuple, collocations(spark.createDataFrame(rows, "lang string, text string").repartition(3)).collect()))
+    assert found == plain_collocations(rows, 100, 7) and len(found) > 10
+
+
+def test_suffixes_grow_with_the_words(spark, monkeypatch):
+    """Five times the words make five times the suffixes, though pairs become frequent in between."""
+    made, plain = [], col._routes
+    monkeypatch.setattr(col, "_routes", lambda s: made.append(s.agg(F.sum("n")).first()[0] or 0) or plain(s))
+    draw = random.Random(4)
+    for n in (20_000, 100_000):
+        rows = [("en", " ".join(f"w{draw.randrange(30)}" for _ in range(1000))) for _ in range(n // 1000)]
+        phrase_counts(spark.createDataFrame(rows, "lang string, text string"))
+    assert 0 < made[0] and made[1] <= 5.5 * made[0]
+
+
 def test_counts_of_every_length(spark):
     rows = talk(2, 1500)
     _, phrases = phrase_counts(spark.createDataFrame(rows, "lang string, text string"))
