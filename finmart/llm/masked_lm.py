@@ -19,6 +19,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 from operator import itemgetter
 from typing import NamedTuple
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from finmart.llm.tables import Scratch, long_id
+from finmart.llm.tables import Scratch, long_id, shuffles_removed
 
 #: Least number of known words and of slots that the other words share, words to each side,
 #: units of the hidden layer. Known words grow by WORDS_GROW times the root of the distinct words.
@@ -132,13 +133,20 @@ def word_shares(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     )
 
 
+class _Places(dict):
+    """Places of known and listed words, -1 for all others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 class Slots:
     """Slots of words and the sum of the listed log shares."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.first, self.shared = vocabulary.known, vocabulary.shared
         words = vocabulary.words + vocabulary.listed
-        self.place = {word: i for i, word in enumerate(words)}
+        self.place = _Places((word, i) for i, word in enumerate(words))
         self.slot = np.array([i if i < self.first else self.other(w) for i, w in enumerate(words)], dtype=np.int32)
         self.log_share = np.zeros(len(words))
         self.log_share[len(vocabulary.words):] = vocabulary.log_shares
@@ -148,17 +156,14 @@ class Slots:
 
     def of(self, words: list[bytes]) -> tuple[np.ndarray, float, Counter[bytes]]:
         """Slots, sum of log shares of known and listed words, counts of the words that are neither."""
-        places = list(map(self.place.get, words))
-        missing = [i for i, place in enumerate(places) if place is None]
-        if not missing:
+        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        missing = np.flatnonzero(places < 0)
+        if not len(missing):
             return self.slot[places], float(self.log_share[places].sum()), Counter()
-        found = np.empty(len(words), dtype=np.int32)
-        there = np.ones(len(words), dtype=bool)
-        there[missing] = False
-        inside = [place for place in places if place is not None]
-        found[there] = self.slot[inside]
-        found[missing] = [self.other(words[i]) for i in missing]
-        return found, float(self.log_share[inside].sum()), Counter(words[i] for i in missing)
+        others = [words[i] for i in missing.tolist()]
+        found = self.slot[places]
+        found[missing] = [self.other(word) for word in others]
+        return found, float(self.log_share[places[places >= 0]].sum()), Counter(others)
 
 
 def slot_type(slots: int) -> type:
@@ -191,6 +196,11 @@ def _encode(vocabulary: Vocabulary):
     return run
 
 
+@lru_cache(maxsize=8)
+def _ones(n: int) -> np.ndarray:
+    return np.ones(n, np.float32)
+
+
 class WindowNetwork:
     def __init__(self, slots: int = SLOTS):
         random = np.random.default_rng(SEED)
@@ -210,9 +220,10 @@ class WindowNetwork:
     def hidden(self, context: np.ndarray) -> np.ndarray:
         """(N, HIDDEN) for contexts (N, offsets) of slots."""
         tables, bias = self.weights[0], self.weights[1]
-        h = tables[0][context[:, 0]] + bias
+        h = tables[0].take(context[:, 0], axis=0)
+        h += bias
         for j in range(1, len(OFFSETS)):
-            h += tables[j][context[:, j]]
+            h += tables[j].take(context[:, j], axis=0)
         return np.tanh(h, out=h)
 
     @staticmethod
@@ -224,7 +235,7 @@ class WindowNetwork:
         if logits.max() > 60 or logits[:, 0].min() < -60:
             logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
-        return logits, logits @ np.ones((logits.shape[1], 1), np.float32)
+        return logits, logits @ _ones(logits.shape[1])[:, None]
 
     def by_group(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """An order of the predictions by the group of their word, and where each group begins in it."""
@@ -242,7 +253,7 @@ class WindowNetwork:
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         order, edges = self.by_group(target)
         target = target[order]
-        h, every, word = self.hidden(context[order]), np.arange(len(target)), target % self.group
+        h, every, word = self.hidden(context.take(order, axis=0)), np.arange(len(target)), target % self.group
         over_groups, sums = self._exponentials(h, self.weights[2], self.weights[3])
         sorted_p = over_groups[every, target // self.group] / sums[:, 0]
         for rows, _, over_words, sums in self.in_groups(h, edges):
@@ -256,7 +267,7 @@ class WindowNetwork:
         n = len(target)
         self.touched[2] += n
         order, edges = self.by_group(target)
-        context, target = context[order], target[order]
+        context, target = context.take(order, axis=0), target[order]
         h = self.hidden(context)
         _, _, to_group, group_bias, to_word, word_bias = self.weights
         every, word = np.arange(n), target % self.group
@@ -285,7 +296,7 @@ class WindowNetwork:
             first = np.concatenate([[0], np.flatnonzero(column[1:] != column[:-1]) + 1])
             words = column[first]
             self.touched[0][j, words] += np.diff(first, append=n)
-            self._step(0, (j, words), np.add.reduceat(back[order], first, axis=0), memory)
+            self._step(0, (j, words), np.add.reduceat(back.take(order, axis=0), first, axis=0), memory)
 
     def _step(self, which: int, where, grad: np.ndarray, memory: list[np.ndarray]) -> None:
         seen = memory[which]
@@ -340,6 +351,15 @@ class Texts(NamedTuple):
             places = np.arange(lo, min(lo + STRETCH, len(self.slots)))
             yield places, np.searchsorted(self.begins, places, side="right") - 1
 
+    def every(self, step: int, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Every ``step``-th place of each text from its ``first`` one on, and the texts they are in."""
+        ends = np.cumsum(np.maximum(0, -(-(np.diff(self.begins) - first) // step)))
+        start = self.begins[:-1] + first - step * np.concatenate(([0], ends[:-1]))
+        for lo in range(0, int(ends[-1]) if len(ends) else 0, STRETCH // step):
+            found = np.arange(lo, min(lo + STRETCH // step, int(ends[-1])))
+            owner = np.searchsorted(ends, found, side="right")
+            yield start[owner] + step * found, owner
+
     def contexts(self, places: np.ndarray, owner: np.ndarray, border: int) -> np.ndarray:
         """(N, offsets) slots around ``places`` of the texts ``owner``; ``border`` outside of them."""
         begin, end = self.begins[owner], self.begins[owner + 1]
@@ -354,9 +374,7 @@ def _train(slots_in_all: int, values: list[np.ndarray], turn: int, rounds: int):
     border, kind = slots_in_all - 1, slot_type(slots_in_all)
 
     def targets(texts: Texts, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for places, owner in texts.stretches():
-            ours = (places - texts.begins[owner] - hashes[owner] - turn) % rounds == 0
-            places, owner = places[ours], owner[ours]
+        for places, owner in texts.every(rounds, (hashes + turn) % rounds):
             yield texts.contexts(places, owner, border), texts.slots[places].astype(np.int32)
 
     def of_shard(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -432,7 +450,9 @@ def train(encoded: DataFrame, slots: int, rounds: int, scratch: Scratch) -> list
     for turn in range(rounds):
         trained = scratch.keep(
             encoded.select("shard", "hash", "slots").mapInArrow(_train(slots, values, turn, rounds), _PARTS), f"round-{turn}")
-        for part in trained.repartition("kind", "first").mapInArrow(_add, _PARTS).collect():
+        with shuffles_removed(scratch.spark):
+            summed = trained.repartition("kind", "first").mapInArrow(_add, _PARTS).collect()
+        for part in summed:
             uses = np.frombuffer(part["n"], dtype=np.int64)
             weighted = np.frombuffer(part["weights"], dtype=np.float64).reshape(len(uses), -1)
             rows = values[part["kind"]][part["first"]:part["first"] + len(uses)]

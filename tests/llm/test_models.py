@@ -9,6 +9,7 @@ from finmart.llm.language_id import ByteTagger, Layer, cut, language_predictions
 from finmart.llm.license_scan import LicenceScanner, Template, bigrams, licence_matches, licence_report, make_templates, normal_words
 from finmart.llm.license_templates import TEMPLATES
 from finmart.llm.masked_lm import WindowNetwork, pseudo_likelihoods
+from finmart.llm.tables import Scratch
 from finmart.llm.toxicity import FactorizationMachine, Terms, drop_toxic, toxicity_scores, train
 
 SMALL = "/root/testdata/sf0.01"
@@ -139,6 +140,29 @@ def test_pseudo_likelihood_beats_word_frequencies(spark):
     assert sum(r.log_likelihood for r in found) / sum(r.n_words for r in found) > -0.9 * math.log(3)
 
 
+def test_every_round_visits_only_its_places(monkeypatch):
+    monkeypatch.setattr(masked_lm, "STRETCH", 64)  # so that texts are met in several stretches
+    random = np.random.default_rng(2)
+    sizes, rounds = random.integers(0, 90, 30), 8
+    texts = masked_lm.Texts(np.zeros(sizes.sum(), np.uint16), np.concatenate(([0], np.cumsum(sizes))))
+    hashes, met = random.integers(0, 1 << 32, 30), []
+    for turn in range(rounds):
+        wanted = [(b + i, t) for t, (b, n) in enumerate(zip(texts.begins, sizes)) for i in range(n) if (i - hashes[t] - turn) % rounds == 0]
+        found = [x for places, owner in texts.every(rounds, (hashes + turn) % rounds) for x in zip(places.tolist(), owner.tolist())]
+        assert found == wanted
+        met += [place for place, _ in found]
+    assert sorted(met) == list(range(sizes.sum()))
+
+
+def test_rounds_leave_no_shuffles(spark, tmp_path):
+    texts = [[1, 2, 3, 1, 2, 3], [2, 3, 1]]
+    encoded = spark.createDataFrame([(0, i, np.array(t, np.uint16).tobytes()) for i, t in enumerate(texts)], "shard int, hash long, slots binary")
+    tracked = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = tracked.size()
+    masked_lm.train(encoded, masked_lm.SLOTS, 4, Scratch(spark, "rounds"))
+    assert tracked.size() <= before
+
+
 def test_pseudo_likelihood_of_odd_documents(odd_documents, no_documents):
     found = pseudo_likelihoods(odd_documents).collect()
     assert len(found) == 11
