@@ -19,13 +19,13 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import groupby
 from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from finmart.llm.tables import Scratch, long_id, shuffles_removed
@@ -46,35 +46,43 @@ SEED = 3
 SHARD_WORDS = 1 << 16
 #: Words whose shares every worker looks up; the shares of all others are joined. Only saves disk.
 LISTED = 200_000
-#: Distinct words a task counts before it hands them on, words scored at once, weights in a row,
-#: words whose neighbours are looked up at once.
-COUNTED = 400_000
+#: Bytes of texts split into words at once, words scored at once, weights in a row,
+#: words whose neighbours are looked up at once, rows of logits at once, so few that they stay in the cache.
+SPLIT = 16 << 20
 SCORED = 1 << 14
 CHUNK = 4096
 STRETCH = 1 << 17
+BLOCK = 512
 
 #: Slots of the least network; the last slot is the border.
 SLOTS = VOCABULARY + SHARED_SLOTS + 1
 OFFSETS = [*range(-REACH, 0), *range(1, REACH + 1)]
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+def _split(column: pa.BinaryArray) -> Iterator[tuple[slice, np.ndarray, pa.BinaryArray]]:
+    """The words of several texts after each other: which texts, how many words each has, the words.
+
+    Texts are taken together up to SPLIT bytes; a NULL text has no words.
+    """
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // SPLIT
+    edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(column)]
+    for lo, hi in zip(edges, edges[1:]):
+        if lo < hi:
+            lists = pc.ascii_split_whitespace(column.slice(lo, hi - lo).view(pa.string()))
+            owner = np.repeat(np.arange(hi - lo), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            words = lists.flatten().cast(pa.binary())
+            # blanks at an end of a text have an empty word beside them
+            real = pc.greater(pc.binary_length(words), 0)
+            owner = owner[real.to_numpy(zero_copy_only=False)]
+            yield slice(lo, hi), np.bincount(owner, minlength=hi - lo), words.filter(real)
 
-    def rows() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for text in batch.column(0):
-            raw = text.as_py()
-            if raw:
-                counts.update(raw.split())
-            if len(counts) >= COUNTED:
-                yield rows()
-                counts.clear()
-    if counts:
-        yield rows()
+        for _, _, words in _split(batch.column(0)):
+            counts = pc.value_counts(words)
+            yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], names=["word", "c"])
 
 
 class Vocabulary(NamedTuple):
@@ -133,20 +141,13 @@ def word_shares(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     )
 
 
-class _Places(dict):
-    """Places of known and listed words, -1 for all others."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 class Slots:
-    """Slots of words and the sum of the listed log shares."""
+    """Slots of words and the listed log shares."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.first, self.shared = vocabulary.known, vocabulary.shared
         words = vocabulary.words + vocabulary.listed
-        self.place = _Places((word, i) for i, word in enumerate(words))
+        self.words = pa.array(words, pa.binary())
         self.slot = np.array([i if i < self.first else self.other(w) for i, w in enumerate(words)], dtype=np.int32)
         self.log_share = np.zeros(len(words))
         self.log_share[len(vocabulary.words):] = vocabulary.log_shares
@@ -154,16 +155,14 @@ class Slots:
     def other(self, word: bytes) -> int:
         return self.first + zlib.crc32(word) % self.shared
 
-    def of(self, words: list[bytes]) -> tuple[np.ndarray, float, Counter[bytes]]:
-        """Slots, sum of log shares of known and listed words, counts of the words that are neither."""
-        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+    def of(self, words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Slots and log shares of words; places of those that are neither known nor listed, share 0, and these."""
+        places = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
         missing = np.flatnonzero(places < 0)
-        if not len(missing):
-            return self.slot[places], float(self.log_share[places].sum()), Counter()
-        others = [words[i] for i in missing.tolist()]
-        found = self.slot[places]
-        found[missing] = [self.other(word) for word in others]
-        return found, float(self.log_share[places[places >= 0]].sum()), Counter(others)
+        others = words.take(pa.array(missing)).to_pylist()
+        slots, shares = self.slot[places], self.log_share[places]
+        slots[missing], shares[missing] = [self.other(word) for word in others], 0
+        return slots, shares, missing, others
 
 
 def slot_type(slots: int) -> type:
@@ -174,34 +173,31 @@ def _encode(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Slots(vocabulary)
         for batch in batches:
-            hashes, slots, shares, rare = [], [], [], []
-            for text in batch.column(1):
-                raw = text.as_py() or b""
-                words = raw.split()
-                found, share, others = lookup.of(words) if words else (np.empty(0, np.int32), 0.0, Counter())
-                hashes.append(zlib.crc32(raw))
-                slots.append(found.astype(slot_type(vocabulary.slots)).tobytes())
-                shares.append(share)
-                rare.append(others)
-            rows = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *map(len, rare)]), pa.int32()),
-                pa.StructArray.from_arrays(
-                    [pa.array([w for r in rare for w in r], pa.binary()),
-                     pa.array([c for r in rare for c in r.values()], pa.int64())], names=["word", "c"]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(hashes, pa.int64()), pa.array(slots, pa.binary()),
-                 pa.array(shares, pa.float64()), rows],
-                names=["doc_id", "hash", "slots", "listed", "rare"])
+            hashes = np.array([zlib.crc32(text.as_py() or b"") for text in batch.column(1)], np.int64)
+            for part, sizes, words in _split(batch.column(1)):
+                slots, shares, missing, others = lookup.of(words)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                rare = Counter(zip(owner[missing].tolist(), others))
+                ends = np.cumsum(np.bincount([text for text, _ in rare], minlength=len(sizes)) if rare else np.zeros(len(sizes), np.int64))
+                rows = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate(([0], ends)), pa.int32()),
+                    pa.StructArray.from_arrays(
+                        [pa.array([word for _, word in rare], pa.binary()), pa.array(list(rare.values()), pa.int64())],
+                        names=["word", "c"]))
+                data = slots.astype(slot_type(vocabulary.slots))
+                begins = (np.concatenate(([0], np.cumsum(sizes))) * data.itemsize).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[part], pa.array(hashes[part]),
+                     pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(begins), pa.py_buffer(data)]),
+                     pa.array(np.bincount(owner, weights=shares, minlength=len(sizes))), rows],
+                    names=["doc_id", "hash", "slots", "listed", "rare"])
 
     return run
 
 
-@lru_cache(maxsize=8)
-def _ones(n: int) -> np.ndarray:
-    return np.ones(n, np.float32)
-
-
 class WindowNetwork:
+    """The last row of both tables of logits is their bias; the hidden layer ends in a one that meets it."""
+
     def __init__(self, slots: int = SLOTS):
         random = np.random.default_rng(SEED)
         #: words of a group, groups; near the root of the slots, so that both rows of logits are short
@@ -209,120 +205,163 @@ class WindowNetwork:
         self.groups = -(-slots // self.group)
         weights = [
             random.normal(0, 0.3, (len(OFFSETS), slots, HIDDEN)), np.zeros(HIDDEN),
-            np.zeros((HIDDEN, self.groups)), np.zeros(self.groups),
-            np.zeros((self.groups, HIDDEN, self.group)), np.zeros((self.groups, self.group)),
+            np.zeros((HIDDEN + 1, self.groups)), np.zeros((self.groups, HIDDEN + 1, self.group)),
         ]
-        weights[5].reshape(-1)[slots - 1:] = -1e4  # slots that do not exist; the border is never predicted
+        # slots that do not exist; the border is never predicted
+        existing = np.arange(self.groups * self.group).reshape(self.groups, self.group) < slots - 1
+        weights[3][:, HIDDEN] = np.where(existing, 0, -1e4)
         self.weights = [w.astype(np.float32) for w in weights]
         #: predictions that used a row of the word tables, a group, and all of them
         self.touched = [np.zeros((len(OFFSETS), slots), np.int64), np.zeros(self.groups, np.int64), np.zeros(1, np.int64)]
+        self._logits = np.empty(BLOCK * max(self.group, self.groups), np.float32)
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        """(N, HIDDEN) for contexts (N, offsets) of slots."""
+        """(N, HIDDEN + 1) for contexts (N, offsets) of slots."""
         tables, bias = self.weights[0], self.weights[1]
         h = tables[0].take(context[:, 0], axis=0)
         h += bias
         for j in range(1, len(OFFSETS)):
             h += tables[j].take(context[:, j], axis=0)
-        return np.tanh(h, out=h)
+        found = np.ones((len(h), HIDDEN + 1), np.float32)
+        np.tanh(h, out=found[:, :HIDDEN])
+        return found
 
     @staticmethod
-    def _exponentials(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exponentials of rows of logits, and their sums (N, 1)."""
-        logits = h @ weights
-        logits += bias
-        # a column of words that exist: with both bounds no exponential overflows and no sum is zero
-        if logits.max() > 60 or logits[:, 0].min() < -60:
+    def _within_bounds(weights: np.ndarray) -> bool:
+        """Whether no exponential can overflow and no sum of them can be zero, whatever the hidden layer."""
+        reach, bias = np.abs(weights[..., :HIDDEN, :]).sum(axis=-2), weights[..., HIDDEN, :]
+        # a column of words that exist
+        return (bias + reach).max() <= 60 and (bias[..., 0] - reach[..., 0]).min() >= -60
+
+    def _exponentials(self, h: np.ndarray, weights: np.ndarray, safe: bool) -> np.ndarray:
+        """Exponentials of at most BLOCK rows of logits; the next call overwrites them."""
+        logits = self._logits[:len(h) * weights.shape[1]].reshape(len(h), -1)
+        np.matmul(h, weights, out=logits)
+        if not safe and (logits.max() > 60 or logits[:, 0].min() < -60):
             logits -= logits.max(axis=1, keepdims=True)
-        np.exp(logits, out=logits)
-        return logits, logits @ _ones(logits.shape[1])[:, None]
-
-    def by_group(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """An order of the predictions by the group of their word, and where each group begins in it."""
-        group = (target // self.group).astype(np.uint16)
-        order = np.argsort(group, kind="stable")
-        return order, np.searchsorted(group[order], np.arange(self.groups + 1))
-
-    def in_groups(self, h: np.ndarray, edges: np.ndarray) -> Iterator[tuple[slice, int, np.ndarray, np.ndarray]]:
-        """For each group with rows between its ``edges``: rows, group, exponentials of its words and their sums."""
-        to_word, word_bias = self.weights[4:]
+        return np.exp(logits, out=logits)
+
+    def by_word(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """An order of the predictions by their word, and where each group begins in it."""
+        target = target.astype(slot_type(self.groups * self.group))
+        order = np.argsort(target, kind="stable")
+        return order, np.searchsorted(target[order] // self.group, np.arange(self.groups + 1))
+
+    @staticmethod
+    def _blocks(lo: int, hi: int) -> Iterator[slice]:
+        for at in range(lo, hi, BLOCK):
+            yield slice(at, min(at + BLOCK, hi))
+
+    def in_groups(self, edges: np.ndarray) -> Iterator[tuple[slice, int]]:
+        """Blocks of the predictions of every group between its ``edges``."""
         for g, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
-            if lo < hi:
-                yield slice(lo, hi), g, *self._exponentials(h[lo:hi], to_word[g], word_bias[g])
+            for rows in self._blocks(lo, hi):
+                yield rows, g
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        order, edges = self.by_group(target)
+        order, edges = self.by_word(target)
         target = target[order]
-        h, every, word = self.hidden(context.take(order, axis=0)), np.arange(len(target)), target % self.group
-        over_groups, sums = self._exponentials(h, self.weights[2], self.weights[3])
-        sorted_p = over_groups[every, target // self.group] / sums[:, 0]
-        for rows, _, over_words, sums in self.in_groups(h, edges):
-            sorted_p[rows] *= over_words[every[:len(over_words)], word[rows]] / sums[:, 0]
+        over_groups, over_words = self.weights[2:]
+        safe, safe_words = self._within_bounds(over_groups), self._within_bounds(over_words)
+        h, every = self.hidden(context.take(order, axis=0)), np.arange(BLOCK)
+        group, word, sorted_p = target // self.group, target % self.group, np.empty(len(target), np.float32)
+
+        def share(exponentials: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+            return exponentials[every[:len(chosen)], chosen] / (exponentials @ np.ones(exponentials.shape[1], np.float32))
+
+        for rows in self._blocks(0, len(target)):
+            sorted_p[rows] = share(self._exponentials(h[rows], over_groups, safe), group[rows])
+        for rows, g in self.in_groups(edges):
+            sorted_p[rows] *= share(self._exponentials(h[rows], over_words[g], safe_words), word[rows])
         p = np.empty_like(sorted_p)
         p[order] = sorted_p
         return np.log(np.maximum(p, 1e-30))
 
     def learn(self, context: np.ndarray, target: np.ndarray, memory: list[np.ndarray]) -> None:
-        """One AdaGrad step; ``memory`` holds sums of squares shaped like the weights."""
+        """One AdaGrad step; ``memory`` holds sums of squares shaped like the weights.
+
+        The gradient of a row of logits is its softmax less one at the word. The softmax is never
+        divided out: its products are divided by the sums, which a column of ones adds to them. The
+        ones at the words are added up once for all rows, which are ordered by them.
+        """
         n = len(target)
         self.touched[2] += n
-        order, edges = self.by_group(target)
+        order, edges = self.by_word(target)
         context, target = context.take(order, axis=0), target[order]
         h = self.hidden(context)
-        _, _, to_group, group_bias, to_word, word_bias = self.weights
-        every, word = np.arange(n), target % self.group
-        over_groups, sums = self._exponentials(h, to_group, group_bias)
-        over_groups /= sums
-        over_groups[every, target // self.group] -= 1
-        back = over_groups @ to_group.T
-        of_words, of_biases = np.zeros_like(to_word), np.zeros_like(word_bias)
-        for rows, g, error, sums in self.in_groups(h, edges):
-            error /= sums
-            error[every[:len(error)], word[rows]] -= 1
-            back[rows] += error @ to_word[g].T
-            np.matmul(h[rows].T, error, out=of_words[g])
-            of_biases[g] = np.ones(len(error), np.float32) @ error
+        over_groups, over_words = self.weights[2:]
+        safe, safe_words = self._within_bounds(over_groups), self._within_bounds(over_words)
+        group, word = target // self.group, target % self.group
+        # rows of words with a one in place of the bias, and what the words themselves take from the errors
+        groups_back, words_back = over_groups.T.copy(), over_words.transpose(0, 2, 1).copy()
+        groups_back[:, HIDDEN] = words_back[..., HIDDEN] = 1
+        back = -groups_back.take(group, axis=0)
+        back -= words_back.reshape(-1, HIDDEN + 1).take(target, axis=0)
+        of_groups, of_words = np.zeros_like(over_groups), np.zeros_like(over_words)
+
+        def spread(rows: slice, weights: np.ndarray, turned: np.ndarray, safe: bool, gradient: np.ndarray) -> None:
+            exponentials = self._exponentials(h[rows], weights, safe)
+            products = exponentials @ turned
+            sums = products[:, HIDDEN:]
+            gradient += (h[rows] / sums).T @ exponentials
+            back[rows] += products / sums
+
+        for rows in self._blocks(0, n):
+            spread(rows, over_groups, groups_back, safe, of_groups)
+        for rows, g in self.in_groups(edges):
+            spread(rows, over_words[g], words_back[g], safe_words, of_words[g])
+        first = np.flatnonzero(np.diff(target, prepend=-1))
+        at_words = np.column_stack([self._sums(h[:, :HIDDEN].copy(), first), np.diff(first, append=n).astype(np.float32)])
+        of_words[group[first], :, word[first]] -= at_words
+        first_of_group = np.flatnonzero(np.diff(group[first], prepend=-1))
+        of_groups[:, group[first][first_of_group]] -= np.add.reduceat(at_words, first_of_group, axis=0).T
         self.touched[1] += np.diff(edges)
-        self._step(2, slice(None), h.T @ over_groups, memory)
-        self._step(3, slice(None), np.ones(n, np.float32) @ over_groups, memory)
-        self._step(4, slice(None), of_words, memory)
-        self._step(5, slice(None), of_biases, memory)
-        back *= 1 - h * h
-        self._step(1, slice(None), back.sum(axis=0), memory)
-        for j in range(len(OFFSETS)):
-            column = context[:, j].astype(slot_type(self.weights[0].shape[1]))
+        self._step(self.weights[2], of_groups, memory[2])
+        self._step(self.weights[3], of_words, memory[3])
+        back, h = back[:, :HIDDEN], h[:, :HIDDEN]
+        back = back * (1 - h * h)
+        self._step(self.weights[1], back.sum(axis=0), memory[1])
+        for j, column in enumerate(context.T.astype(slot_type(self.weights[0].shape[1]), order="C")):
             order = np.argsort(column, kind="stable")
             column = column[order]
             first = np.concatenate([[0], np.flatnonzero(column[1:] != column[:-1]) + 1])
             words = column[first]
             self.touched[0][j, words] += np.diff(first, append=n)
-            self._step(0, (j, words), np.add.reduceat(back.take(order, axis=0), first, axis=0), memory)
+            table, seen = self.weights[0][j], memory[0][j]
+            rows, sums = table.take(words, axis=0), seen.take(words, axis=0)
+            self._step(rows, self._sums(back.take(order, axis=0), first), sums)
+            table[words], seen[words] = rows, sums
 
-    def _step(self, which: int, where, grad: np.ndarray, memory: list[np.ndarray]) -> None:
-        seen = memory[which]
-        seen[where] += grad * grad
-        self.weights[which][where] -= RATE * grad / np.sqrt(seen[where] + 1e-6)
+    @staticmethod
+    def _step(weights: np.ndarray, grad: np.ndarray, seen: np.ndarray) -> None:
+        """Changes ``weights`` and the sums of squares ``seen`` in place; ``grad`` is used up."""
+        seen += grad * grad
+        grad *= RATE
+        grad /= np.sqrt(seen + np.float32(1e-6))
+        weights -= grad
+
+    @staticmethod
+    def _sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Sums of (N, HIDDEN) rows from each of ``first`` to the next; two floats are added at once, as one complex number."""
+        return np.add.reduceat(rows.view(np.complex64), first, axis=0).view(np.float32)
 
     def rows(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Weights in rows of what is learned together, and the predictions that touched each row."""
-        tables, bias, to_group, group_bias, to_word, word_bias = self.weights
+        tables, bias, over_groups, over_words = self.weights
         return [
             (tables.reshape(-1, HIDDEN), self.touched[0].reshape(-1)),
-            (np.concatenate([to_word.reshape(self.groups, -1), word_bias], axis=1), self.touched[1]),
-            (np.concatenate([bias, to_group.reshape(-1), group_bias])[None], self.touched[2]),
+            (over_words.reshape(self.groups, -1), self.touched[1]),
+            (np.concatenate([bias, over_groups.reshape(-1)])[None], self.touched[2]),
         ]
 
     @classmethod
     def from_rows(cls, rows: list[np.ndarray], slots: int) -> WindowNetwork:
         made = cls(slots)
-        tables, bias, to_group, group_bias, to_word, word_bias = made.weights
-        of_words, common = to_word[0].size, rows[2][0]
+        tables, bias, over_groups, over_words = made.weights
         tables[:] = rows[0].reshape(tables.shape)
-        to_word[:] = rows[1][:, :of_words].reshape(to_word.shape)
-        word_bias[:] = rows[1][:, of_words:]
-        bias[:] = common[:HIDDEN]
-        to_group[:] = common[HIDDEN:HIDDEN + to_group.size].reshape(to_group.shape)
-        group_bias[:] = common[HIDDEN + to_group.size:]
+        over_words[:] = rows[1].reshape(over_words.shape)
+        bias[:] = rows[2][0, :HIDDEN]
+        over_groups[:] = rows[2][0, HIDDEN:].reshape(over_groups.shape)
         return made
 
 

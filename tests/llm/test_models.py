@@ -1,5 +1,6 @@
 import math
 import pickle
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -307,3 +308,62 @@ def test_terms_that_are_neutral_alone_tell_as_a_pair():
     documents, toxic = sample(1000)
     found = np.array([machine.probability(d) for d in documents]) >= toxicity.CUTOFF
     assert found[toxic > 0].mean() > 0.9 and found[toxic == 0].mean() < 0.01
+
+
+def plain_step(network, context, target):
+    """Weights after one AdaGrad step, by a softmax over all groups and one over the words of the group."""
+    tables, bias, over_groups, over_words = (w.astype(np.float64) for w in network.weights)
+    grads = [np.zeros_like(w) for w in (tables, bias, over_groups, over_words)]
+    for slots, word in zip(context, target):
+        h = np.append(np.tanh(sum(tables[j, slot] for j, slot in enumerate(slots)) + bias), 1)
+        back = np.zeros(len(h))
+        for weights, grad, at in ((over_groups, grads[2], word // network.group),
+                                  (over_words[word // network.group], grads[3][word // network.group], word % network.group)):
+            logits = h @ weights
+            error = np.exp(logits - logits.max())
+            error /= error.sum()
+            error[at] -= 1
+            grad += np.outer(h, error)
+            back += weights @ error
+        back = (back * (1 - h * h))[:-1]
+        grads[1] += back
+        for j, slot in enumerate(slots):
+            grads[0][j, slot] += back
+    return [w - masked_lm.RATE * g / np.sqrt(1 + g * g + 1e-6) for w, g in zip((tables, bias, over_groups, over_words), grads)]
+
+
+@pytest.mark.parametrize("largest", [0.5, 200])
+def test_a_step_of_the_network_equals_plain_gradients(largest):
+    network, random = WindowNetwork(60), np.random.default_rng(4)
+    for w in network.weights[1:]:
+        w[np.abs(w) < 1e3] += random.normal(0, 0.3, w.shape)[np.abs(w) < 1e3]
+    network.weights[2][-1, 1] = network.weights[3][0, -1, 2] = largest  # beyond 60 the rows are shifted before exp
+    context, target = random.integers(0, 60, (1500, 4)), random.integers(0, 59, 1500)
+    expected = plain_step(network, context, target)
+    network.learn(context.astype(np.int32), target.astype(np.int32), [np.full_like(w, 1.0) for w in network.weights])
+    for found, plain in zip(network.weights, expected):
+        assert np.allclose(found, plain, atol=2e-4)
+
+
+def test_a_step_holds_few_rows_of_logits():
+    peaks, random = [], np.random.default_rng(5)
+    for n in (masked_lm.BATCH // 16, masked_lm.BATCH):
+        network = WindowNetwork(40_000)
+        memory = [np.full_like(w, 1.0) for w in network.weights]
+        context, target = random.integers(0, 40_000, (n, 4)).astype(np.int32), random.integers(0, 39_999, n).astype(np.int32)
+        tracemalloc.start()
+        network.learn(context, target, memory)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] - peaks[0] < masked_lm.BATCH * network.groups * 4  # one row of logits for each prediction
+
+
+def test_words_of_odd_texts_split_in_any_parts(monkeypatch):
+    texts = [None, b"", b" \t\n", b"  a b\x0b\x0ca\r", b"\xff\xfe a", "é x \x1c".encode(), b"b " * 40, b"a"]
+    for size in (1, 50, 1 << 24):
+        monkeypatch.setattr(masked_lm, "SPLIT", size)
+        column = masked_lm.pa.array([b"left out", *texts], "binary").slice(1)
+        found = list(masked_lm._split(column))
+        assert [n for _, sizes, _ in found for n in sizes.tolist()] == [len((t or b"").split()) for t in texts]
+        assert [w for _, _, words in found for w in words.to_pylist()] == [w for t in texts for w in (t or b"").split()]
+        assert [i for part, *_ in found for i in range(*part.indices(len(texts)))] == list(range(len(texts)))
