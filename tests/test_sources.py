@@ -326,3 +326,8 @@ def test_private_folder_only_for_a_local_master():
     for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
         with pytest.raises(RuntimeError):
             private_folder(master)
+
+
+def test_lines_are_written_as_json_before_they_are_collected(spark):
+    plan = demo_bank.documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(transaction#" in plan  # what collect_list itself computes is interpreted row by row
