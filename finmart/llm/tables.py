@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType
 
-from finmart.session import work_dir
+from finmart.session import shuffles_removed, work_dir  # noqa: F401, shuffles_removed for the operators
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -42,19 +40,6 @@ class Scratch:
         _remove(self.spark, f"{self.root}/{name}")
 
 
-@contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of DataFrames made and collected inside go with the end of the query, not with the next
-    garbage collection of the driver. One that is collected again computes its shuffle again."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 #: Bytes of rows handed to Python at once.
 BATCH_BYTES = 4 << 20
 

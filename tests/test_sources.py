@@ -2,10 +2,11 @@ from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 import json
 from datetime import date
+import time
 
 import pytest
 
-from finmart.session import private_folder
+from finmart.session import SHUFFLE_CLEANUP, cut_lineage, private_folder, shuffles_removed
 from pyspark.sql import functions as F
 
 from finmart import schemas
@@ -105,6 +106,41 @@ def test_stored_tables_are_packed(spark, tmp_path):
     assert files and all(name.endswith(".zstd.parquet") for name in files)
 
 
+def shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    found = set()
+    while files.hasNext():
+        found.add(files.next().getName())
+    return {name for name in found if name.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("keep", [
+    lambda df, root: store.TableStore(df.sparkSession, root).save(df, "silver", "kept"),
+    lambda df, root: cut_lineage(df),
+])
+def test_stored_rows_leave_no_shuffle_files(spark, tmp_path, keep):
+    before, setting = shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
+    df = spark.range(50_000).withColumn("r", F.hash("id")).repartition("r").groupBy("r").agg(F.count("*").alias("n"))
+    kept = keep(df, str(tmp_path))
+    until = time.time() + 10  # executors are told, and remove the files on their own
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert kept.agg(F.sum("n")).first()[0] == 50_000
+
+
+def test_the_last_open_block_restores_the_shuffle_setting(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    first, second = shuffles_removed(spark), shuffles_removed(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+
+
 def test_one_bad_file_among_good_ones_is_rejected(spark, tmp_path):
     for bad in ("", "]", '[{"a": 1}'):
         folder = tmp_path / f"land-{len(bad)}"
