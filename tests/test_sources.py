@@ -2,15 +2,18 @@ from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 import json
 from datetime import date
+from pathlib import Path
 import time
 
 import pytest
 
-from finmart.session import SHUFFLE_CLEANUP, cut_lineage, private_folder, shuffles_removed
+from checks import all_queries
+from finmart.session import SHUFFLE_CLEANUP, configured, cut_lineage, private_folder, shuffles_removed
 from pyspark.sql import functions as F
 
 from finmart import schemas
 from finmart.sources import bronze, demo_bank, jdbc, seeds, store
+from tests.conftest import SMALL
 
 
 def landed(tmp_path, text, name="batch.json"):
@@ -100,45 +103,24 @@ def test_documents_are_shuffled_as_columns(spark):
     assert shuffled and not any("StructsToJson" in below or "collect_list" in below for below in shuffled)
 
 
-def test_stored_tables_are_packed(spark, tmp_path):
-    store.TableStore(spark, str(tmp_path)).save(spark.range(5), "silver", "numbers")
-    files = [f.name for f in (tmp_path / "silver" / "numbers").glob("*.parquet")]
-    assert files and all(name.endswith(".zstd.parquet") for name in files)
+def test_lines_are_shuffled_by_part_and_by_block_of_orders_only(spark):
+    with configured(spark, autoBroadcastJoinThreshold="-1"):
+        found = [below for below in exchanges(demo_bank.documents(spark, "/root/testdata/sf0.001")) if "l_extendedprice" in below]
+    assert len([below for below in found if f">= {demo_bank.LINE_BLOCK})" not in below]) == 2
 
 
-def shuffle_files(spark) -> set[str]:
-    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
-    found = set()
-    while files.hasNext():
-        found.add(files.next().getName())
-    return {name for name in found if name.startswith("shuffle_")}
-
-
-@pytest.mark.parametrize("keep", [
-    lambda df, root: store.TableStore(df.sparkSession, root).save(df, "silver", "kept"),
-    lambda df, root: cut_lineage(df),
-])
-def test_stored_rows_leave_no_shuffle_files(spark, tmp_path, keep):
-    before, setting = shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
-    df = spark.range(50_000).withColumn("r", F.hash("id")).repartition("r").groupBy("r").agg(F.count("*").alias("n"))
-    kept = keep(df, str(tmp_path))
-    until = time.time() + 10  # executors are told, and remove the files on their own
-    while shuffle_files(spark) - before and time.time() < until:
-        time.sleep(0.1)
-    assert not shuffle_files(spark) - before
-    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
-    assert kept.agg(F.sum("n")).first()[0] == 50_000
+def test_settings_hold_inside_only(spark):
+    name = "spark.sql.execution.replaceHashWithSortAgg"
+    before = spark.conf.get(name, None)
+    with configured(spark, execution__replaceHashWithSortAgg="true"):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) == before
 
 
-def test_the_last_open_block_restores_the_shuffle_setting(spark):
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    first, second = shuffles_removed(spark), shuffles_removed(spark)
-    first.__enter__()
-    second.__enter__()
-    first.__exit__(None, None, None)
-    assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
-    second.__exit__(None, None, None)
-    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+def test_stored_tables_are_packed(spark, tmp_path):
+    store.TableStore(spark, str(tmp_path)).save(spark.range(5), "silver", "numbers")
+    files = [f.name for f in (tmp_path / "silver" / "numbers").glob("*.parquet")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
 
 
 def test_one_bad_file_among_good_ones_is_rejected(spark, tmp_path):
@@ -367,3 +349,46 @@ def test_private_folder_only_for_a_local_master():
 def test_lines_are_written_as_json_before_they_are_collected(spark):
     plan = demo_bank.documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list(transaction#" in plan  # what collect_list itself computes is interpreted row by row
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    found = set()
+    while files.hasNext():
+        found.add(files.next().getName())
+    return {name for name in found if name.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("keep", [
+    lambda df, root: store.TableStore(df.sparkSession, root).save(df, "silver", "kept"),
+    lambda df, root: cut_lineage(df),
+])
+def test_stored_rows_leave_no_shuffle_files(spark, tmp_path, keep):
+    before, setting = shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
+    df = spark.range(50_000).withColumn("r", F.hash("id")).repartition("r").groupBy("r").agg(F.count("*").alias("n"))
+    kept = keep(df, str(tmp_path))
+    until = time.time() + 10  # executors are told, and remove the files on their own
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert kept.agg(F.sum("n")).first()[0] == 50_000
+
+
+def test_the_last_open_block_restores_the_shuffle_setting(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    first, second = shuffles_removed(spark), shuffles_removed(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+
+
+@pytest.mark.parametrize("name, folder", [("src1_read_json_documents", "landed-*"), ("dq8_run_counters", "transactions-*")])
+def test_copies_that_queries_write_are_packed(spark, bank, name, folder):
+    all_queries()[name](spark, SMALL).count()
+    scratch = Path(bank.scratch("x").removeprefix("file:")).parent
+    files = [f.name for f in scratch.glob(f"{folder}/**/part-*")]
+    assert files and all(".gz" in name or ".zstd" in name for name in files)
