@@ -189,7 +189,7 @@ def _encode(vocabulary: Vocabulary):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[part], pa.array(hashes[part]),
                      pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(begins), pa.py_buffer(data)]),
-                     pa.array(np.bincount(owner, weights=shares, minlength=len(sizes))), rows],
+                     pa.array(np.bincount(owner, weights=shares, minlength=len(sizes)), pa.float64()), rows],
                     names=["doc_id", "hash", "slots", "listed", "rare"])
 
     return run
